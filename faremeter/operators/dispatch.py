@@ -45,19 +45,21 @@ def _pull(near: int, taxi_draw: int) -> Column:
 # --------------------------------------------------------------------------- pairs
 
 
-def near_counts(fleet: DataFrame, near: DataFrame) -> DataFrame:
-    """Taxis near each zone: (batch, zone, near_0, near_1, near_2), one count per taxi draw.
-
-    A taxi is near a zone when its position or its destination is in the zone's neighbourhood.
-    """
+def _with_reach(taxis: DataFrame, near: DataFrame) -> DataFrame:
+    """Add `reach`, the zones a taxi is near to: those with its position or its destination in their neighbourhood."""
     served = near.groupBy(F.col("near_zone").alias("_at")).agg(F.collect_set("zone").alias("_zones"))
     here = served.select(F.col("_at").alias("locid"), F.col("_zones").alias("_from_here"))
     there = served.select(F.col("_at").alias("desid"), F.col("_zones").alias("_from_there"))
     nothing = F.array().cast("array<int>")
     zones = F.array_union(F.coalesce("_from_here", nothing), F.coalesce("_from_there", nothing))
-    taxis = fleet.join(here, "locid", "left").join(there, "desid", "left")
-    reach = taxis.select("batch", "draw", F.explode(zones).alias("zone"))
-    return reach.groupBy("batch", "zone").agg(
+    joined = taxis.join(here, "locid", "left").join(there, "desid", "left")
+    return joined.select(*taxis.columns, zones.alias("reach"))
+
+
+def near_counts(fleet: DataFrame, near: DataFrame) -> DataFrame:
+    """Taxis near each zone: (batch, zone, near_0, near_1, near_2), one count per taxi draw."""
+    reached = _with_reach(fleet.select("batch", "locid", "desid", "draw"), near)
+    return reached.select("batch", "draw", F.explode("reach").alias("zone")).groupBy("batch", "zone").agg(
         *[F.count_if(F.col("draw") == d).alias(f"near_{d}") for d in _draws()]
     )
 
@@ -213,65 +215,77 @@ def objective(load: DataFrame) -> DataFrame:
 def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3) -> DataFrame:
     """For each call below `max_res` taxis, the `max_res` other taxis with the least eta/60*p.
 
-    Taxis in the same place, state and draw differ in one number only (vacancy if free, end time if busy), and the
-    measure rises with it. So `2*max_res-1` taxis of each such class are enough to find the exact answer: `max_res`
-    to offer and up to `max_res-1` that the call already has. They are kept per batch as one list whose length
-    depends on the zones, not on the fleet.
+    Taxis of one state and draw that are all near a zone, or all far from it, differ for its calls in one number only
+    (vacancy if free, end time if busy), and the measure rises with it. So the first `2*max_res-1` of each such class
+    hold the exact answer: `max_res` to offer and up to `max_res-1` that the call already has. Two bounded lists lead
+    there: per batch, the first taxis of each position, destination, state and draw; then per pickup zone, the first of
+    each class. Both depend on the number of zones and not on the fleet.
     """
-    free = F.col("available") == 1
-    step = F.when(free, F.col("vacatime")).otherwise(F.col("endtime"))
+    depth = 2 * max_res - 1
+    step = F.when(F.col("available") == 1, F.col("vacatime")).otherwise(F.col("endtime"))
     shortlist = top_k_per(
         assignments.withColumn("step", step),
         ["batch", "available", "draw", "locid", "desid"],
         [F.col("step"), F.col("taxi_id")],
-        2 * max_res - 1,
+        depth,
     )
     entry = F.struct(
-        "taxi_id", "step", "locid", "desid", "available", "endtime", "draw",
+        "step", "taxi_id", "reach", "available", "endtime", "draw",
         S.idle_part(F.col("vacatime")).alias("idle"),
         F.col("call_id").alias("from_call"),
         F.col("p").alias("from_p"),
         F.col("eta").alias("from_eta"),
     )
-    lists = shortlist.groupBy("batch").agg(F.collect_list(entry).alias("taxis"))
-    around = near.groupBy(F.col("zone").alias("pickupid")).agg(F.collect_set("near_zone").alias("around"))
-    open_calls = (
-        load.filter(F.col("n_drivers") < max_res)
-        .join(around, "pickupid", "left")
-        .select(
-            "batch", "call_id", "calltime", "duration", "n_drivers", "log_miss", "hours",
-            F.coalesce("around", F.array().cast("array<int>")).alias("around"),
-            F.array(*[_pull(1, d) for d in _draws()]).alias("near_pull"),
-            F.array(*[_pull(0, d) for d in _draws()]).alias("far_pull"),
-        )
-        .join(lists, "batch")
-    )
-
-    def is_near(t: Column) -> Column:
-        at_destination = F.coalesce(F.array_contains("around", t["desid"]), F.lit(False))
-        return F.coalesce(F.array_contains("around", t["locid"]), F.lit(False)) | at_destination
-
-    def scored(t: Column) -> Column:
-        hit = is_near(t)
-        p = t["idle"] + F.when(hit, F.get("near_pull", t["draw"])).otherwise(F.get("far_pull", t["draw"]))
-        eta = S.eta(t["available"], F.col("calltime"), t["endtime"], F.col("duration"))
-        return F.struct(
-            F.round(eta / 60 * p, 9).alias("value"),
-            t["step"].alias("step"),
-            t["taxi_id"].alias("taxi_id"),
-            hit.cast("int").alias("near"),
-            p.alias("p"),
-            eta.alias("eta"),
-            t["from_call"].alias("from_call"),
-            t["from_p"].alias("from_p"),
-            t["from_eta"].alias("from_eta"),
-        )
+    classes = _with_reach(shortlist, near).groupBy("batch", "available", "draw").agg(
+        F.sort_array(F.collect_list(entry)).alias("taxis")
+    )
+    lists = classes.groupBy("batch").agg(F.collect_list("taxis").alias("classes"))
+    caller = F.struct(
+        "call_id", "calltime", "duration", "n_drivers", "log_miss", "hours",
+        F.array(*[_pull(1, d) for d in _draws()]).alias("near_pull"),
+        F.array(*[_pull(0, d) for d in _draws()]).alias("far_pull"),
+    )
+    # A batch has a bounded number of calls; its open calls are grouped by pickup zone to share the zone's lists.
+    open_zones = load.filter(F.col("n_drivers") < max_res).groupBy("batch", "pickupid").agg(
+        F.collect_list(caller).alias("calls")
+    )
+
+    def first_of_each(keep) -> Column:
+        return F.transform("classes", lambda c: F.slice(F.filter(c, keep), 1, depth))
 
-    others = F.filter("taxis", lambda t: t["from_call"] != F.col("call_id"))
-    best = F.slice(F.sort_array(F.transform(others, scored)), 1, max_res)
-    return open_calls.select(
-        "batch", "call_id", "n_drivers", "log_miss", "hours", F.posexplode(best).alias("_at", "c")
-    ).select("batch", "call_id", "n_drivers", "log_miss", "hours", (F.col("_at") + 1).alias("rnk"), "c.*")
+    pools = open_zones.join(lists, "batch").select(
+        "batch",
+        "calls",
+        first_of_each(lambda t: F.array_contains(t["reach"], F.col("pickupid"))).alias("near_taxis"),
+        first_of_each(lambda t: ~F.array_contains(t["reach"], F.col("pickupid"))).alias("far_taxis"),
+    )
+    calls = pools.select("batch", F.explode("calls").alias("k"), "near_taxis", "far_taxis")
+
+    def offers(taxis: str, near_flag: int, pull: Column) -> Column:
+        def offer(t: Column) -> Column:
+            p = t["idle"] + F.get(pull, t["draw"])
+            eta = S.eta(t["available"], F.col("k.calltime"), t["endtime"], F.col("k.duration"))
+            return F.struct(
+                F.round(eta / 60 * p, 9).alias("value"),
+                t["step"].alias("step"),
+                t["taxi_id"].alias("taxi_id"),
+                F.lit(near_flag).alias("near"),
+                p.alias("p"),
+                eta.alias("eta"),
+                t.alias("taxi"),
+            )
+
+        own = F.col("k.n_drivers").cast("int")
+        useful = F.flatten(F.transform(taxis, lambda c: F.slice(c, F.lit(1), F.lit(max_res) + own)))
+        return F.transform(F.filter(useful, lambda t: t["from_call"] != F.col("k.call_id")), offer)
+
+    both = F.concat(offers("near_taxis", 1, F.col("k.near_pull")), offers("far_taxis", 0, F.col("k.far_pull")))
+    best = F.slice(F.sort_array(both), 1, max_res)
+    kept = [F.col(f"k.{c}").alias(c) for c in ("call_id", "n_drivers", "log_miss", "hours")]
+    return calls.select("batch", *kept, F.posexplode(best).alias("_at", "c")).select(
+        "batch", "call_id", "n_drivers", "log_miss", "hours", (F.col("_at") + 1).alias("rnk"),
+        "c.value", "c.taxi_id", "c.near", "c.p", "c.eta", "c.taxi.from_call", "c.taxi.from_p", "c.taxi.from_eta",
+    )
 
 
 def improving_moves(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3) -> DataFrame:

@@ -20,8 +20,9 @@ class Inputs(NamedTuple):
 
 
 def _inputs(spark, d) -> Inputs:
-    calls = V.calls(spark, d)
-    return Inputs(calls, V.fleet(spark, d, calls), V.near(spark, d))
+    """Calls and fleet as stored tables, since every dispatch plan reads them several times."""
+    calls = stored(V.calls(spark, d), "calls")
+    return Inputs(calls, stored(V.fleet(spark, d, calls), "fleet"), V.near(spark, d))
 
 
 def _pick():

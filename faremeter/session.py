@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, app: str = "faremeter", **extra: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)
