@@ -15,6 +15,7 @@ calls and the taxis, not with their product, and every shuffle is keyed by batch
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,6 +145,7 @@ def _offer(near: int, taxi_draw: int) -> Column:
         pull.alias("pull"),
         "calltime",
         "duration",
+        "dropoffid",
     )
 
 
@@ -160,26 +162,34 @@ def best_offers(calls: DataFrame, near: DataFrame) -> DataFrame:
     return far.join(zone_map, "batch", "left")
 
 
-def assign_best(calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFrame:
-    """Each taxi with its most likely call: the fleet columns plus call_id, near, p and eta.
+def _with_best_offer(calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFrame:
+    """The fleet with its extra columns, each taxi's best offer `o`, p and eta.
 
     Far offers include calls that are near the taxi; those are never chosen wrongly, because the same call has a
     strictly larger near offer.
     """
-    taxis = _prepared(fleet).join(best_offers(calls, near), "batch")
-    at_position = F.try_element_at("near", F.col("locid"))
-    at_destination = F.try_element_at("near", F.col("desid"))
-    offers = [F.get(side, F.col("draw")) for side in (at_position, at_destination, F.col("far"))]
-    best = taxis.select(*_FLEET_COLUMNS, F.greatest(*offers).alias("o"))
-    return best.select(
-        *_FLEET_COLUMNS,
-        (-F.col("o.neg_call_id")).alias("call_id"),
-        F.col("o.near").alias("near"),
-        (S.idle_part(F.col("vacatime")) + F.col("o.pull")).alias("p"),
-        S.eta(F.col("available"), F.col("o.calltime"), F.col("endtime"), F.col("o.duration")).alias("eta"),
+    idle = S.idle_seconds(F.col("available"), F.col("vacatime"))
+    taxis = fleet.withColumn("vacatime", idle).join(
+        best_offers(calls, near).withColumnsRenamed({"near": "_near", "far": "_far"}), "batch"
+    )
+    at_position = F.try_element_at("_near", F.col("locid"))
+    at_destination = F.try_element_at("_near", F.col("desid"))
+    offers = [F.get(side, F.col("draw")) for side in (at_position, at_destination, F.col("_far"))]
+    return taxis.select(*fleet.columns, F.greatest(*offers).alias("o")).withColumns(
+        {
+            "call_id": -F.col("o.neg_call_id"),
+            "p": S.idle_part(F.col("vacatime")) + F.col("o.pull"),
+            "eta": S.eta(F.col("available"), F.col("o.calltime"), F.col("endtime"), F.col("o.duration")),
+        }
     )
 
 
+def assign_best(calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFrame:
+    """Each taxi with its most likely call: the fleet columns plus call_id, near, p and eta."""
+    best = _with_best_offer(calls, fleet.select(*_FLEET_COLUMNS), near)
+    return best.select(*_FLEET_COLUMNS, "call_id", F.col("o.near").alias("near"), "p", "eta")
+
+
 def call_load(calls: DataFrame, assignments: DataFrame) -> DataFrame:
     """Every call with its number of taxis, sum of ln(1-p) and total hours (0 for a call without a taxi)."""
     sums = assignments.groupBy("batch", "call_id").agg(
@@ -365,12 +375,12 @@ def pick_key(taxi: Column, call: Column, seed: int = 0) -> Column:
     return F.xxhash64(taxi, call, F.lit(seed))
 
 
-def accept(assignments: DataFrame, key: Column | None = None) -> DataFrame:
-    """One taxi per call, the one with the least pick key: (batch, call_id, taxi_id, p, eta)."""
+def accept(assignments: DataFrame, key: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """One taxi per call, the one with the least pick key: (batch, call_id, taxi_id, p, eta) and columns to carry."""
     order = pick_key(F.col("taxi_id"), F.col("call_id")) if key is None else key
-    first = F.min(F.struct(order.alias("key"), "taxi_id", "p", "eta")).alias("w")
+    first = F.min(F.struct(order.alias("key"), "taxi_id", "p", "eta", *carry)).alias("w")
     return assignments.groupBy("batch", "call_id").agg(first).select(
-        "batch", "call_id", "w.taxi_id", "w.p", "w.eta"
+        "batch", "call_id", "w.taxi_id", "w.p", "w.eta", *[f"w.{c}" for c in carry]
     )
 
 
@@ -403,15 +413,14 @@ def ratio_sweep(
     once per ratio in the same aggregation.
     """
     sizes = fleet.groupBy("batch").agg(F.count(F.lit(1)).alias("n_taxis"))
-    placed = group_positions(fleet.select(*_FLEET_COLUMNS), ["batch"], ["taxi_id"], "taxi_rank")
-    assigned = assign_best(calls, placed, near).join(placed.select("batch", "taxi_id", "taxi_rank"), ["batch", "taxi_id"])
+    placed = group_positions(fleet.select(*_FLEET_COLUMNS), ["batch"], ["taxi_id"], "taxi_rank").join(sizes, "batch")
     order = pick_key(F.col("taxi_id"), F.col("call_id")) if key is None else key
 
     def on_duty(ratio: float) -> Column:
         return F.col("taxi_rank") <= _fleet_size(F.lit(float(ratio)), max(ratios))
 
     choice = F.struct(order.alias("key"), "taxi_id", "eta")
-    picked = assigned.join(sizes, "batch").groupBy("batch", "call_id").agg(
+    picked = _with_best_offer(calls, placed, near).groupBy("batch", "call_id").agg(
         *[F.min(F.when(on_duty(r), choice)).alias(f"w{i}") for i, r in enumerate(ratios)]
     )
     per_batch = (
@@ -492,38 +501,53 @@ def run_shifts(
 ) -> DataFrame:
     """Carry the fleet through `steps` successive batches: (ratio, step, n_calls, failure_rate, mean_wait).
 
-    `calls` has shift and step (0-based) instead of batch, `fleet` has shift. Every shift and ratio is an independent
-    run, so each step is one job over all of them and the fleet state is stored after it. Rates are means over shifts.
+    `calls` has shift (bigint) and step (from 0) instead of batch, `fleet` has shift. Every shift and ratio is a run of
+    its own; each step is one job over all runs and leaves the accepted calls and the new fleet state as stored tables.
+    Rates are means over the runs of a ratio.
     """
-    named = fleet.withColumnRenamed("shift", "batch").select(*_FLEET_COLUMNS)
-    sizes = named.groupBy("batch").agg(F.count(F.lit(1)).alias("n_taxis"))
-    ranked = group_positions(named, ["batch"], ["taxi_id"], "taxi_rank").join(sizes, "batch")
-    scenarios = F.array(*[F.lit(float(r)) for r in ratios])
-    fits = F.filter(scenarios, lambda r: F.col("taxi_rank") <= _fleet_size(r, max(ratios)))
-    spread = ranked.select(*_FLEET_COLUMNS, F.explode(fits).alias("ratio"))
-    run_key = F.struct(F.col("batch").alias("shift"), "ratio")
-    state = stored(spread.withColumn("batch", run_key).select(*_FLEET_COLUMNS), "shift-fleet")
-    runs = calls.withColumn("ratio", F.explode(scenarios)).withColumn("batch", F.struct("shift", "ratio"))
-    results = []
+    n = len(ratios)
+    sizes = fleet.groupBy("shift").agg(F.count(F.lit(1)).alias("n_taxis"))
+    facts = ["shift", *[c for c in _FLEET_COLUMNS if c != "batch"]]
+    ranked = group_positions(fleet.select(*facts), ["shift"], ["taxi_id"], "taxi_rank").join(sizes, "shift")
+
+    def run_id(at: Column) -> Column:
+        return F.col("shift") * n + at
+
+    scenarios = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(float(r)).alias("ratio")) for i, r in enumerate(ratios)])
+    fits = F.filter(scenarios, lambda r: F.col("taxi_rank") <= _fleet_size(r["ratio"], max(ratios)))
+    spread = ranked.withColumn("_s", F.explode(fits)).withColumn("batch", run_id(F.col("_s.at")))
+    state = stored(spread.select(*_FLEET_COLUMNS), "shift-fleet")
+    runs = (
+        calls.withColumn("_s", F.explode(scenarios))
+        .withColumns({"batch": run_id(F.col("_s.at")), "ratio": F.col("_s.ratio")})
+        .drop("_s", "shift")
+    )
+    trip = ["calltime", "duration", "dropoffid"]
+    accepted = []
     for step in range(steps):
-        current = runs.filter(F.col("step") == step).drop("shift", "ratio", "step")
+        current = runs.filter(F.col("step") == step).drop("step", "ratio")
         if rounds:
-            assigned = optimise(current, state, near, max_res, rounds)
+            moved = optimise(current, state, near, max_res, rounds)
+            assigned = moved.join(current.select("batch", "call_id", *trip), ["batch", "call_id"])
         else:
-            assigned = stored(assign_best(current, state, near), "assigned")
-        won = stored(accept(assigned, key), "accepted")
-        results.append(service_metrics(current, won).withColumn("step", F.lit(step)))
+            assigned = _with_best_offer(current, state, near).withColumns({c: F.col(f"o.{c}") for c in trip})
+        won = stored(accept(assigned, key, trip), "accepted")
+        accepted.append(won)
         if step < steps - 1:
-            facts = current.select("batch", "call_id", "calltime", "duration", "dropoffid")
-            winners = won.join(facts, ["batch", "call_id"])
             clock = current.groupBy("batch").agg(F.max("calltime").alias("_now"))
             timed = state.join(clock, "batch", "left")
-            state = stored(roll_forward(timed, winners, F.col("_now")).drop("_now"), "shift-fleet")
-    table = results[0]
-    for part in results[1:]:
-        table = table.unionByName(part)
-    return table.groupBy(F.col("batch.ratio").alias("ratio"), "step").agg(
-        F.sum("n_calls").alias("n_calls"),
-        F.avg("failure_rate").alias("failure_rate"),
-        F.avg("mean_wait").alias("mean_wait"),
+            state = stored(roll_forward(timed, won, F.col("_now")).drop("_now"), "shift-fleet")
+    answers = reduce(DataFrame.unionByName, [won.select("batch", "call_id", "eta") for won in accepted])
+    per_run = (
+        runs.select("batch", "ratio", "step", "call_id")
+        .join(answers, ["batch", "call_id"], "left")
+        .groupBy("batch", "ratio", "step")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg(F.when(F.col("eta").isNull(), 1.0).otherwise(0.0)).alias("failure"),
+            (F.coalesce(F.sum("eta"), F.lit(0.0)) / F.count(F.lit(1)) / 60).alias("wait"),
+        )
+    )
+    return per_run.groupBy("ratio", "step").agg(
+        F.sum("n").alias("n_calls"), F.avg("failure").alias("failure_rate"), F.avg("wait").alias("mean_wait")
     )

@@ -11,7 +11,7 @@ from faremeter.functions import scalars as S
 from faremeter.functions.calendar import calendar_features
 from faremeter.operators import features as X
 from faremeter.operators import models as M
-from faremeter.operators.aggregates import pair_stats, regression_metrics
+from faremeter.operators.aggregates import regression_metrics
 from faremeter.plans import views as V
 from faremeter.plans.registry import query
 from faremeter.sources.models import load_model, save_model
@@ -23,7 +23,7 @@ EXCLUDE = [*X.NOT_FEATURES, *V.LINE_KEY, "event_id", "trip_distance", "passenger
 FEATURES = ["dist", "dow", "dom", "month", "hour", "minute", "near", "h_pu", "h_do", "v_pu", "v_do"]
 
 
-def _training(spark, d, label="time"):
+def _training(spark, d):
     """Trips as feature vectors, stored once because a fit passes over them many times."""
     trips = calendar_features(V.trips(spark, d), "pickup")
     built = X.trip_features(trips, V.edges(spark, d), V.zones(spark, d), "time")
@@ -32,14 +32,15 @@ def _training(spark, d, label="time"):
 
 
 def _requests(spark, d):
-    """One request per event: its zones and time, and the average distance of the route."""
+    """One request per event: its time, zones and stated distance, and no duration."""
     asked = V.event_trips(spark, d).select(
-        "event_id", "ts", "pickupid", ((F.col("event_id") * 7) % 25).cast("int").alias("dropoffid")
+        "event_id",
+        "ts",
+        "pickupid",
+        ((F.col("event_id") * 7) % 25).cast("int").alias("dropoffid"),
+        (F.col("price") / 10).alias("dist"),
     )
-    stats = pair_stats(V.trips(spark, d), measure="dist")
-    named = asked.join(stats.select("pickupid", "dropoffid", F.col("avg").alias("dist")), ["pickupid", "dropoffid"])
-    dated = calendar_features(named, "ts").drop("ts")
-    built = X.trip_features(dated, V.edges(spark, d), V.zones(spark, d), label=None)
+    built = X.trip_features(calendar_features(asked, "ts"), V.edges(spark, d), V.zones(spark, d), label=None)
     return X.vectors(built.select("event_id", *FEATURES), EXCLUDE)
 
 
