@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from faremeter.functions import scalars as S
+from faremeter.operators.joins import near_far
 from faremeter.operators.ranking import group_positions, top_k_per
 from faremeter.sources.scratch import stored
 
@@ -80,7 +81,7 @@ def fleet_totals(fleet: DataFrame) -> DataFrame:
     )
 
 
-def near_far(calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFrame:
+def near_far_counts(calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFrame:
     """Near and far taxis of each call: (batch, call_id, n_near, n_far), for batches that have taxis."""
     found = calls.join(
         near_counts(fleet, near).withColumnRenamed("zone", "pickupid"), ["batch", "pickupid"], "left"
@@ -113,21 +114,16 @@ def pair_totals(calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFram
 
 def score_served(served: DataFrame, calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFrame:
     """Near flag, p and eta of given pairs (batch, call_id, taxi_id)."""
-    at = near.select(F.col("zone").alias("pickupid"), F.col("near_zone"))
     pairs = served.join(calls.withColumnRenamed("draw", "call_draw"), ["batch", "call_id"]).join(
         _prepared(fleet), ["batch", "taxi_id"]
     )
-    here = at.select("pickupid", F.col("near_zone").alias("locid"), F.lit(1).alias("_here"))
-    there = at.select("pickupid", F.col("near_zone").alias("desid"), F.lit(1).alias("_there"))
-    pairs = pairs.join(here, ["pickupid", "locid"], "left").join(there, ["pickupid", "desid"], "left")
-    is_near = F.when(F.col("_here").isNotNull() | F.col("_there").isNotNull(), 1).otherwise(0)
     weight = S.draw_weight(F.col("draw"), F.col("call_draw"))
-    return pairs.select(
+    return near_far(pairs, near).select(
         "batch",
         "call_id",
         "taxi_id",
-        is_near.alias("near"),
-        S.acceptance(F.col("vacatime"), F.col("dist"), is_near, weight).alias("p"),
+        "near",
+        S.acceptance(F.col("vacatime"), F.col("dist"), F.col("near"), weight).alias("p"),
         S.eta(F.col("available"), F.col("calltime"), F.col("endtime"), F.col("duration")).alias("eta"),
     )
 
@@ -375,9 +371,11 @@ def pick_key(taxi: Column, call: Column, seed: int = 0) -> Column:
     return F.xxhash64(taxi, call, F.lit(seed))
 
 
-def accept(assignments: DataFrame, key: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+def accept(
+    assignments: DataFrame, key: Column | None = None, carry: Sequence[str] = (), seed: int = 0
+) -> DataFrame:
     """One taxi per call, the one with the least pick key: (batch, call_id, taxi_id, p, eta) and columns to carry."""
-    order = pick_key(F.col("taxi_id"), F.col("call_id")) if key is None else key
+    order = pick_key(F.col("taxi_id"), F.col("call_id"), seed) if key is None else key
     first = F.min(F.struct(order.alias("key"), "taxi_id", "p", "eta", *carry)).alias("w")
     return assignments.groupBy("batch", "call_id").agg(first).select(
         "batch", "call_id", "w.taxi_id", "w.p", "w.eta", *[f"w.{c}" for c in carry]

@@ -35,6 +35,18 @@ def neighbourhood(edges: DataFrame, zones: DataFrame) -> DataFrame:
     return listed.union(itself).distinct()
 
 
+def near_far(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """Add `near` to given pairs of call and taxi: 1 when locid or desid is in the neighbourhood of pickupid, else 0.
+
+    Two equality joins, one per column, rather than one join on an OR.
+    """
+    here = near.select(F.col("zone").alias("pickupid"), F.col("near_zone").alias("locid"), F.lit(1).alias("_here"))
+    there = near.select(F.col("zone").alias("pickupid"), F.col("near_zone").alias("desid"), F.lit(1).alias("_there"))
+    joined = pairs.join(here, ["pickupid", "locid"], "left").join(there, ["pickupid", "desid"], "left")
+    flag = F.when(F.col("_here").isNotNull() | F.col("_there").isNotNull(), 1).otherwise(0)
+    return joined.select(*pairs.columns, flag.alias("near"))
+
+
 def vs_pair_stats(trips: DataFrame, stats: DataFrame, keys: list[str], measure: str) -> DataFrame:
     """Trips with the average of their route and the difference from it; `stats` has one row per route."""
     joined = trips.join(stats.select(*keys, F.col("avg").alias("pair_avg")), keys, "inner")

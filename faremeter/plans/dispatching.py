@@ -68,7 +68,7 @@ def call_taxi_pairs(spark, d):
     "tagged",
 )
 def near_far_tag(spark, d):
-    return D.near_far(*_inputs(spark, d))
+    return D.near_far_counts(*_inputs(spark, d))
 
 
 @query(
@@ -221,7 +221,11 @@ def reassign_round(spark, d):
     return moves.select("batch", "taxi_id", "from_call", "to_call", F.round("delta", 6).alias("delta"))
 
 
-@query("dispatch_optimised")
+@query(
+    "dispatch_optimised",
+    f"select batch, count(*) as n_calls, {_OBJECTIVE} from loads3 group by batch",
+    "loads3",
+)
 def dispatch_optimised(spark, d):
     i = _inputs(spark, d)
     final = D.optimise(*i, rounds=3)
@@ -331,11 +335,27 @@ def fleet_ratio_sweep(spark, d):
     )
 
 
-@query("shift_simulation")
+@query(
+    "shift_simulation",
+    """select tenths / 10e0 as ratio, step, cast(sum(n) as bigint) as n_calls, round(avg(failure), 6) as failure_rate,
+         round(avg(wait), 6) as mean_wait
+       from (
+         select r.tenths, c.step, c.shift, count(*) as n,
+           avg(case when w.eta is null then 1e0 else 0e0 end) as failure,
+           coalesce(sum(w.eta), 0e0) / count(*) / 60 as wait
+         from (select tenths from (values (5), (10), (15)) v(tenths)) r cross join shift_calls c
+           left join shift_answers w on w.tenths = r.tenths and w.shift = c.shift and w.call_id = c.call_id
+         group by r.tenths, c.step, c.shift) z
+       group by tenths, step""",
+    "shift_calls shift_answers",
+)
 def shift_simulation(spark, d):
     calls = stored(V.shift_calls(spark, d), "shift-calls")
     fleet = stored(V.fleet(spark, d, calls, "shift"), "shift-taxis")
-    return D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, ratios=(0.5, 1.0, 1.5), key=_pick())
+    run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, ratios=(0.5, 1.0, 1.5), key=_pick())
+    return run.withColumns(
+        {"failure_rate": F.round("failure_rate", 6), "mean_wait": F.round("mean_wait", 6)}
+    )
 
 
 @query(

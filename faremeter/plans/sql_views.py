@@ -1,6 +1,11 @@
 """The logical views as SQL, used only to state expected results; the queries build theirs with DataFrames."""
 from __future__ import annotations
 
+# Score part of a call and a taxi that depends on the call, and the order in which a call picks among its taxis.
+PULL = """case when near = 1 then 8e-1 else 5e-1 end * pow((8 + (taxi_id * 31 + call_id * 17) % 3) / 10e0,
+  exp(-(((dist - 3) / 5e-1) * ((dist - 3) / 5e-1))))"""
+PICK = "(taxi_id * 7919 + call_id * 104729) % 1000003"
+
 VIEWS: dict[str, tuple[str, str]] = {
     "zones": ("", "select n_nationkey as zone, n_regionkey + 1 as h, n_nationkey % 6 + 1 as v from nation"),
     "edges": (
@@ -94,12 +99,9 @@ VIEWS: dict[str, tuple[str, str]] = {
     ),
     "pairs": (
         "tagged",
-        """select *, 2e-1 * sqrt(vacatime) / sqrt(600e0) + pull as p from (
+        f"""select *, 2e-1 * sqrt(vacatime) / sqrt(600e0) + pull as p from (
              select batch, call_id, taxi_id, near, vacatime, available, endtime,
-               case when available = 1 then calltime else endtime end + duration as eta,
-               case when near = 1 then 8e-1 else 5e-1 end
-                 * pow((8 + (taxi_id * 31 + call_id * 17) % 3) / 10e0,
-                       exp(-(((dist - 3) / 5e-1) * ((dist - 3) / 5e-1)))) as pull
+               case when available = 1 then calltime else endtime end + duration as eta, {PULL} as pull
              from tagged) x""",
     ),
     "assigned": (
@@ -108,30 +110,11 @@ VIEWS: dict[str, tuple[str, str]] = {
              select *, row_number() over (partition by batch, taxi_id order by round(pull, 9) desc, call_id) as rn
              from pairs) x where rn = 1""",
     ),
-    "loads": (
-        "calls assigned",
-        """select c.batch, c.call_id, coalesce(n, 0) as n_drivers, coalesce(lq, 0e0) as log_miss,
-             coalesce(h, 0e0) as hours
-           from calls c left join (
-             select batch, call_id, count(*) as n, sum(ln(greatest(1 - p, 1e-300))) as lq, sum(eta) / 3600 as h
-             from assigned group by batch, call_id) a on c.batch = a.batch and c.call_id = a.call_id""",
-    ),
-    "offered": (
-        "pairs loads assigned",
-        """select * from (
-             select p.batch, p.call_id, p.taxi_id, p.near, p.p, p.eta, l.n_drivers, l.log_miss, l.hours,
-               a.call_id as from_call, a.p as from_p, a.eta as from_eta, round(p.eta / 60 * p.p, 9) as value,
-               row_number() over (partition by p.batch, p.call_id order by round(p.eta / 60 * p.p, 9),
-                 case when p.available = 1 then p.vacatime else p.endtime end, p.taxi_id) as rnk
-             from pairs p join loads l on p.batch = l.batch and p.call_id = l.call_id
-               join assigned a on a.batch = p.batch and a.taxi_id = p.taxi_id
-             where l.n_drivers < 3 and a.call_id <> p.call_id) x where rnk <= 3""",
-    ),
     "accepted": (
         "assigned",
-        """select batch, call_id, taxi_id, p, eta from (
-             select *, row_number() over (partition by batch, call_id
-               order by (taxi_id * 7919 + call_id * 104729) % 1000003, taxi_id) as rn from assigned) x where rn = 1""",
+        f"""select batch, call_id, taxi_id, p, eta from (
+             select *, row_number() over (partition by batch, call_id order by {PICK}, taxi_id) as rn
+             from assigned) x where rn = 1""",
     ),
     "service": (
         "calls accepted",
@@ -141,27 +124,123 @@ VIEWS: dict[str, tuple[str, str]] = {
     ),
 }
 
-# One reassignment round: effect of every offer, then the offers that are best for both calls they touch.
-VIEWS["scored"] = (
-    "offered loads",
-    """select * from (
-         select o.batch, o.taxi_id, o.from_call, o.call_id as to_call, o.near, o.p, o.eta,
-           (1 - exp(o.log_miss + ln(greatest(1 - o.p, 1e-300))) + 6 * exp(-(o.hours + o.eta / 3600)))
-           - (1 - exp(o.log_miss) + 6 * exp(-o.hours))
-           + (1 - exp(l.log_miss - ln(greatest(1 - o.from_p, 1e-300))) + 6 * exp(-(l.hours - o.from_eta / 3600)))
-           - (1 - exp(l.log_miss) + 6 * exp(-l.hours)) as delta
-         from offered o join loads l on l.batch = o.batch and l.call_id = o.from_call
-         where l.n_drivers > 1) x where round(delta, 9) > 0""",
+
+def _add_round(suffix: str) -> None:
+    """Views of one reassignment round over the view assigned<suffix>: loads, offered, scored, moves."""
+    assigned, loads, offered, scored = (f"{v}{suffix}" for v in ("assigned", "loads", "offered", "scored"))
+    VIEWS[loads] = (
+        f"calls {assigned}",
+        f"""select c.batch, c.call_id, coalesce(n, 0) as n_drivers, coalesce(lq, 0e0) as log_miss,
+              coalesce(h, 0e0) as hours
+            from calls c left join (
+              select batch, call_id, count(*) as n, sum(ln(greatest(1 - p, 1e-300))) as lq, sum(eta) / 3600 as h
+              from {assigned} group by batch, call_id) a on c.batch = a.batch and c.call_id = a.call_id""",
+    )
+    VIEWS[offered] = (
+        f"pairs {loads} {assigned}",
+        f"""select * from (
+              select p.batch, p.call_id, p.taxi_id, p.near, p.p, p.eta, l.n_drivers, l.log_miss, l.hours,
+                a.call_id as from_call, a.p as from_p, a.eta as from_eta, round(p.eta / 60 * p.p, 9) as value,
+                row_number() over (partition by p.batch, p.call_id order by round(p.eta / 60 * p.p, 9),
+                  case when p.available = 1 then p.vacatime else p.endtime end, p.taxi_id) as rnk
+              from pairs p join {loads} l on p.batch = l.batch and p.call_id = l.call_id
+                join {assigned} a on a.batch = p.batch and a.taxi_id = p.taxi_id
+              where l.n_drivers < 3 and a.call_id <> p.call_id) x where rnk <= 3""",
+    )
+    VIEWS[scored] = (
+        f"{offered} {loads}",
+        f"""select * from (
+              select o.batch, o.taxi_id, o.from_call, o.call_id as to_call, o.near, o.p, o.eta,
+                (1 - exp(o.log_miss + ln(greatest(1 - o.p, 1e-300))) + 6 * exp(-(o.hours + o.eta / 3600)))
+                - (1 - exp(o.log_miss) + 6 * exp(-o.hours))
+                + (1 - exp(l.log_miss - ln(greatest(1 - o.from_p, 1e-300))) + 6 * exp(-(l.hours - o.from_eta / 3600)))
+                - (1 - exp(l.log_miss) + 6 * exp(-l.hours)) as delta
+              from {offered} o join {loads} l on l.batch = o.batch and l.call_id = o.from_call
+              where l.n_drivers > 1) x where round(delta, 9) > 0""",
+    )
+    # The moves that are best for both calls they touch.
+    VIEWS[f"moves{suffix}"] = (
+        scored,
+        f"""select s.* from {scored} s join (
+              select batch, taxi_id, to_call from (
+                select batch, taxi_id, to_call, row_number() over (partition by batch, side
+                  order by round(delta, 9) desc, taxi_id, to_call) as rn
+                from (select *, from_call as side from {scored} union all
+                      select *, to_call as side from {scored}) u) r
+              where rn = 1 group by batch, taxi_id, to_call having count(*) = 2) k
+            on s.batch = k.batch and s.taxi_id = k.taxi_id and s.to_call = k.to_call""",
+    )
+
+
+_add_round("")
+for _i in range(1, 4):
+    _before = "" if _i == 1 else str(_i - 1)
+    VIEWS[f"assigned{_i}"] = (
+        f"assigned{_before} moves{_before}",
+        f"""select a.batch, a.taxi_id, coalesce(m.to_call, a.call_id) as call_id, coalesce(m.near, a.near) as near,
+              coalesce(m.p, a.p) as p, coalesce(m.eta, a.eta) as eta
+            from assigned{_before} a left join moves{_before} m on a.batch = m.batch and a.taxi_id = m.taxi_id""",
+    )
+    _add_round(str(_i))
+
+# Shifts of ten batches with the fleet carried on, at three fleet ratios (in tenths).
+SHIFT_RATIOS = "(values (5), (10), (15)) v(tenths)"
+VIEWS["shift_calls"] = (
+    "placed",
+    """select call_id, cast(period * 10000000000 + pos // 500 as bigint) as shift, pos // 50 % 10 as step,
+         c_nationkey as pickupid, cast((call_id * 7) % 25 as int) as dropoffid,
+         (pos // 50 % 10 * 600 + pos % 50 * 12) * 1e0 as calltime, cast(call_id % 1800 + 60 as double) as duration,
+         (call_id % 60) / 10e0 as dist
+       from placed join customer on o_custkey = c_custkey""",
+)
+VIEWS["state0"] = (
+    "shift_calls taxis",
+    f"""select tenths, shift, taxi_id, locid, vacatime, available, desid, endtime from (
+          select *, row_number() over (partition by shift order by taxi_id) as taxi_rank,
+            count(*) over (partition by shift) as n
+          from (select distinct shift, l_suppkey from lineitem join shift_calls on l_orderkey = call_id) d
+            join taxis on l_suppkey = taxi_id) x cross join {SHIFT_RATIOS}
+        where taxi_rank <= n * tenths // 15""",
 )
-VIEWS["moves"] = (
-    "scored",
-    """select s.* from scored s join (
-         select batch, taxi_id, to_call from (
-           select batch, taxi_id, to_call, row_number() over (partition by batch, side
-             order by round(delta, 9) desc, taxi_id, to_call) as rn
-           from (select *, from_call as side from scored union all select *, to_call as side from scored) u) r
-         where rn = 1 group by batch, taxi_id, to_call having count(*) = 2) k
-       on s.batch = k.batch and s.taxi_id = k.taxi_id and s.to_call = k.to_call""",
+for _i in range(10):
+    VIEWS[f"best{_i}"] = (
+        f"shift_calls nearby state{_i}",
+        f"""select * from (
+              select *, row_number() over (partition by tenths, shift, taxi_id
+                order by round({PULL}, 9) desc, call_id) as rn
+              from (
+                select t.tenths, c.shift, c.call_id, c.calltime, c.duration, c.dropoffid, c.dist, t.taxi_id,
+                  case when t.available = 1 then c.calltime else t.endtime end + c.duration as eta,
+                  case when a.zone is not null or b.zone is not null then 1 else 0 end as near
+                from (select * from shift_calls where step = {_i}) c join state{_i} t on c.shift = t.shift
+                  left join nearby a on a.zone = c.pickupid and a.near_zone = t.locid
+                  left join nearby b on b.zone = c.pickupid and b.near_zone = t.desid) x) y where rn = 1""",
+    )
+    VIEWS[f"won{_i}"] = (
+        f"best{_i}",
+        f"""select tenths, shift, call_id, taxi_id, calltime, duration, dropoffid, eta from (
+              select tenths, shift, call_id, taxi_id, calltime, duration, dropoffid, eta,
+                row_number() over (partition by tenths, shift, call_id order by {PICK}, taxi_id) as rw
+              from best{_i}) x where rw = 1""",
+    )
+    VIEWS[f"state{_i + 1}"] = (
+        f"state{_i} won{_i} shift_calls",
+        f"""select tenths, shift, taxi_id, case when done then coalesce(to_zone, locid) else locid end as locid,
+              case when done then clock - ends when won then 0e0 else vacatime end as vacatime,
+              case when done then 1 when won then 0 else available end as available,
+              case when done then null else to_zone end as desid, ends as endtime
+            from (select *, coalesce(ends < clock and busy, false) as done from (
+              select t.*, k.clock, w.call_id is not null as won, w.call_id is not null or t.available = 0 as busy,
+                case when w.call_id is not null then w.calltime + w.duration else t.endtime end as ends,
+                case when w.call_id is not null then w.dropoffid else t.desid end as to_zone
+              from state{_i} t left join won{_i} w
+                  on w.tenths = t.tenths and w.shift = t.shift and w.taxi_id = t.taxi_id
+                left join (select shift, max(calltime) as clock from shift_calls where step = {_i} group by shift) k
+                  on k.shift = t.shift) x) y""",
+    )
+VIEWS["shift_answers"] = (
+    " ".join(f"won{_i}" for _i in range(10)),
+    " union all ".join(f"select tenths, shift, call_id, eta from won{_i}" for _i in range(10)),
 )
 
 

@@ -87,7 +87,7 @@ def test_best_call_equals_loops(world, assigned):
 
 def test_pair_totals_and_near_far_equal_loops(world):
     totals = {r.batch: r for r in D.pair_totals(*inputs(world)).collect()}
-    tags = {(r.batch, r.call_id): (r.n_near, r.n_far) for r in D.near_far(*inputs(world)).collect()}
+    tags = {(r.batch, r.call_id): (r.n_near, r.n_far) for r in D.near_far_counts(*inputs(world)).collect()}
     for b, cs, ts, pairs in by_batch(world):
         r = totals[b]
         assert (r.n_calls, r.n_taxis, r.n_pairs) == (len(cs), len(ts), len(pairs))
