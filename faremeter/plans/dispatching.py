@@ -63,7 +63,8 @@ def call_taxi_pairs(spark, d):
 
 @query(
     "near_far_tag",
-    """select batch, call_id, count_if(near = 1) as n_near, count_if(near = 0) as n_far from tagged
+    """select batch, call_id, count(*) filter (where near = 1) as n_near, count(*) filter (where near = 0) as n_far
+       from tagged
        group by batch, call_id""",
     "tagged",
 )
@@ -74,7 +75,7 @@ def near_far_tag(spark, d):
 @query(
     "scored_pairs",
     """select batch, count(distinct call_id) as n_calls, count(distinct taxi_id) as n_taxis, count(*) as n_pairs,
-         sum(near) as near_pairs, round(sum(p), 4) as sum_p, round(sum(eta), 2) as sum_eta,
+         cast(sum(near) as bigint) as near_pairs, round(sum(p), 4) as sum_p, round(sum(eta), 2) as sum_eta,
          round(min(eta), 4) as min_eta from pairs group by batch""",
     "pairs",
 )
@@ -161,7 +162,7 @@ def fleet_objective(spark, d):
 @query(
     "initial_dispatch",
     f"""select batch, count(*) as n_calls, cast(sum(n_drivers) as bigint) as n_taxis,
-          count_if(n_drivers > 0) as n_answered, {_OBJECTIVE} from loads group by batch""",
+          count(*) filter (where n_drivers > 0) as n_answered, {_OBJECTIVE} from loads group by batch""",
     "loads",
 )
 def initial_dispatch(spark, d):
@@ -199,7 +200,7 @@ def unmatched_calls(spark, d):
 
 @query(
     "candidate_taxis",
-    "select batch, call_id, taxi_id, rnk, near, round(value, 6) as value from offered",
+    "select batch, call_id, taxi_id, cast(rnk as int) as rnk, near, round(value, 6) as value from offered",
     "offered",
 )
 def candidate_taxis(spark, d):
@@ -337,7 +338,7 @@ def fleet_ratio_sweep(spark, d):
 
 @query(
     "shift_simulation",
-    """select tenths / 10e0 as ratio, step, cast(sum(n) as bigint) as n_calls, round(avg(failure), 6) as failure_rate,
+    """select tenths / 10e0 as ratio, cast(step as int) as step, cast(sum(n) as bigint) as n_calls, round(avg(failure), 6) as failure_rate,
          round(avg(wait), 6) as mean_wait
        from (
          select r.tenths, c.step, c.shift, count(*) as n,
