@@ -72,6 +72,11 @@ def eta(available: Column, calltime: Column, endtime: Column, duration: Column)
     return F.when(available == 1, calltime).otherwise(endtime) + duration
 
 
+def billionths(x: Column) -> Column:
+    """x in whole billionths, to compare scores: smaller differences are float noise and count as equal."""
+    return F.rint(x * F.lit(1e9))
+
+
 def log_refusal(p: Column) -> Column:
     """ln(1 - p), held finite at p = 1 and NULL for a missing p (`greatest` alone would skip the NULL)."""
     return F.when(p.isNotNull(), F.log(F.greatest(1 - p, F.lit(1e-300))))

@@ -135,7 +135,7 @@ def _offer(near: int, taxi_draw: int) -> Column:
     """One call as seen by a taxi class; the greatest offer is the best call, the lowest call_id among equals."""
     pull = _pull(near, taxi_draw)
     return F.struct(
-        F.round(pull, 9).alias("score"),
+        S.billionths(pull).alias("score"),
         (-F.col("call_id")).alias("neg_call_id"),
         F.lit(near).alias("near"),
         pull.alias("pull"),
@@ -272,7 +272,7 @@ def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res
             p = t["idle"] + F.get(pull, t["draw"])
             eta = S.eta(t["available"], F.col("k.calltime"), t["endtime"], F.col("k.duration"))
             return F.struct(
-                F.round(eta / 60 * p, 9).alias("value"),
+                S.billionths(eta / 60 * p).alias("value"),
                 t["step"].alias("step"),
                 t["taxi_id"].alias("taxi_id"),
                 F.lit(near_flag).alias("near"),
@@ -290,7 +290,7 @@ def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res
     kept = [F.col(f"k.{c}").alias(c) for c in ("call_id", "n_drivers", "log_miss", "hours")]
     return calls.select("batch", *kept, F.posexplode(best).alias("_at", "c")).select(
         "batch", "call_id", "n_drivers", "log_miss", "hours", (F.col("_at") + 1).alias("rnk"),
-        "c.value", "c.taxi_id", "c.near", "c.p", "c.eta", "c.taxi.from_call", "c.taxi.from_p", "c.taxi.from_eta",
+        (F.col("c.value") / 1e9).alias("value"), "c.taxi_id", "c.near", "c.p", "c.eta", "c.taxi.from_call", "c.taxi.from_p", "c.taxi.from_eta",
     )
 
 
@@ -320,7 +320,7 @@ def improving_moves(load: DataFrame, assignments: DataFrame, near: DataFrame, ma
     ) - S.call_value(F.col("from_miss"), F.col("from_hours"))
     moves = (
         offered.withColumn("delta", gain + loss)
-        .withColumn("delta_key", F.round("delta", 9))
+        .withColumn("delta_key", S.billionths(F.col("delta")))
         .filter(F.col("delta_key") > 0)
         .select("batch", "taxi_id", "from_call", F.col("call_id").alias("to_call"), "delta", "delta_key",
                 "near", "p", "eta")

@@ -90,7 +90,8 @@ def top_guests(spark, d):
 
 @query(
     "hosts_by_year",
-    """select cast(year(host_since) as int) as year, count(*) as hosts, count(*) filter (where superhost = 1) as superhosts
+    """select cast(year(host_since) as int) as year, count(*) as hosts,
+         count(*) filter (where superhost = 1) as superhosts
        from hosts group by 1""",
     "hosts",
 )
@@ -123,8 +124,8 @@ def hosts_by_location(spark, d):
     return top_n(counted, [("hosts", True)], 9, ["location"])
 
 
-_TOP_HOSTS = """select cast(row_number() over (order by total_listings_count desc, host_id) as int) as rank, host_id, host_name,
-    location, round(response_rate, 6) as response_rate, total_listings_count from hosts"""
+_TOP_HOSTS = """select cast(row_number() over (order by total_listings_count desc, host_id) as int) as rank, host_id,
+    host_name, location, round(response_rate, 6) as response_rate, total_listings_count from hosts"""
 
 
 def _top_hosts(spark, d, n):
@@ -153,7 +154,8 @@ def top3_flag(spark, d):
 
 @query(
     "top_expensive_listings",
-    """select cast(row_number() over (order by price desc, listing_id) as int) as rank, listing_id, neighbourhood, room_type, price
+    """select cast(row_number() over (order by price desc, listing_id) as int) as rank, listing_id, neighbourhood,
+         room_type, price
        from listings order by price desc, listing_id limit 10""",
     "listings",
 )

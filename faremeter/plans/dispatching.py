@@ -338,8 +338,8 @@ def fleet_ratio_sweep(spark, d):
 
 @query(
     "shift_simulation",
-    """select tenths / 10e0 as ratio, cast(step as int) as step, cast(sum(n) as bigint) as n_calls, round(avg(failure), 6) as failure_rate,
-         round(avg(wait), 6) as mean_wait
+    """select tenths / 10e0 as ratio, cast(step as int) as step, cast(sum(n) as bigint) as n_calls,
+         round(avg(failure), 6) as failure_rate, round(avg(wait), 6) as mean_wait
        from (
          select r.tenths, c.step, c.shift, count(*) as n,
            avg(case when w.eta is null then 1e0 else 0e0 end) as failure,

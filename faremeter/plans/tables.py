@@ -139,9 +139,9 @@ def filter_gt(spark, d):
     return _orders(spark, d, compare("o_totalprice", ">", 300000))
 
 
-@query("filter_le", _ORDERS + "o_custkey <= 100")
+@query("filter_le", _ORDERS + "o_totalprice <= 30000")
 def filter_le(spark, d):
-    return _orders(spark, d, compare("o_custkey", "<=", 100))
+    return _orders(spark, d, compare("o_totalprice", "<=", 30000))
 
 
 @query("filter_ge", f"select {LINE_KEY}, l_quantity from lineitem where l_quantity >= 25 and not isnan(l_quantity)")
@@ -166,10 +166,10 @@ def filter_or(spark, d):
 
 @query(
     "filter_nested",
-    _ORDERS + "(o_orderstatus = 'F' or (o_totalprice > 400000 and o_custkey < 500)) and o_totalprice >= 10000",
+    _ORDERS + "(o_orderstatus = 'F' or (o_totalprice > 400000 and o_orderpriority = '1-URGENT')) and o_totalprice >= 10000",
 )
 def filter_nested(spark, d):
-    large = all_of(compare("o_totalprice", ">", 400000), compare("o_custkey", "<", 500))
+    large = all_of(compare("o_totalprice", ">", 400000), compare("o_orderpriority", "=", "1-URGENT"))
     return _orders(
         spark, d, any_of(compare("o_orderstatus", "=", "F"), large), compare("o_totalprice", ">=", 10000)
     )
@@ -177,7 +177,7 @@ def filter_nested(spark, d):
 
 @query(
     "filter_conjunction",
-    _ORDERS + "o_orderstatus = 'F' and o_totalprice > 50000 and o_totalprice <= 250000 and o_custkey >= 10",
+    _ORDERS + "o_orderstatus = 'F' and o_totalprice > 50000 and o_totalprice <= 250000 and o_orderpriority != '5-LOW'",
 )
 def filter_conjunction(spark, d):
     return _orders(
@@ -186,7 +186,7 @@ def filter_conjunction(spark, d):
         compare("o_orderstatus", "=", "F"),
         compare("o_totalprice", ">", 50000),
         compare("o_totalprice", "<=", 250000),
-        compare("o_custkey", ">=", 10),
+        compare("o_orderpriority", "!=", "5-LOW"),
     )
 
 

@@ -182,16 +182,21 @@ def taxis(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _lines_of(spark: SparkSession, d: str, calls_df: DataFrame, key: str) -> DataFrame:
+    lines = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("call_id"), F.col("l_suppkey").alias("taxi_id")
+    )
+    return lines.join(calls_df.select("call_id", key), "call_id")
+
+
 def served(spark: SparkSession, d: str, calls_df: DataFrame, key: str = "batch") -> DataFrame:
     """(batch, call_id, taxi_id): the suppliers of each order, each once."""
-    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("call_id"), F.col("l_suppkey").alias("taxi_id"))
-    return lines.join(calls_df.select("call_id", key), "call_id").select(key, "call_id", "taxi_id").distinct()
+    return _lines_of(spark, d, calls_df, key).select(key, "call_id", "taxi_id").distinct()
 
 
 def fleet(spark: SparkSession, d: str, calls_df: DataFrame, key: str = "batch") -> DataFrame:
     """Taxis on duty per batch: the suppliers of the batch's orders, in their state."""
-    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("call_id"), F.col("l_suppkey").alias("taxi_id"))
-    on_duty = lines.join(calls_df.select("call_id", key), "call_id").select(key, "taxi_id").distinct()
+    on_duty = _lines_of(spark, d, calls_df, key).select(key, "taxi_id").distinct()
     return on_duty.join(taxis(spark, d), "taxi_id").select(
         key, "taxi_id", "locid", "vacatime", "available", "desid", "endtime", "draw"
     )

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from faremeter.sources import catalog, scratch
+from faremeter.sources import catalog, schemas, scratch
 from faremeter.sources import tables as io
 from faremeter.sources.scratch import scratch_root, stored
 
@@ -39,7 +39,7 @@ def test_csv_with_header_and_schema(spark, tmp_path):
 
 
 def test_request_row_is_replaced(spark, tmp_path):
-    schema = "dist double, dow int, dom int, dropoffid int, hour int, minute int, month int, pickupid int"
+    schema = schemas.REQUEST
     request = dict(dist=2.5, dow=1, dom=30, dropoffid=7, hour=8, minute=45, month=6, pickupid=3)
     path = str(tmp_path / "request")
     io.put_request(spark, request, schema, path)
@@ -93,3 +93,43 @@ def test_stored_cuts_lineage_and_keeps_content(spark):
     assert held.schema["r"].dataType == df.schema["r"].dataType
     assert sorted(held.collect()) == sorted(held.collect())
     assert "FileScan parquet" in held._jdf.queryExecution().toString()
+
+
+def test_schemas_are_valid(spark):
+    for name in [n for n in dir(schemas) if n.isupper()]:
+        assert spark.createDataFrame([], getattr(schemas, name)).columns
+
+
+def test_ranking_pages_from_csv(spark, tmp_path):
+    """The host page: a CSV sorted by listing count, with rank and the first three marked."""
+    from faremeter.operators.ranking import ranked_top
+
+    path = str(tmp_path / "host.csv")
+    with open(path, "w") as f:
+        f.write("host_name,url,location,response_rate,total_listings_count\n")
+        f.write("".join(f"h{i},u{i},Bangkok,9{i}%,{c}\n" for i, c in enumerate([3, 50, 7, 50, 1])))
+    hosts = io.read_csv(spark, path, schemas.HOSTS)
+    top = ranked_top(hosts, [("total_listings_count", True)], 4, ["host_name"]).withColumn("top3", F.col("rank") <= 3)
+    got = [(r["rank"], r.host_name, r.top3) for r in top.orderBy("rank").collect()]
+    assert got == [(1, "h1", True), (2, "h3", True), (3, "h2", True), (4, "h0", False)]
+
+
+def test_taxi_tables_from_csv_to_features(spark, tmp_path):
+    """Adjacency and grid come as tables; a repeated edge and an unknown zone do no harm."""
+    from faremeter.operators.aggregates import pair_stats
+    from faremeter.operators.features import trip_features
+
+    for name, text in {
+        "edges": "src,dst\n237,162\n237,162\n75,41\n",
+        "zones": "zone,h,v\n237,8,4\n162,7,5\n75,10,3\n41,11,2\n",
+        "trips": "PULocationID,DOLocationID,trip_distance\n237,162,2.5\n237,162,0.5\n237,162,-1\n9,75,1\n",
+    }.items():
+        (tmp_path / name).write_text(text)
+    edges = io.read_csv(spark, str(tmp_path / "edges"), schemas.EDGES)
+    zones = io.read_csv(spark, str(tmp_path / "zones"), schemas.ZONES)
+    trips = io.read_csv(spark, str(tmp_path / "trips"), schemas.TRIPS)
+    stats = pair_stats(trips, ["PULocationID", "DOLocationID"])
+    assert sorted(map(tuple, stats.collect())) == [(9, 75, 1.0, 1.0, 1.0), (237, 162, 2.5, 0.5, 1.5)]
+    named = trips.withColumnsRenamed({"PULocationID": "pickupid", "DOLocationID": "dropoffid"})
+    rows = trip_features(named, edges, zones, label=None).orderBy("trip_distance").collect()
+    assert [(r.near, r.h_pu, r.v_do) for r in rows] == [(1, 8, 5), (1, 8, 5), (0, None, 3), (1, 8, 5)]
