@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
+_local: tempfile.TemporaryDirectory | None = None
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -15,15 +15,15 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local-mode session without one falls back to a temporary folder of this machine; on a cluster a missing
     setting is an error, since executors could not read each other's files.
     """
-    global _local_root
+    global _local
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="faremeter-")
-    return _local_root
+    if _local is None:
+        _local = tempfile.TemporaryDirectory(prefix="faremeter-")  # removed when Python ends
+    return _local.name
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -61,3 +61,35 @@ def test_whole_stage_codegen_spans_the_feature_plan(spark):
     df = Q["trip_features"](spark, SF_DIR)
     df.collect()
     assert "*(" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_order_is_split_in_the_trip_join(spark, tmp_path):
+    """Half of all lines belong to one order; adaptive execution splits that key instead of one task joining it all."""
+    from pyspark.sql import functions as F
+
+    from faremeter.plans import views as V
+
+    for name in ("orders", "customer", "supplier"):
+        V.table(spark, SF_DIR, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    lines = V.table(spark, SF_DIR, "lineitem")
+    hot = F.when(F.col("l_partkey") % 2 == 0, F.lit(11).cast("bigint")).otherwise(F.col("l_orderkey"))
+    spread = lines.withColumn("l_orderkey", hot).crossJoin(spark.range(10).drop("id")).repartition(16)
+    spread.write.parquet(str(tmp_path / "lineitem.parquet"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = Q["pair_distance_stats"](spark, str(tmp_path))
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in text.split("Initial Plan")[0]
