@@ -106,11 +106,11 @@ def acceptance_score(spark, d):
 
 @query(
     "pair_eta",
-    f"select p.batch, p.call_id, p.taxi_id, round(eta, 4) as eta {_SERVED}",
+    f"select p.batch, p.call_id, p.taxi_id, eta {_SERVED}",
     "served pairs",
 )
 def pair_eta(spark, d):
-    return _served_scores(spark, d).select("batch", "call_id", "taxi_id", F.round("eta", 4).alias("eta"))
+    return _served_scores(spark, d).select("batch", "call_id", "taxi_id", "eta")
 
 
 # ---- first assignment
@@ -118,14 +118,12 @@ def pair_eta(spark, d):
 
 @query(
     "best_call_per_taxi",
-    "select batch, taxi_id, call_id, near, round(p, 6) as p, round(eta, 4) as eta from assigned",
+    "select batch, taxi_id, call_id, near, round(p, 6) as p, eta from assigned",
     "assigned",
 )
 def best_call_per_taxi(spark, d):
     _, assigned = _assigned(spark, d)
-    return assigned.select(
-        "batch", "taxi_id", "call_id", "near", F.round("p", 6).alias("p"), F.round("eta", 4).alias("eta")
-    )
+    return assigned.select("batch", "taxi_id", "call_id", "near", F.round("p", 6).alias("p"), "eta")
 
 
 @query("drivers_per_call", "select batch, call_id, n_drivers from loads", "loads")
@@ -142,9 +140,9 @@ def call_response_prob(spark, d):
     return _load(spark, d).select("batch", "call_id", F.round(1 - F.exp("log_miss"), 6).alias("response_prob"))
 
 
-@query("call_total_time", "select batch, call_id, round(hours, 6) as hours from loads", "loads")
+@query("call_total_time", "select batch, call_id, hours from loads", "loads")
 def call_total_time(spark, d):
-    return _load(spark, d).select("batch", "call_id", F.round("hours", 6).alias("hours"))
+    return _load(spark, d).select("batch", "call_id", "hours")
 
 
 _OBJECTIVE = "round(avg(1 - exp(log_miss) + 6 * exp(-hours)), 6) as objective"
@@ -244,14 +242,14 @@ def accepted_taxi(spark, d):
 
 @query(
     "assigned_wait",
-    """select a.batch, a.call_id, a.taxi_id, round(p.eta / 60, 4) as wait_minutes from accepted a
+    """select a.batch, a.call_id, a.taxi_id, p.eta / 60 as wait_minutes from accepted a
        join pairs p on p.batch = a.batch and p.call_id = a.call_id and p.taxi_id = a.taxi_id""",
     "accepted pairs",
 )
 def assigned_wait(spark, d):
     i, accepted = _accepted(spark, d)
     scored = D.score_served(accepted.select("batch", "call_id", "taxi_id"), *i)
-    return scored.select("batch", "call_id", "taxi_id", F.round(F.col("eta") / 60, 4).alias("wait_minutes"))
+    return scored.select("batch", "call_id", "taxi_id", (F.col("eta") / 60).alias("wait_minutes"))
 
 
 @query(
@@ -268,14 +266,12 @@ def failure_rate(spark, d):
 
 @query(
     "mean_wait",
-    "select batch, n_calls, round(mean_wait, 4) as mean_wait from service",
+    "select batch, n_calls, mean_wait from service",
     "service",
 )
 def mean_wait(spark, d):
     i, accepted = _accepted(spark, d)
-    return D.service_metrics(i.calls, accepted).select(
-        "batch", "n_calls", F.round("mean_wait", 4).alias("mean_wait")
-    )
+    return D.service_metrics(i.calls, accepted).select("batch", "n_calls", "mean_wait")
 
 
 _NOW = 1200.0

@@ -50,7 +50,7 @@ def _predictions(df, label="time"):
 
 @query(
     "trip_features",
-    f"""select {LINE_KEY}, case when src is not null then 1 else 0 end as near, round(duration / 60, 4) as time,
+    f"""select {LINE_KEY}, case when src is not null then 1 else 0 end as near, duration / 60 as time,
           a.h as h_pu, b.h as h_do, a.v as v_pu, b.v as v_do
         from trips left join edges on pickupid = src and dropoffid = dst
           left join zones a on pickupid = a.zone left join zones b on dropoffid = b.zone""",
@@ -58,7 +58,7 @@ def _predictions(df, label="time"):
 )
 def trip_features(spark, d):
     built = X.trip_features(V.trips(spark, d), V.edges(spark, d), V.zones(spark, d))
-    return built.select(*V.LINE_KEY, "near", F.round("time", 4).alias("time"), "h_pu", "h_do", "v_pu", "v_do")
+    return built.select(*V.LINE_KEY, "near", "time", "h_pu", "h_do", "v_pu", "v_do")
 
 
 @query(

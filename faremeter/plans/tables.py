@@ -46,13 +46,12 @@ def csv_roundtrip(spark, d):
 
 @query(
     "sink_replace",
-    'select pickupid, dropoffid, "max", "min", round("avg", 6) as "avg" from pair_stats',
+    'select pickupid, dropoffid, "max", "min", "avg" from pair_stats',
     "pair_stats",
 )
 def sink_replace(spark, d):
     path = _new_path(spark, "dist")
-    stats = io.replace(pair_stats(V.trips(spark, d)), path)
-    return stats.withColumn("avg", F.round("avg", 6))
+    return io.replace(pair_stats(V.trips(spark, d)), path)
 
 
 @query(
@@ -105,13 +104,12 @@ def project_then_filter(spark, d):
 
 @query(
     "pair_lookup",
-    """select pickupid, dropoffid, "max", "min", round("avg", 6) as "avg" from pair_stats
+    """select pickupid, dropoffid, "max", "min", "avg" from pair_stats
        where pickupid = 3 and dropoffid = 7""",
     "pair_stats",
 )
 def pair_lookup(spark, d):
-    found = lookup(pair_stats(V.trips(spark, d)), {"pickupid": 3, "dropoffid": 7})
-    return found.withColumn("avg", F.round("avg", 6))
+    return lookup(pair_stats(V.trips(spark, d)), {"pickupid": 3, "dropoffid": 7})
 
 
 # ---- filters
@@ -314,9 +312,9 @@ def clustered_layout(spark, d):
 # ---- scalar functions
 
 
-@query("trip_minutes", f"select {LINE_KEY}, round(duration / 60, 4) as minutes from trips", "trips")
+@query("trip_minutes", f"select {LINE_KEY}, duration / 60 as minutes from trips", "trips")
 def trip_minutes(spark, d):
-    return V.trips(spark, d).select(*V.LINE_KEY, F.round(S.minutes(F.col("duration")), 4).alias("minutes"))
+    return V.trips(spark, d).select(*V.LINE_KEY, S.minutes(F.col("duration")).alias("minutes"))
 
 
 @query(

@@ -15,22 +15,21 @@ PAIR = ["pickupid", "dropoffid"]
 
 @query(
     "pair_distance_stats",
-    'select pickupid, dropoffid, "max", "min", round("avg", 6) as "avg" from pair_stats',
+    'select pickupid, dropoffid, "max", "min", "avg" from pair_stats',
     "pair_stats",
 )
 def pair_distance_stats(spark, d):
-    return pair_stats(V.trips(spark, d)).withColumn("avg", F.round("avg", 6))
+    return pair_stats(V.trips(spark, d))
 
 
 @query(
     "adhoc_group_by",
-    """select vendor, pickupid, round(avg(price), 6) as avg_price, min(price) as min_price, max(price) as max_price
-       from trips group by vendor, pickupid""",
+    """select vendor, pickupid, avg(trip_distance) as avg_trip_distance, min(trip_distance) as min_trip_distance,
+         max(trip_distance) as max_trip_distance from trips group by vendor, pickupid""",
     "trips",
 )
 def adhoc_group_by(spark, d):
-    grouped = adhoc_aggregate(V.trips(spark, d), ["vendor", "pickupid"], "price", ["avg", "min", "max"])
-    return grouped.withColumn("avg_price", F.round("avg_price", 6))
+    return adhoc_aggregate(V.trips(spark, d), ["vendor", "pickupid"], "trip_distance", ["avg", "min", "max"])
 
 
 @query(
@@ -62,7 +61,7 @@ def neighbourhood_set(spark, d):
 
 @query(
     "trip_vs_pair_avg",
-    f"""select {LINE_KEY}, round("avg", 6) as pair_avg, round(trip_distance - "avg", 6) as vs_pair_avg
+    f"""select {LINE_KEY}, "avg" as pair_avg, trip_distance - "avg" as vs_pair_avg
         from trips join pair_stats using (pickupid, dropoffid)""",
     "trips pair_stats",
 )
@@ -71,9 +70,7 @@ def trip_vs_pair_avg(spark, d):
     # As a stored table the few statistics have a known size, so the trips are not shuffled by route to meet them.
     stats = stored(pair_stats(picked), "dist")
     compared = joins.vs_pair_stats(picked, stats, PAIR, "trip_distance")
-    return compared.select(
-        *V.LINE_KEY, F.round("pair_avg", 6).alias("pair_avg"), F.round("vs_pair_avg", 6).alias("vs_pair_avg")
-    )
+    return compared.select(*V.LINE_KEY, "pair_avg", "vs_pair_avg")
 
 
 @query(
