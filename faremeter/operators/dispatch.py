@@ -256,14 +256,22 @@ def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res
         F.collect_list(caller).alias("calls")
     )
 
-    def first_of_each(keep) -> Column:
-        return F.transform("classes", lambda c: F.slice(F.filter(c, keep), 1, depth))
+    def is_near(t: Column) -> Column:
+        return F.array_contains(t["reach"], F.col("pickupid"))
 
-    pools = open_zones.join(lists, "batch").select(
+    def first_far(taxis: Column, near_taxis: Column) -> Column:
+        # Enough of the list to hold `depth` far taxis whatever the near ones in between.
+        head = F.slice(taxis, F.lit(1), F.size(near_taxis) + depth)
+        return F.slice(F.filter(head, lambda t: ~is_near(t)), 1, depth)
+
+    split = open_zones.join(lists, "batch").withColumn(
+        "near_all", F.transform("classes", lambda c: F.filter(c, is_near))
+    )
+    pools = split.select(
         "batch",
         "calls",
-        first_of_each(lambda t: F.array_contains(t["reach"], F.col("pickupid"))).alias("near_taxis"),
-        first_of_each(lambda t: ~F.array_contains(t["reach"], F.col("pickupid"))).alias("far_taxis"),
+        F.transform("near_all", lambda c: F.slice(c, 1, depth)).alias("near_taxis"),
+        F.zip_with("classes", "near_all", first_far).alias("far_taxis"),
     )
     calls = pools.select("batch", F.explode("calls").alias("k"), "near_taxis", "far_taxis")
 
@@ -350,7 +358,8 @@ def apply_moves(assignments: DataFrame, moves: DataFrame) -> DataFrame:
 
 def reassign_round(calls: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3) -> DataFrame:
     """Assignments after one round. Pass a stored table: the round reads it three times."""
-    return apply_moves(assignments, improving_moves(call_load(calls, assignments), assignments, near, max_res))
+    load = stored(call_load(calls, assignments), "load")
+    return apply_moves(assignments, improving_moves(load, assignments, near, max_res))
 
 
 def optimise(
