@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremeter.llm import mixing
+from faremeter.llm import linededup, mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +19,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken", "position")
 
 
-QUERIES: dict[str, Query] = {"op6_mixing": op6_mixing}
-ORACLES: dict[str, str] = {"op6_mixing": mixing.SQL}
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, most=4)
+
+
+QUERIES: dict[str, Query] = {
+    "op6_mixing": op6_mixing,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_line_dedup": op9_line_dedup,
+}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.SQL, "op9_line_dedup": linededup.SQL}
