@@ -4,8 +4,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from faremeter.llm import linededup, mixing, simhash
+from faremeter.llm import linededup, mixing, simhash, toxicity
+from faremeter.llm.common import held_out_column
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,9 +30,19 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, most=4)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select(
+        "row.doc_id", held_out_column("row.doc_id", 5, 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op6_mixing": op6_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_line_dedup": op9_line_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {"op6_mixing": mixing.SQL, "op9_line_dedup": linededup.SQL}
