@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremeter.llm import linededup, mixing, simhash, toxicity
-from faremeter.llm.common import held_out_column
+from faremeter.llm.common import held_out_column, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +17,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", mixing.word_count(text_of()).alias("size"))
+    mixed = mixing.mix(sized, size=F.col("size"))
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken", "position")
 
 
