@@ -3,10 +3,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremeter.llm import linededup, mixing, simhash, toxicity
+from faremeter.llm import linededup, mixing, pieces, simhash, tokenids, toxicity, warc
 from faremeter.llm.common import held_out_column, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = tokenids.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    back = tokenids.read_token_files(spark, folder)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id", pieces.n_ids().alias("n_tokens"), F.sha2("piece_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", mixing.word_count(text_of()).alias("size"))
@@ -28,6 +45,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_archives(_table(spark, sf_dir, "pages"), least_revisit=0)
+    back = warc.read_archives(spark, folder, with_payload=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, most=4)
 
@@ -42,9 +65,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_ids": op1_token_ids,
+    "op2_pieces": op2_pieces,
     "op6_mixing": op6_mixing,
+    "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {"op6_mixing": mixing.SQL, "op9_line_dedup": linededup.SQL}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_line_dedup": linededup.SQL}
