@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremeter.llm import linededup, mixing, pieces, simhash, tokenids, toxicity, warc
+from faremeter.llm import forest, linededup, mixing, pieces, simhash, tokenids, toxicity, warc
 from faremeter.llm.common import held_out_column, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return forest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", mixing.word_count(text_of()).alias("size"))
@@ -67,6 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_ids": op1_token_ids,
     "op2_pieces": op2_pieces,
+    "op3_forest": op3_forest,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
