@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremeter.llm import forest, linededup, mixing, pieces, simhash, tokenids, toxicity, warc
+from faremeter.llm import bm25, forest, linededup, mixing, pieces, simhash, tokenids, toxicity, warc
 from faremeter.llm.common import held_out_column, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op3_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op4_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25.search(_table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("doc_id") % 20 == 0, k=10)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", mixing.word_count(text_of()).alias("size"))
@@ -73,10 +77,11 @@ QUERIES: dict[str, Query] = {
     "op1_token_ids": op1_token_ids,
     "op2_pieces": op2_pieces,
     "op3_forest": op3_forest,
+    "op4_bm25": op4_bm25,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {"op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_line_dedup": linededup.SQL}
+ORACLES: dict[str, str] = {"op4_bm25": bm25.SQL, "op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_line_dedup": linededup.SQL}
