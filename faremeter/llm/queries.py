@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremeter.llm import bm25, forest, linededup, mixing, pieces, simhash, tokenids, toxicity, warc
+from faremeter.llm import bm25, forest, linededup, mixing, pieces, pitmanyor, simhash, tokenids, toxicity, warc
 from faremeter.llm.common import held_out_column, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op4_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.search(_table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("doc_id") % 20 == 0, k=10)
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", mixing.word_count(text_of()).alias("size"))
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op2_pieces": op2_pieces,
     "op3_forest": op3_forest,
     "op4_bm25": op4_bm25,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
