@@ -10,8 +10,30 @@ def day_of_week(ts: Column) -> Column:
     return (F.weekday(ts) + 1).cast("int")
 
 
+def _digits(part: Column, width: int = 2) -> Column:
+    return F.lpad(part.cast("int").cast("string"), width, "0")
+
+
+# Texts are built from the parts: formatting a timestamp without a zone goes through the session's zone, where a clock
+# change moves it.
 def month_label(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    return F.when(ts.isNotNull(), F.concat_ws("-", _digits(F.year(ts), 4), _digits(F.month(ts))))
+
+
+def date_text(ts: Column) -> Column:
+    """`yyyy-MM-dd`; NULL for NULL."""
+    return F.when(ts.isNotNull(), F.concat_ws("-", month_label(ts), _digits(F.dayofmonth(ts))))
+
+
+def clock_text(ts: Column) -> Column:
+    """`HH:mm`; NULL for NULL."""
+    return F.when(ts.isNotNull(), F.concat_ws(":", _digits(F.hour(ts)), _digits(F.minute(ts))))
+
+
+def timestamp_text(ts: Column) -> Column:
+    """`yyyy-MM-dd HH:mm:ss`; NULL for NULL."""
+    seconds = F.concat_ws(":", clock_text(ts), _digits(F.floor(F.second(ts))))
+    return F.when(ts.isNotNull(), F.concat_ws(" ", date_text(ts), seconds))
 
 
 def three_hour_bucket(ts: Column) -> Column:
@@ -33,8 +55,10 @@ def parse_date(text: Column) -> Column:
     return F.try_to_date(text, "yyyy-MM-dd")
 
 
-def parse_timestamp(text: Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+def parse_timestamp(text: Column) -> Column:
+    """Timestamp without a zone of a `yyyy-MM-dd HH:mm:ss` text; NULL where the text is none. No zone is involved."""
+    shaped = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$")
+    return F.when(shaped, text.try_cast("timestamp_ntz"))
 
 
 def calendar_features(df: DataFrame, ts: str) -> DataFrame:

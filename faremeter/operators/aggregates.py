@@ -68,9 +68,9 @@ def by_calendar(df: DataFrame, ts: str, grain: str, aggs: Mapping[str, Column],
     return df.groupBy(label).agg(*[expr.alias(out) for out, expr in aggs.items()])
 
 
-def histogram_of_counts(df: DataFrame, key: str, up_to: int) -> DataFrame:
-    """How many keys have 1, 2, ... `up_to` rows: (size, n)."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") <= up_to)
+def histogram_of_counts(df: DataFrame, key: str) -> DataFrame:
+    """How many keys have 1, 2, ... rows: (size, n), every size that occurs."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
     return sizes.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
 
 

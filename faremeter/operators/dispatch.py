@@ -26,6 +26,7 @@ from faremeter.operators.joins import near_far
 from faremeter.operators.ranking import group_positions, top_k_per
 from faremeter.sources.scratch import stored
 
+# The fleet sizes that the service level is reported for.
 FLEET_RATIOS = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.4, 1.5)
 _FLEET_COLUMNS = ["batch", "taxi_id", "locid", "vacatime", "available", "desid", "endtime", "draw"]
 
@@ -363,13 +364,27 @@ def reassign_round(calls: DataFrame, assignments: DataFrame, near: DataFrame, ma
 
 
 def optimise(
-    calls: DataFrame, fleet: DataFrame, near: DataFrame, max_res: int = 3, rounds: int = 3
+    calls: DataFrame, fleet: DataFrame, near: DataFrame, max_res: int = 3, rounds: int | None = None
 ) -> DataFrame:
-    """First assignment improved by `rounds` rounds; all batches move in the same job, one stored table per round."""
+    """First assignment improved round by round until no move stands, or for at most `rounds` rounds.
+
+    Every standing move raises its batch's objective by at least half a billionth, so the rounds end. All batches move
+    in the same job and a round's result is one stored table. A batch without a standing move is finished and leaves the
+    rounds, so later ones work on the batches that still change.
+    """
     current = stored(assign_best(calls, fleet, near), "assigned")
-    for _ in range(rounds):
-        current = stored(reassign_round(calls, current, near, max_res), "assigned")
-    return current
+    moving_calls, finished, done = calls, [], 0
+    while rounds is None or done < rounds:
+        load = stored(call_load(moving_calls, current), "load")
+        moves = stored(improving_moves(load, current, near, max_res), "moves")
+        if moves.isEmpty():
+            break
+        moving = moves.select("batch").distinct()
+        finished.append(current.join(moving, "batch", "left_anti"))
+        current = stored(apply_moves(current.join(moving, "batch", "left_semi"), moves), "assigned")
+        moving_calls = calls.join(moving, "batch", "left_semi")
+        done += 1
+    return reduce(DataFrame.unionByName, [*finished, current])
 
 
 # --------------------------------------------------------------------------- acceptance and service level
@@ -412,53 +427,32 @@ def ratio_sweep(
     near: DataFrame,
     ratios: Sequence[float] = FLEET_RATIOS,
     key: Column | None = None,
+    max_res: int = 3,
+    rounds: int | None = None,
 ) -> DataFrame:
     """Failure rate and mean wait by fleet size: (ratio, n_batches, failure_rate, mean_wait).
 
-    The whole fleet of a batch stands for the largest ratio; a smaller one keeps the first taxis by taxi_id. A taxi's
-    best call does not depend on the other taxis, so one assignment serves all ratios and each call picks its taxi
-    once per ratio in the same aggregation.
+    The whole fleet of a batch stands for the largest ratio; a smaller one keeps the first taxis by taxi_id. Every batch
+    and ratio is a dispatch problem of its own; all are assigned and improved in the same jobs. A batch without taxis
+    answers no call.
     """
+    n = len(ratios)
     sizes = fleet.groupBy("batch").agg(F.count(F.lit(1)).alias("n_taxis"))
     placed = group_positions(fleet.select(*_FLEET_COLUMNS), ["batch"], ["taxi_id"], "taxi_rank").join(sizes, "batch")
-    order = pick_key(F.col("taxi_id"), F.col("call_id")) if key is None else key
-
-    def on_duty(ratio: float) -> Column:
-        return F.col("taxi_rank") <= _fleet_size(F.lit(float(ratio)), max(ratios))
-
-    choice = F.struct(order.alias("key"), "taxi_id", "eta")
-    picked = _with_best_offer(calls, placed, near).groupBy("batch", "call_id").agg(
-        *[F.min(F.when(on_duty(r), choice)).alias(f"w{i}") for i, r in enumerate(ratios)]
-    )
-    per_batch = (
-        calls.join(sizes, "batch", "left_semi")
-        .select("batch", "call_id")
-        .join(picked, ["batch", "call_id"], "left")
-        .groupBy("batch")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_if(F.col(f"w{i}").isNull()).alias(f"f{i}") for i in range(len(ratios))],
-            *[F.coalesce(F.sum(f"w{i}.eta"), F.lit(0.0)).alias(f"e{i}") for i in range(len(ratios))],
-        )
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(float(r)).alias("ratio"),
-                (F.col(f"f{i}") / F.col("n")).alias("failure"),
-                (F.col(f"e{i}") / F.col("n") / 60).alias("wait"),
-            )
-            for i, r in enumerate(ratios)
-        ]
-    )
-    return (
-        per_batch.select(F.explode(rows).alias("r"))
-        .groupBy("r.ratio")
-        .agg(
-            F.count(F.lit(1)).alias("n_batches"),
-            F.avg("r.failure").alias("failure_rate"),
-            F.avg("r.wait").alias("mean_wait"),
-        )
+    scenarios = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(float(r)).alias("ratio")) for i, r in enumerate(ratios)])
+    fits = F.filter(scenarios, lambda r: F.col("taxi_rank") <= _fleet_size(r["ratio"], max(ratios)))
+    problem = (F.col("batch") * n + F.col("_s.at")).alias("batch")
+    others = [c for c in _FLEET_COLUMNS if c != "batch"]
+    taxis = stored(placed.withColumn("_s", F.explode(fits)).select(problem, *others), "sweep-fleet")
+    facts = [c for c in calls.columns if c != "batch"]
+    spread = calls.withColumn("_s", F.explode(scenarios)).select(problem, F.col("_s.ratio").alias("ratio"), *facts)
+    asked = stored(spread, "sweep-calls")
+    accepted = accept(optimise(asked.drop("ratio"), taxis, near, max_res, rounds), key)
+    per_batch = service_metrics(asked, accepted).join(asked.select("batch", "ratio").distinct(), "batch")
+    return per_batch.groupBy("ratio").agg(
+        F.count(F.lit(1)).alias("n_batches"),
+        F.avg("failure_rate").alias("failure_rate"),
+        F.avg("mean_wait").alias("mean_wait"),
     )
 
 
@@ -503,11 +497,13 @@ def run_shifts(
     steps: int,
     ratios: Sequence[float] = FLEET_RATIOS,
     max_res: int = 3,
-    rounds: int = 0,
+    rounds: int | None = None,
     key: Column | None = None,
 ) -> DataFrame:
     """Carry the fleet through `steps` successive batches: (ratio, step, n_calls, failure_rate, mean_wait).
 
+    Each step improves its assignment until no move stands; `rounds` bounds that, and 0 leaves the first assignment.
+
     `calls` has shift (bigint) and step (from 0) instead of batch, `fleet` has shift. Every shift and ratio is a run of
     its own; each step is one job over all runs and leaves the accepted calls and the new fleet state as stored tables.
     Rates are means over the runs of a ratio.
@@ -533,7 +529,7 @@ def run_shifts(
     accepted = []
     for step in range(steps):
         current = runs.filter(F.col("step") == step).drop("step", "ratio")
-        if rounds:
+        if rounds != 0:
             moved = optimise(current, state, near, max_res, rounds)
             assigned = moved.join(current.select("batch", "call_id", *trip), ["batch", "call_id"])
         else:

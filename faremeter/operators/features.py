@@ -11,10 +11,6 @@ from pyspark.sql import types as T
 from faremeter.functions.scalars import minutes
 from faremeter.operators.joins import near_flag, with_grid
 
-# Keys, raw timestamps and the label are not features.
-NOT_FEATURES = ("_id", "duration", "pickup", "dropof", "pickupid", "dropoffid", "cong", "time")
-
-
 def trip_features(trips: DataFrame, edges: DataFrame, zones: DataFrame, label: str | None = "time") -> DataFrame:
     """Trips with near, the grid cells of both ends and, given a label name, `duration` in minutes under that name.
 
@@ -24,13 +20,13 @@ def trip_features(trips: DataFrame, edges: DataFrame, zones: DataFrame, label: s
     return built.withColumn(label, minutes(F.col("duration"))) if label else built
 
 
-def feature_columns(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES) -> list[str]:
-    """The numeric columns that are not excluded."""
+def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+    """The numeric columns that are not excluded; callers name keys, times and the label."""
     return [f.name for f in df.schema.fields if f.name not in exclude and isinstance(f.dataType, T.NumericType)]
 
 
 def vectors(
-    df: DataFrame, exclude: Sequence[str] = NOT_FEATURES, output: str = "features", invalid: str = "error"
+    df: DataFrame, exclude: Sequence[str], output: str = "features", invalid: str = "error"
 ) -> DataFrame:
     """Assemble all non-excluded numeric columns into one vector column.
 

@@ -22,6 +22,11 @@ def linear(label: str = "time", **params) -> LinearRegression:
     return LinearRegression(featuresCol="features", labelCol=label, **settings)
 
 
+def least_squares(label: str = "time") -> LinearRegression:
+    """Linear regression without a penalty, solved by the normal equations."""
+    return LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, elasticNetParam=0.0, solver="normal")
+
+
 def boosted_trees(label: str = "time", **params) -> GBTRegressor:
     settings = {"maxIter": 200, "subsamplingRate": 0.8, "seed": 1024, **params}
     return GBTRegressor(featuresCol="features", labelCol=label, **settings)

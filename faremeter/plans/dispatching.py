@@ -10,6 +10,7 @@ from faremeter.functions import scalars as S
 from faremeter.operators import dispatch as D
 from faremeter.operators.aggregates import regression_metrics
 from faremeter.plans import views as V
+from faremeter.plans.learning import distance_predictions
 from faremeter.plans.registry import query
 from faremeter.sources.scratch import stored
 
@@ -41,8 +42,9 @@ def _load(spark, d) -> DataFrame:
 
 
 def _accepted(spark, d) -> tuple[Inputs, DataFrame]:
-    i, assigned = _assigned(spark, d)
-    return i, D.accept(assigned, _pick())
+    """One taxi per call, picked after reassignment has come to its end."""
+    i = _inputs(spark, d)
+    return i, D.accept(D.optimise(*i), _pick())
 
 
 # ---- pairs
@@ -222,15 +224,29 @@ def reassign_round(spark, d):
 
 @query(
     "dispatch_optimised",
-    f"select batch, count(*) as n_calls, {_OBJECTIVE} from loads3 group by batch",
-    "loads3",
+    f"select batch, count(*) as n_calls, {_OBJECTIVE} from loads_end group by batch",
+    "loads_end",
 )
 def dispatch_optimised(spark, d):
     i = _inputs(spark, d)
-    final = D.optimise(*i, rounds=3)
+    final = D.optimise(*i)
     return D.objective(D.call_load(i.calls, final)).withColumn("objective", F.round("objective", 6))
 
 
+@query(
+    "moves_left",
+    """select batch, count(*) as n_calls, 0 as improving_moves from calls group by batch""",
+    "calls",
+)
+def moves_left(spark, d):
+    """Improving moves that stand after reassignment has ended: none in any batch."""
+    i = _inputs(spark, d)
+    final = stored(D.optimise(*i), "final")
+    left = D.improving_moves(D.call_load(i.calls, final), final, i.near).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    sizes = i.calls.groupBy("batch").agg(F.count(F.lit(1)).alias("n_calls"))
+    return sizes.join(left, "batch", "left").select("batch", "n_calls", F.coalesce("n", F.lit(0)).cast("int").alias("improving_moves"))
+
+
 # ---- acceptance, service level, fleet state
 
 
@@ -242,9 +258,11 @@ def accepted_taxi(spark, d):
 
 @query(
     "assigned_wait",
-    """select a.batch, a.call_id, a.taxi_id, p.eta / 60 as wait_minutes from accepted a
-       join pairs p on p.batch = a.batch and p.call_id = a.call_id and p.taxi_id = a.taxi_id""",
-    "accepted pairs",
+    """select a.batch, a.call_id, a.taxi_id,
+         (case when f.available = 1 then c.calltime else f.endtime end + c.duration) / 60 as wait_minutes
+       from accepted a join calls c on c.batch = a.batch and c.call_id = a.call_id
+         join fleet f on f.batch = a.batch and f.taxi_id = a.taxi_id""",
+    "accepted calls fleet",
 )
 def assigned_wait(spark, d):
     i, accepted = _accepted(spark, d)
@@ -304,23 +322,12 @@ def fleet_rollforward(spark, d):
     """select ratio / 10e0 as ratio, count(*) as n_batches, round(avg(failure), 6) as failure_rate,
          round(avg(wait), 6) as mean_wait
        from (
-         select r.ratio, c.batch, avg(case when w.eta is null then 1e0 else 0e0 end) as failure,
+         select c.ratio, c.batch, avg(case when w.eta is null then 1e0 else 0e0 end) as failure,
            coalesce(sum(w.eta), 0e0) / count(*) / 60 as wait
-         from (select ratio from (values (5), (6), (7), (8), (9), (10), (11), (12), (13), (14), (15)) v(ratio)) r
-           cross join calls c left join (
-             select ratio, batch, call_id, eta from (
-               select ratio, a.batch, a.call_id, a.eta, row_number() over (partition by ratio, a.batch, a.call_id
-                 order by (a.taxi_id * 7919 + a.call_id * 104729) % 1000003, a.taxi_id) as rn
-               from assigned a join (
-                   select batch, taxi_id, row_number() over (partition by batch order by taxi_id) as taxi_rank,
-                     count(*) over (partition by batch) as n_taxis from fleet) k
-                 on k.batch = a.batch and k.taxi_id = a.taxi_id
-                 cross join (values (5), (6), (7), (8), (9), (10), (11), (12), (13), (14), (15)) v(ratio)
-               where k.taxi_rank <= k.n_taxis * ratio // 15) x where rn = 1) w
-           on w.ratio = r.ratio and w.batch = c.batch and w.call_id = c.call_id
-         group by r.ratio, c.batch) z
+         from sweep_calls c left join sweep_accepted w on w.batch = c.batch and w.call_id = c.call_id
+         group by c.ratio, c.batch) z
        group by ratio""",
-    "calls fleet assigned",
+    "sweep_calls sweep_accepted",
 )
 def fleet_ratio_sweep(spark, d):
     swept = D.ratio_sweep(*_inputs(spark, d), key=_pick())
@@ -340,7 +347,8 @@ def fleet_ratio_sweep(spark, d):
          select r.tenths, c.step, c.shift, count(*) as n,
            avg(case when w.eta is null then 1e0 else 0e0 end) as failure,
            coalesce(sum(w.eta), 0e0) / count(*) / 60 as wait
-         from (select tenths from (values (5), (10), (15)) v(tenths)) r cross join shift_calls c
+         from (select tenths from (values (5), (6), (7), (8), (9), (10), (11), (12), (13), (14), (15)) v(tenths)) r
+           cross join shift_calls c
            left join shift_answers w on w.tenths = r.tenths and w.shift = c.shift and w.call_id = c.call_id
          group by r.tenths, c.step, c.shift) z
        group by tenths, step""",
@@ -349,7 +357,7 @@ def fleet_ratio_sweep(spark, d):
 def shift_simulation(spark, d):
     calls = stored(V.shift_calls(spark, d), "shift-calls")
     fleet = stored(V.fleet(spark, d, calls, "shift"), "shift-taxis")
-    run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, ratios=(0.5, 1.0, 1.5), key=_pick())
+    run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, rounds=0, key=_pick())
     return run.withColumns(
         {"failure_rate": F.round("failure_rate", 6), "mean_wait": F.round("mean_wait", 6)}
     )
@@ -365,10 +373,7 @@ def shift_simulation(spark, d):
     "predicted service",
 )
 def kpi_row(spark, d):
-    predicted = V.trips(spark, d).select(
-        S.minutes(F.col("duration")).alias("time"), (3.0 * F.col("dist") + 3.0).alias("prediction")
-    )
-    model = regression_metrics(predicted, "time", "prediction")
+    model = regression_metrics(distance_predictions(spark, d), "time", "prediction")
     i, accepted = _accepted(spark, d)
     service = D.service_metrics(i.calls, accepted).agg(
         F.avg("failure_rate").alias("failure_rate"), F.avg("mean_wait").alias("mean_wait")

@@ -14,12 +14,13 @@ from faremeter.operators import models as M
 from faremeter.operators.aggregates import regression_metrics
 from faremeter.plans import views as V
 from faremeter.plans.registry import query
+from faremeter.sources import tables as io
 from faremeter.sources.models import load_model, save_model
 from faremeter.sources.scratch import scratch_root, stored
 
 LINE_KEY = ", ".join(V.LINE_KEY)
-# Keys and the measures that a request does not carry.
-EXCLUDE = [*X.NOT_FEATURES, *V.LINE_KEY, "event_id", "trip_distance", "passengers", "price"]
+# Keys, the label, and the measures that a request does not carry.
+EXCLUDE = [*V.LINE_KEY, "event_id", "pickupid", "dropoffid", "time", "duration", "trip_distance", "passengers", "price"]
 FEATURES = ["dist", "dow", "dom", "month", "hour", "minute", "near", "h_pu", "h_do", "v_pu", "v_do"]
 
 
@@ -90,56 +91,138 @@ def travel_time_ols(spark, d):
     )
 
 
-def _fixed_prediction_metrics(spark, d):
-    predicted = V.trips(spark, d).select(
-        S.minutes(F.col("duration")).alias("time"), (3.0 * F.col("dist") + 3.0).alias("prediction")
-    )
-    return regression_metrics(predicted, "time", "prediction")
+# ---- a model of distance alone, which SQL can fit too; a fifth of the trips is held out
+
+
+def _distance_model(spark, d, label="time", estimator=None):
+    """(fitted model, held-out trips as feature vectors)."""
+    trips = V.trips(spark, d).withColumn("time", S.minutes(F.col("duration")))
+    data = X.vectors(stored(trips.select(*V.LINE_KEY, "dist", label), "by-distance"), [*V.LINE_KEY, label])
+    return M.fit(data.filter(~V.held_out()), estimator or M.least_squares(label), label), data.filter(V.held_out())
+
+
+def distance_predictions(spark, d):
+    """Held-out trips with the predicted time."""
+    model, held = _distance_model(spark, d)
+    return M.predict(model, held)
 
 
 _SQUARED = "avg((time - prediction) * (time - prediction))"
 
 
+def _metrics(spark, d):
+    return regression_metrics(distance_predictions(spark, d), "time", "prediction")
+
+
 @query("eval_mse", f"select round({_SQUARED}, 4) as mse from predicted", "predicted")
 def eval_mse(spark, d):
-    return _fixed_prediction_metrics(spark, d).select(F.round("mse", 4).alias("mse"))
+    return _metrics(spark, d).select(F.round("mse", 4).alias("mse"))
 
 
 @query("eval_rmse", f"select round(sqrt({_SQUARED}), 4) as rmse from predicted", "predicted")
 def eval_rmse(spark, d):
-    return _fixed_prediction_metrics(spark, d).select(F.round("rmse", 4).alias("rmse"))
+    return _metrics(spark, d).select(F.round("rmse", 4).alias("rmse"))
 
 
 @query("eval_r2", f"select round(1 - {_SQUARED} / var_pop(time), 6) as r2 from predicted", "predicted")
 def eval_r2(spark, d):
-    return _fixed_prediction_metrics(spark, d).select(F.round("r2", 6).alias("r2"))
+    return _metrics(spark, d).select(F.round("r2", 6).alias("r2"))
+
+
+@query("sink_predictions", f"select {LINE_KEY}, round(prediction, 4) as prediction from predicted", "predicted")
+def sink_predictions(spark, d):
+    """Predictions of a fitted model, written as a table that replaces an older one."""
+    path = f"{scratch_root(spark)}/predictions-{uuid.uuid4().hex}"
+    io.replace(V.zones(spark, d), path)
+    done = distance_predictions(spark, d).select(*V.LINE_KEY, F.round("prediction", 4).alias("prediction"))
+    return io.replace(done, path)
+
+
+@query("saved_model_predict", f"select {LINE_KEY}, round(prediction, 4) as prediction from predicted", "predicted")
+def saved_model_predict(spark, d):
+    """Fit, save, load, and apply to held-out trips without their label."""
+    model, held = _distance_model(spark, d)
+    path = f"{scratch_root(spark)}/by-distance-{uuid.uuid4().hex}"
+    save_model(model, path)
+    done = M.predict(load_model(LinearRegressionModel, path), held.drop("time"))
+    return done.select(*V.LINE_KEY, F.round("prediction", 4).alias("prediction"))
+
+
+@query(
+    "request_by_distance",
+    """select event_id, round(slope * (price / 10) + intercept, 4) as prediction from event_trips cross join fitted""",
+    "event_trips fitted",
+)
+def request_by_distance(spark, d):
+    """Requests, which have no duration, under the fitted model."""
+    model, _ = _distance_model(spark, d)
+    asked = V.event_trips(spark, d).select("event_id", (F.col("price") / 10).alias("dist"))
+    return M.predict(model, X.vectors(asked, ["event_id"])).select("event_id", F.round("prediction", 4).alias("prediction"))
+
+
+@query(
+    "price_by_distance",
+    f"""select {LINE_KEY}, round(p.slope * dist + p.intercept, 4) as prediction
+        from (select * from trips where {V.HELD_OUT}) t cross join (
+          select regr_slope(price, dist) as slope, regr_intercept(price, dist) as intercept from trips
+          where not {V.HELD_OUT}) p""",
+    "trips",
+)
+def price_by_distance(spark, d):
+    model, held = _distance_model(spark, d, "price")
+    return M.predict(model, held).select(*V.LINE_KEY, F.round("prediction", 4).alias("prediction"))
+
+
+@query(
+    "elastic_net_by_distance",
+    f"""select round(shrunk * sy / sx, 3) as slope, round(my - shrunk * sy / sx * mx, 3) as intercept from (
+          select *, sign(r) * greatest(abs(r) * f - 0.25e0 * 0.8e0 / sy, 0) / (f + 0.25e0 * 0.2e0 / sy) as shrunk from (
+            select corr(duration / 60, dist) as r, stddev_samp(duration / 60) as sy, stddev_samp(dist) as sx,
+              avg(duration / 60) as my, avg(dist) as mx, (count(*) - 1) / count(*)::double as f
+            from trips where not {V.HELD_OUT}) x) y""",
+    "trips",
+)
+def elastic_net_by_distance(spark, d):
+    """The elastic net of the travel-time model on one feature, where it has a closed form: a shrunk correlation."""
+    model, _ = _distance_model(spark, d, estimator=M.linear(tol=1e-10))
+    fitted = spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double")
+    return fitted.select(F.round("slope", 3).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
+# ---- models of all features: fitted without the held-out trips, which they then predict
+
+
+def _split(spark, d):
+    data = _training(spark, d)
+    return data.filter(~V.held_out()), data.filter(V.held_out())
 
 
 @query("travel_time_lr")
 def travel_time_lr(spark, d):
-    data = _training(spark, d)
-    return _predictions(M.predict(M.fit(data, M.linear()), data))
+    train, held = _split(spark, d)
+    return _predictions(M.predict(M.fit(train, M.linear()), held))
 
 
 @query("travel_time_gbt")
-def travel_time_gbt(spark, d):
-    data = _training(spark, d)
-    return _predictions(M.predict(M.fit(data, M.boosted_trees(maxIter=5, maxDepth=4)), data))
+def travel_time_gbt(spark, d, iterations=20, depth=5):
+    """Boosted trees; the library's default of `M.boosted_trees` is 200 iterations, each a pass over the trips."""
+    train, held = _split(spark, d)
+    return _predictions(M.predict(M.fit(train, M.boosted_trees(maxIter=iterations, maxDepth=depth)), held))
 
 
 @query("travel_time_rf")
 def travel_time_rf(spark, d):
-    data = _training(spark, d)
-    return _predictions(M.predict(M.fit(data, M.random_forest(numTrees=10, maxDepth=5)), data))
+    train, held = _split(spark, d)
+    return _predictions(M.predict(M.fit(train, M.random_forest()), held))
 
 
 @query("travel_time_predict")
 def travel_time_predict(spark, d):
     """Fit, save, load and apply to trips without their label."""
-    data = _training(spark, d)
+    train, held = _split(spark, d)
     path = f"{scratch_root(spark)}/travel-time-{uuid.uuid4().hex}"
-    save_model(M.fit(data, M.linear()), path)
-    return M.predict(load_model(LinearRegressionModel, path), data.drop("time")).select(*V.LINE_KEY, "prediction")
+    save_model(M.fit(train, M.linear()), path)
+    return M.predict(load_model(LinearRegressionModel, path), held.drop("time")).select(*V.LINE_KEY, "prediction")
 
 
 @query("request_predict")
@@ -149,20 +232,21 @@ def request_predict(spark, d):
 
 
 @query("indexed_regression")
-def indexed_regression(spark, d):
-    data = _training(spark, d).drop("features")
-    pipeline = M.indexed(FEATURES, M.boosted_trees(maxIter=3, maxDepth=3))
-    return _predictions(M.predict(M.fit(data, pipeline), data))
+def indexed_regression(spark, d, iterations=10, depth=5):
+    train, held = (x.drop("features") for x in _split(spark, d))
+    pipeline = M.indexed(FEATURES, M.boosted_trees(maxIter=iterations, maxDepth=depth))
+    return _predictions(M.predict(M.fit(train, pipeline), held))
 
 
 @query("travel_time_cv")
-def travel_time_cv(spark, d):
-    data = _training(spark, d)
-    grid = {"maxDepth": [2, 3], "maxBins": [25], "maxIter": [2]}
-    return _predictions(M.predict(M.cross_validated(data, M.boosted_trees(), grid), data))
+def travel_time_cv(spark, d, grid=None):
+    """Search over a small grid; pass `M.FULL_GRID` for its eight points, which are 24 fits of up to 50 iterations."""
+    train, held = _split(spark, d)
+    grid = grid or {"maxDepth": [2, 3], "maxBins": [25], "maxIter": [2]}
+    return _predictions(M.predict(M.cross_validated(train, M.boosted_trees(), grid), held))
 
 
 @query("price_lr")
 def price_lr(spark, d):
-    data = _training(spark, d)
-    return _predictions(M.predict(M.fit(data, M.linear("price"), "price"), data), "price")
+    train, held = _split(spark, d)
+    return _predictions(M.predict(M.fit(train, M.linear("price"), "price"), held), "price")

@@ -50,20 +50,12 @@ def csv_roundtrip(spark, d):
     "pair_stats",
 )
 def sink_replace(spark, d):
+    """The table exists with other content before it is replaced."""
     path = _new_path(spark, "dist")
+    io.replace(V.zones(spark, d), path)
     return io.replace(pair_stats(V.trips(spark, d)), path)
 
 
-@query(
-    "sink_predictions",
-    f"select {LINE_KEY}, round(3e0 * dist + 3e0, 4) as prediction from trips",
-    "trips",
-)
-def sink_predictions(spark, d):
-    predicted = V.trips(spark, d).select(*V.LINE_KEY, F.round(3.0 * F.col("dist") + 3.0, 4).alias("prediction"))
-    return io.replace(predicted, _new_path(spark, "predictions"))
-
-
 # ---- projections
 
 
@@ -263,26 +255,26 @@ _CUSTOMERS = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment fro
 
 @query(
     "insert_rows",
-    _CUSTOMERS + " union all select -1, 'Wilson', null, null, 'Champs-Elysees'",
+    _CUSTOMERS + " union all select -1, 'Harbour Cafe', null, null, 'TERRACE'",
 )
 def insert_rows(spark, d):
-    row = {"c_custkey": -1, "c_name": "Wilson", "c_mktsegment": "Champs-Elysees"}
+    row = {"c_custkey": -1, "c_name": "Harbour Cafe", "c_mktsegment": "TERRACE"}
     return mutate.insert_rows(V.table(spark, d, "customer"), [row])
 
 
 @query(
     "update_where",
-    """select c_custkey, case when c_mktsegment = 'MACHINERY' then 'Fred' else c_name end as c_name, c_nationkey,
+    """select c_custkey, case when c_mktsegment = 'MACHINERY' then 'renamed' else c_name end as c_name, c_nationkey,
          case when c_mktsegment = 'MACHINERY' then 0e0 else c_acctbal end as c_acctbal, c_mktsegment from customer""",
 )
 def update_where(spark, d):
-    changed = {"c_name": "Fred", "c_acctbal": 0}
+    changed = {"c_name": "renamed", "c_acctbal": 0}
     return mutate.update_where(V.table(spark, d, "customer"), changed, compare("c_mktsegment", "=", "MACHINERY"))
 
 
-@query("update_all", "select c_custkey, 'Nanjing' as c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
+@query("update_all", "select c_custkey, 'everyone' as c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
 def update_all(spark, d):
-    return mutate.update_where(V.table(spark, d, "customer"), {"c_name": "Nanjing"})
+    return mutate.update_where(V.table(spark, d, "customer"), {"c_name": "everyone"})
 
 
 @query("delete_where", _CUSTOMERS + " where c_acctbal >= 0 or c_acctbal is null")
@@ -333,19 +325,19 @@ def calendar_features(spark, d):
          cast(substr(strftime(ts, '%H:%M'), 4, 2) as int) as minute from events""",
 )
 def time_text_parts(spark, d):
-    hour, minute = cal.clock_parts(F.date_format("ts", "HH:mm"))
+    hour, minute = cal.clock_parts(cal.clock_text(F.col("ts")))
     return V.table(spark, d, "events").select("event_id", hour.alias("hour"), minute.alias("minute"))
 
 
 @query("parse_date", "select o_orderkey, cast(strftime(o_orderdate, '%Y-%m-%d') as date) as day from orders")
 def parse_date(spark, d):
-    text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = cal.date_text(F.col("o_orderdate"))
     return V.table(spark, d, "orders").select("o_orderkey", cal.parse_date(text).alias("day"))
 
 
 @query("parse_timestamp", "select event_id, date_trunc('second', ts) as at from events")
 def parse_timestamp(spark, d):
-    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    text = cal.timestamp_text(F.col("ts"))
     return V.table(spark, d, "events").select("event_id", cal.parse_timestamp(text).alias("at"))
 
 
@@ -359,14 +351,14 @@ def seconds_in_hour(spark, d):
 
 @query(
     "request_cast",
-    "select o_orderkey, cast(o_custkey as int) as pickup, o_totalprice as dist from orders",
+    "select o_orderkey, cast(o_custkey as bigint) as pickup, o_totalprice as dist from orders",
 )
 def request_cast(spark, d):
     text = V.table(spark, d, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("c"), F.col("o_totalprice").cast("string").alias("p")
     )
     return text.select(
-        "o_orderkey", F.col("c").try_cast("int").alias("pickup"), F.col("p").try_cast("double").alias("dist")
+        "o_orderkey", F.col("c").try_cast("bigint").alias("pickup"), F.col("p").try_cast("double").alias("dist")
     )
 
 

@@ -4,11 +4,14 @@ On a cluster the session comes from the submitter; nothing in the library depend
 """
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "faremeter", **extra: str) -> SparkSession:
     """A local session with adaptive execution on and the web page off."""
+    extra.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="faremeter-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)

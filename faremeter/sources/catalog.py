@@ -19,9 +19,10 @@ def create_table(spark: SparkSession, name: str, columns: str, fmt: str = "parqu
     spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING {fmt}")
 
 
-def drop_databases(spark: SparkSession, names: Sequence[str]) -> None:
+def drop_databases(spark: SparkSession, names: Sequence[str], with_tables: bool = False) -> None:
+    """Drop databases; one that still has tables is an error unless with_tables is set."""
     for name in names:
-        spark.sql(f"DROP DATABASE IF EXISTS {_quoted(name)} CASCADE")
+        spark.sql(f"DROP DATABASE IF EXISTS {_quoted(name)}" + " CASCADE" * with_tables)
 
 
 def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:

@@ -1,18 +1,8 @@
-"""Fixed schemas of the input tables, for readers that would otherwise infer them."""
+"""Fixed schemas of input tables, for readers that would otherwise infer them."""
 from __future__ import annotations
 
-TRIPS = "PULocationID int, DOLocationID int, trip_distance double"
-ROUTE_STATS = "pickupid int, dropoffid int, `max` double, `min` double, `avg` double"
-MODEL_TRIPS = (
-    "pickup timestamp_ntz, dropof timestamp_ntz, pickupid int, dropoffid int, duration double, dist double, "
-    "dow int, dom int, month int, hour int, minute int"
-)
+TRIPS = "pickupid int, dropoffid int, trip_distance double"
 REQUEST = "dist double, dow int, dom int, dropoffid int, hour int, minute int, month int, pickupid int"
 EDGES = "src int, dst int"
 ZONES = "zone int, h int, v int"
-TAXIS = "taxi_id bigint, locid int, vacatime double, available int, desid int, starttime double, endtime double"
-CALLS = "call_id bigint, pickupid int, dropoffid int, calltime double, duration double, dist double"
-LISTINGS = "id bigint, listing_url string, neighbourhood_cleansed string, room_type string, price double"
-HOSTS = "host_name string, url string, location string, response_rate string, total_listings_count bigint"
-GUESTS = "guest_name string, reviews bigint, id bigint"
-CARDS = "img string, name string, location string, review_scores_rating double, url string"
+HOSTS = "host_id bigint, host_name string, total_listings_count bigint"

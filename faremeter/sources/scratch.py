@@ -6,24 +6,34 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local: tempfile.TemporaryDirectory | None = None
+_SETTING = "spark.checkpoint.dir"
+_RUN = "spark.faremeter.run"
+_own: str | None = None
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names.
 
-    Only a local-mode session without one falls back to a temporary folder of this machine; on a cluster a missing
-    setting is an error, since executors could not read each other's files.
+    A session that runs in this process (`local`) and names none, as in tests, gets one here, since Spark takes this
+    setting only when it starts. Any other session must name a folder that all executors share.
     """
-    global _local
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local is None:
-        _local = tempfile.TemporaryDirectory(prefix="faremeter-")  # removed when Python ends
-    return _local.name
+    global _own
+    configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
+        configured = _own = _own or tempfile.mkdtemp(prefix="faremeter-")
+    return configured.rstrip("/")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this session's run inside the shared folder; `clear_scratch` removes it."""
+    folder, run = shared_folder(spark), spark.conf.get(_RUN, None)
+    if not run:
+        run = f"run-{uuid.uuid4().hex}"
+        spark.conf.set(_RUN, run)
+    return f"{folder}/{run}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -36,3 +46,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this session has stored. Results that read stored tables must be written elsewhere before."""
+    folder = scratch_root(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark.conf.unset(_RUN)

@@ -50,22 +50,33 @@ def test_request_row_is_replaced(spark, tmp_path):
 def test_table_ddl_and_catalog(spark):
     catalog.create_database(spark, "abc")
     catalog.create_database(spark, "abc")
-    catalog.create_table(
-        spark, "abc.persons",
-        "Id_P int, LastName varchar(255), FirstName varchar(255), Address varchar(255), City varchar(255)",
-    )
-    catalog.create_table(spark, "abc.person2", "id int")
-    assert spark.table("abc.persons").columns == ["Id_P", "LastName", "FirstName", "Address", "City"]
+    catalog.create_table(spark, "abc.garages", "garage_id bigint, place varchar(40), spaces int, opened date")
+    catalog.create_table(spark, "abc.ramps", "ramp int")
+    assert spark.table("abc.garages").columns == ["garage_id", "place", "spaces", "opened"]
     listed = {tuple(r) for r in catalog.list_catalog(spark).collect()}
-    assert {("abc", "persons"), ("abc", "person2")} <= listed
-    catalog.drop_tables(spark, ["abc.persons", "abc.person2", "abc.never_there"])
+    assert {("abc", "garages"), ("abc", "ramps")} <= listed
+    with pytest.raises(Exception, match="(?i)not empty|cascade"):
+        catalog.drop_databases(spark, ["abc"])
+    catalog.drop_tables(spark, ["abc.garages", "abc.ramps", "abc.never_there"])
     assert ("abc", None) in {tuple(r) for r in catalog.list_catalog(spark).collect()}
     catalog.drop_databases(spark, ["abc", "abc2"])
     assert "abc" not in {d.name for d in spark.catalog.listDatabases()}
 
 
 def test_scratch_uses_the_session_setting(spark):
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/run-")
+    assert scratch_root(spark) == scratch_root(spark)
+
+
+def test_clear_scratch_removes_the_run(spark):
+    from pathlib import Path
+
+    folder = scratch_root(spark)
+    held = stored(spark.range(3), "gone")
+    assert held.count() == 3 and any(Path(folder).iterdir())
+    scratch.clear_scratch(spark)
+    assert not Path(folder).exists()
+    assert scratch_root(spark) != folder
 
 
 def test_scratch_refuses_machine_local_folders_on_a_cluster(monkeypatch):
@@ -74,7 +85,7 @@ def test_scratch_refuses_machine_local_folders_on_a_cluster(monkeypatch):
             return default
 
     class Context:
-        master = "yarn"
+        master = "local-cluster[2,1,1024]"
 
         def getCheckpointDir(self):
             return None
@@ -106,8 +117,8 @@ def test_ranking_pages_from_csv(spark, tmp_path):
 
     path = str(tmp_path / "host.csv")
     with open(path, "w") as f:
-        f.write("host_name,url,location,response_rate,total_listings_count\n")
-        f.write("".join(f"h{i},u{i},Bangkok,9{i}%,{c}\n" for i, c in enumerate([3, 50, 7, 50, 1])))
+        f.write("host_id,host_name,total_listings_count\n")
+        f.write("".join(f"{i},h{i},{c}\n" for i, c in enumerate([3, 50, 7, 50, 1])))
     hosts = io.read_csv(spark, path, schemas.HOSTS)
     top = ranked_top(hosts, [("total_listings_count", True)], 4, ["host_name"]).withColumn("top3", F.col("rank") <= 3)
     got = [(r["rank"], r.host_name, r.top3) for r in top.orderBy("rank").collect()]
@@ -120,16 +131,15 @@ def test_taxi_tables_from_csv_to_features(spark, tmp_path):
     from faremeter.operators.features import trip_features
 
     for name, text in {
-        "edges": "src,dst\n237,162\n237,162\n75,41\n",
-        "zones": "zone,h,v\n237,8,4\n162,7,5\n75,10,3\n41,11,2\n",
-        "trips": "PULocationID,DOLocationID,trip_distance\n237,162,2.5\n237,162,0.5\n237,162,-1\n9,75,1\n",
+        "edges": "src,dst\n1,2\n1,2\n5,6\n",
+        "zones": "zone,h,v\n1,20,30\n2,21,31\n5,22,32\n6,23,33\n",
+        "trips": "pickupid,dropoffid,trip_distance\n1,2,2.5\n1,2,0.5\n1,2,-1\n90,5,1\n",
     }.items():
         (tmp_path / name).write_text(text)
     edges = io.read_csv(spark, str(tmp_path / "edges"), schemas.EDGES)
     zones = io.read_csv(spark, str(tmp_path / "zones"), schemas.ZONES)
     trips = io.read_csv(spark, str(tmp_path / "trips"), schemas.TRIPS)
-    stats = pair_stats(trips, ["PULocationID", "DOLocationID"])
-    assert sorted(map(tuple, stats.collect())) == [(9, 75, 1.0, 1.0, 1.0), (237, 162, 2.5, 0.5, 1.5)]
-    named = trips.withColumnsRenamed({"PULocationID": "pickupid", "DOLocationID": "dropoffid"})
-    rows = trip_features(named, edges, zones, label=None).orderBy("trip_distance").collect()
-    assert [(r.near, r.h_pu, r.v_do) for r in rows] == [(1, 8, 5), (1, 8, 5), (0, None, 3), (1, 8, 5)]
+    stats = pair_stats(trips, ["pickupid", "dropoffid"])
+    assert sorted(map(tuple, stats.collect())) == [(1, 2, 2.5, 0.5, 1.5), (90, 5, 1.0, 1.0, 1.0)]
+    rows = trip_features(trips, edges, zones, label=None).orderBy("trip_distance").collect()
+    assert [(r.near, r.h_pu, r.v_do) for r in rows] == [(1, 20, 31), (1, 20, 31), (0, None, 32), (1, 20, 31)]
