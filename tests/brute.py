@@ -89,3 +89,22 @@ def round_of_moves(calls, taxis, assigned, pairs, max_res=3):
         m: g for m, g in gains.items()
         if best[m[1]][1:] == (m[0], m[2], m[1]) and best[m[2]][1:] == (m[0], m[2], m[1])
     }
+
+
+def to_the_end(calls, taxis, pairs, max_res=3):
+    """Assignment after rounds of moves until none stands."""
+    assigned = best_calls(calls, taxis, pairs) if calls else {}
+    while moves := round_of_moves(calls, taxis, assigned, pairs, max_res) if assigned else {}:
+        for taxi, _, target in moves:
+            assigned[taxi] = target
+    return assigned
+
+
+def service(calls, assigned, pairs, key):
+    """(failure rate, mean wait in minutes): each call takes the taxi with the least key of those that chose it."""
+    waits = []
+    for c in calls:
+        own = [t for t, call in assigned.items() if call == c["call_id"]]
+        if own:
+            waits.append(pairs[c["call_id"], min(own, key=lambda t: (key(t, c["call_id"]), t))]["eta"])
+    return 1 - len(waits) / len(calls), sum(waits) / len(calls) / 60

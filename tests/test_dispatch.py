@@ -156,6 +156,55 @@ def test_rounds_never_lower_the_objective_and_keep_one_call_per_taxi(world):
         assert best[0][b] <= best[1][b] + 1e-12 <= best[2][b] + 2e-12
 
 
+def _pick(taxi, call):
+    return (taxi * 7919 + call * 104729) % 1000003
+
+
+def _problems(world):
+    """(calls, taxis by id) of every batch that has calls."""
+    calls, fleet = world["rows"]
+    return {
+        b: ([c for c in calls if c["batch"] == b], sorted((t for t in fleet if t["batch"] == b), key=lambda t: t["taxi_id"]))
+        for b in {c["batch"] for c in calls}
+    }
+
+
+def _pick_column():
+    return _pick(F.col("taxi_id"), F.col("call_id"))
+
+
+def test_reassignment_to_its_end_equals_loops(world):
+    final = D.optimise(*inputs(world))
+    got = {(r.batch, r.taxi_id): r.call_id for r in final.collect()}
+    want = {}
+    for calls, taxis in _problems(world).values():
+        if calls and taxis:
+            pairs = brute.scores(calls, taxis, world["around"])
+            want |= {(calls[0]["batch"], t): c for t, c in brute.to_the_end(calls, taxis, pairs).items()}
+    assert got == want
+    left = D.improving_moves(D.call_load(world["calls"], final), final, world["near"])
+    assert left.count() == 0
+
+
+def test_sweep_equals_loops_and_counts_batches_without_taxis(world):
+    ratios = (0.5, 1.0, 1.5)
+    got = {r.ratio: r for r in D.ratio_sweep(*inputs(world), ratios=ratios, key=_pick_column()).collect()}
+    problems = _problems(world)
+    assert any(not taxis for _, taxis in problems.values())
+    for ratio in ratios:
+        each = []
+        for calls, taxis in problems.values():
+            some = taxis[: int(round(len(taxis) * ratio / 1.5, 6))]
+            pairs = brute.scores(calls, some, world["around"])
+            assigned = brute.to_the_end(calls, some, pairs) if some else {}
+            each.append(brute.service(calls, assigned, pairs, _pick))
+        assert got[ratio].n_batches == len(each)
+        assert got[ratio].failure_rate == pytest.approx(sum(f for f, _ in each) / len(each))
+        assert got[ratio].mean_wait == pytest.approx(sum(w for _, w in each) / len(each))
+    whole = D.service_metrics(world["calls"], D.accept(D.optimise(*inputs(world)), _pick_column())).agg(F.avg("failure_rate")).first()[0]
+    assert got[1.5].failure_rate == pytest.approx(whole)
+
+
 def test_a_last_taxi_is_never_taken(world, assigned):
     before = D.call_load(world["calls"], assigned).filter("n_drivers > 0").select("batch", "call_id")
     final = D.optimise(*inputs(world), rounds=3)
@@ -223,7 +272,7 @@ def test_roll_forward(spark):
     }
 
 
-def _loop_shift(calls, taxis, around, ratio, largest, steps, key):
+def _loop_shift(calls, taxis, around, ratio, largest, steps, key, rounds):
     """One shift by loops: every step assigns, accepts and carries the fleet on."""
     size = int(round(len(taxis) * ratio / largest, 6))
     state = [dict(t) for t in sorted(taxis, key=lambda t: t["taxi_id"])[:size]]
@@ -233,7 +282,7 @@ def _loop_shift(calls, taxis, around, ratio, largest, steps, key):
         if not cs:
             continue
         pairs = brute.scores(cs, state, around)
-        assigned = brute.best_calls(cs, state, pairs)
+        assigned = brute.best_calls(cs, state, pairs) if rounds == 0 else brute.to_the_end(cs, state, pairs)
         won = {}
         for taxi, call in assigned.items():
             if call not in won or key(taxi, call) < key(won[call], call):
@@ -252,7 +301,8 @@ def _loop_shift(calls, taxis, around, ratio, largest, steps, key):
     return out
 
 
-def test_shifts_equal_loops(spark, world):
+@pytest.mark.parametrize("rounds", [0, None])
+def test_shifts_equal_loops(spark, world, rounds):
     rng = random.Random(11)
     steps, ratios, calls, taxis = 3, (0.5, 1.0, 1.5), [], []
     for shift in range(3):
@@ -281,14 +331,15 @@ def test_shifts_equal_loops(spark, world):
         return (taxi * 7919 + call * 104729) % 1000003
 
     got = D.run_shifts(
-        calls_df, fleet_df, world["near"], steps, ratios, key=(F.col("taxi_id") * 7919 + F.col("call_id") * 104729) % 1000003
+        calls_df, fleet_df, world["near"], steps, ratios, rounds=rounds,
+        key=(F.col("taxi_id") * 7919 + F.col("call_id") * 104729) % 1000003,
     )
     got = {(r.ratio, r.step): (r.n_calls, r.failure_rate, r.mean_wait) for r in got.collect()}
     want = {}
     for ratio in ratios:
         runs = [
             _loop_shift([c for c in calls if c["shift"] == s], [t for t in taxis if t["shift"] == s],
-                        world["around"], ratio, max(ratios), steps, key)
+                        world["around"], ratio, max(ratios), steps, key, rounds)
             for s in range(3)
         ]
         for step in range(steps):

@@ -104,3 +104,38 @@ def test_certain_answer_and_missing_p(spark):
     assert 1 - math.exp(total) == 1.0
     none = df.filter("p is null").agg(F.sum(S.log_refusal(F.col("p"))).alias("s")).first().s
     assert none is None
+
+
+def test_no_session_zone_in_texts(spark):
+    """02:30 does not exist on that day in New York; without a zone it is a time like any other."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-02-30 00:00:00",), ("2024-3-1 1:2:3",), (None,)], "s string")
+        at = cal.parse_timestamp(F.col("s"))
+        rows = df.select(cal.timestamp_text(at).alias("t"), cal.clock_text(at).alias("c"), cal.month_label(at).alias("m"), cal.date_text(at).alias("d")).collect()
+        assert tuple(rows[0]) == ("2024-03-10 02:30:00", "02:30", "2024-03", "2024-03-10")
+        assert [tuple(r) for r in rows[1:]] == [(None,) * 4] * 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_money_is_exact_beyond_doubles(spark):
+    from faremeter.plans.dashboards import _total_price
+
+    # 2**53 cents and one more: a double sum of cents would lose it
+    df = spark.createDataFrame([(90071992547409.92,), (0.01,), (0.01,), (0.01,)], "price double")
+    cents = df.agg((_total_price() * 100).alias("c"), F.sum(F.rint(F.col("price") * 100).cast("decimal(18,0)")).alias("exact")).first()
+    assert int(cents.exact) == 2**53 + 3
+
+
+def test_hosts_without_orders_stay(spark, tmp_path):
+    from faremeter.plans import views
+
+    d = str(tmp_path)
+    spark.createDataFrame([(1, "a", 0, 9000.0), (2, "b", 0, 1.0)], "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double").write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{d}/nation.parquet")
+    orders = spark.createDataFrame([(5, 1, "F")], "o_orderkey bigint, o_custkey bigint, o_orderstatus string")
+    orders.withColumn("o_orderdate", F.lit("2024-01-01").cast("timestamp_ntz")).write.parquet(f"{d}/orders.parquet")
+    got = {r.host_id: (r.total_listings_count, r.response_rate, r.superhost) for r in views.hosts(spark, d).collect()}
+    assert got == {1: (1, 1.0, 1), 2: (0, None, 0)}
