@@ -49,6 +49,20 @@ def held_out_column(doc_id: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def settle(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs, which stay until the driver collects its garbage; an operator of
+    many jobs calls this between them."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Remove a stored table that nothing reads any more."""
+    spark, files = df.sparkSession, df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def packed(values: np.ndarray) -> bytes:
     """An integer or float array as compressed bytes; ascending integers are stored as differences."""
     import zstandard

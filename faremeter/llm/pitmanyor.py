@@ -23,7 +23,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremeter.llm.common import packed, packed_ascending, partitions, text_of, unpacked, unpacked_ascending, utf8
+from faremeter.llm.common import (
+    drop_stored,
+    packed,
+    packed_ascending,
+    partitions,
+    settle,
+    text_of,
+    unpacked,
+    unpacked_ascending,
+    utf8,
+)
 from faremeter.sources.scratch import stored
 
 #: Discount and concentration of the context restaurants and of their parent.
@@ -347,21 +357,29 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     pairs = _exchange(chunks.mapInArrow(_send_pairs(n), _DDL), "pairs", kind=_PAIRS)
     answers = pairs.filter("place >= 0")
     cells = stored(chunks.union(answers).groupBy("place").applyInArrow(_make_cells, _DDL), "cells")
-    seats, tables, totals, kept = None, None, (0, n_words), []
+    seats, tables, totals, kept, passed = None, None, (0, n_words), [], []
     for sweep in range(sweeps + 1):
+        settle(spark)
         inputs = cells if sweep == 0 else cells.union(seats).union(tables)
         done = stored(inputs.groupBy("place").applyInArrow(_sweep(sweep, n, base, totals), _DDL), "sweep")
         seats = done.filter(F.col("kind") == _SEATS)
         sums = _exchange(done.filter(F.col("kind") == _TABLES), "tables", kind=_TABLES, sweep=sweep, tables=totals[1], base=base)
         totals = tuple(x or 0 for x in sums.filter("place = -1").agg(F.sum("x"), F.sum("y")).first())
         tables = sums.filter("place >= 0")
+        for old in passed:
+            drop_stored(old)
+        passed = []
         if sweep > sweeps - samples:
             kept.append((seats, tables, totals))
+        else:
+            passed = [done, sums]  # the next sweep reads them
+    settle(spark)
     asked = cells
     for one, _, _ in kept:
         asked = asked.union(one)
     seated = _exchange(asked.groupBy("place").applyInArrow(_send_seats(n), _DDL), "seats", kind=_SEATS)
     training_docs = _training_documents(given)
+    settle(spark)
     all_rows = chunks.withColumn("y", F.lit(training_docs).cast("long")).union(words.filter("place >= 0")).union(answers)
     all_rows = all_rows.union(seated.filter("place >= 0"))
     for i, (_, one, _) in enumerate(kept):
