@@ -26,7 +26,7 @@ SHARED_DISCOUNT = 0.75
 #: Probability of a symbol that the sample never shows.
 _UNSEEN = 1e-4
 #: Expressions whose difference a task remembers.
-_REMEMBERED = 400_000
+_REMEMBERED = 100_000
 _FOLD = 5
 _PUNCTUATION = bytes(c for c in range(128) if not (48 <= c < 58 or 65 <= c < 91 or 97 <= c < 123 or c == 39))
 #: A-Z to a-z, ASCII punctuation and control characters to a space.
