@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import uuid
 from collections.abc import Iterator
 
@@ -58,6 +59,7 @@ class WordEncoder:
     _SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
     #: The split of the vocabulary's own file for such words, lower-cased.
     _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
@@ -66,16 +68,18 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.symbols = _byte_symbols()
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         probe = "It's l'Été: größer, 3½ ñandú don't!! <|endoftext|> x_y"
         want = self.tokenizer.encode(probe, add_special_tokens=False).ids
         self.simple = np.frombuffer(self.encode(probe.encode()), "<u4").tolist() == want
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            text = "".join(self.symbols[b] for b in part.encode())
-            ids = [t.id for t in self.tokenizer.model.tokenize(text)]
+            printable = part.isascii() and part.isprintable()
+            text = part if printable else "".join([self.symbols[b] for b in part.encode()])
+            numbers = [t.id for t in self.tokenizer.model.tokenize(text)]
+            ids = struct.pack(f"<{len(numbers)}I", *numbers)
             if len(self.parts) >= _REMEMBERED:
                 self.parts.clear()
             self.parts[part] = ids
@@ -86,17 +90,27 @@ class WordEncoder:
     def word(self, word: bytes) -> bytes:
         """Ids of a word without white space."""
         text = word.decode("utf-8", "replace")
-        if self.simple and self._SIMPLE.fullmatch(text):
-            ids = [i for part in self._SPLIT.findall(text.lower()) for i in self._part(part)]
+        letters = text.rstrip(".,")
+        if not self.simple:
+            out = self._whole(text)
+        elif (letters.isascii() and letters.isalpha()) or self._LETTERS.fullmatch(letters):
+            out = self._part(letters.lower())
+            if len(letters) < len(text):
+                out += self._part(text[len(letters) :])
+        elif self._SIMPLE.fullmatch(text):
+            out = b"".join([self._part(part) for part in self._SPLIT.findall(text.lower())])
         else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+            out = self._whole(text)
         if len(word) < 200:
             if len(self.words) >= _REMEMBERED:
                 self.words.clear()
             self.words[word] = out
         return out
 
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: bytes) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         get, word = self.words.get, self.word
