@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on DuckDB, at the smallest scale."""
+"""Every registered query of the plans against its SQL on DuckDB, at the smallest scale."""
 from __future__ import annotations
 
 from pathlib import Path
@@ -6,10 +6,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from faremeter.plans import registry
 from oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = registry.ORACLES
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
 
@@ -29,14 +30,14 @@ def check_plan(df):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = registry.QUERIES[name](spark, SF_DIR)
     check_plan(df)
     assert differences(df, duck, SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(SQL)))
 def test_without_sql_gives_rows(spark, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = registry.QUERIES[name](spark, SF_DIR)
     check_plan(df)
     assert df.count() > 0
 
@@ -45,3 +46,8 @@ def test_entry_is_the_flagship(spark):
     df = entry.entry(spark)
     assert df.columns == ["pickupid", "dropoffid", "max", "min", "avg"]
     assert df.count() > 0
+
+
+def test_entry_has_every_query():
+    assert set(registry.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
