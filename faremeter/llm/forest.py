@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremeter.llm.common import utf8
+from faremeter.llm.common import partitions, utf8
 from faremeter.sources.scratch import stored
 
 #: Trees, and bits of a hash string; bits go up to the dimension, so short vectors have shorter strings.
@@ -37,28 +37,32 @@ def hash_strings(vectors: np.ndarray, extra: np.ndarray, tree: int, bits: int) -
     return signs.astype(np.uint64) @ (np.uint64(1) << np.arange(bits - 1, -1, -1, dtype=np.uint64))
 
 
-def _arrays(data: list[bytes], dimension: int) -> np.ndarray:
-    return np.frombuffer(b"".join(data), "<f8").reshape(-1, dimension) if data else np.zeros((0, dimension))
+def _arrays(data: list[bytes], dimension: int, kind: str) -> np.ndarray:
+    """Stored vectors as doubles. A table of singles is stored as singles, which loses nothing."""
+    return np.frombuffer(b"".join(data), kind).reshape(-1, dimension).astype(np.float64)
 
 
-def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as bytes of doubles; those null, zero, or with null or non-finite components are left out."""
-    for batch in batches:
-        ids, vectors, sizes, norms = [], [], [], []
-        for vec_id, values in zip(batch["vec_id"].to_pylist(), batch["embedding"].to_pylist(), strict=True):
-            if vec_id is None or not values or None in values:
-                continue
-            v = np.array(values, "<f8")
-            if np.isfinite(v).all() and v.any():
-                ids.append(vec_id)
-                vectors.append(v.tobytes())
-                sizes.append(len(v))
-                norms.append(float(v @ v))
-        columns = [pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), pa.array(sizes, pa.int32()), pa.array(norms, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vec", "size", "norm2"])
+def _clean(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Vectors as bytes; those null, zero, or with null or non-finite components are left out."""
+        for batch in batches:
+            ids, vectors, sizes, norms = [], [], [], []
+            for vec_id, values in zip(batch["vec_id"].to_pylist(), batch["embedding"].to_pylist(), strict=True):
+                if vec_id is None or not values or None in values:
+                    continue
+                v = np.array(values, "<f8")
+                if np.isfinite(v).all() and v.any():
+                    ids.append(vec_id)
+                    vectors.append(v.astype(kind).tobytes())
+                    sizes.append(len(v))
+                    norms.append(float(v @ v))
+            columns = [pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), pa.array(sizes, pa.int32()), pa.array(norms, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vec", "size", "norm2"])
+
+    return run
 
 
-def _entries(dimension: int, bits: int, depth: int, trees: int, largest: float, of_query: bool):
+def _entries(dimension: int, kind: str, bits: int, depth: int, trees: int, largest: float, of_query: bool):
     """A row per vector and tree: the bucket (the first `depth` bits) and the hash string.
 
     Inner products become angles: a stored vector gets a further coordinate that brings it to the largest norm, a query
@@ -70,7 +74,7 @@ def _entries(dimension: int, bits: int, depth: int, trees: int, largest: float,
             data = utf8(batch["vec"])
             for i in range(0, len(data), 2048):
                 part = slice(i, i + 2048)
-                v = _arrays(data[part], dimension)
+                v = _arrays(data[part], dimension, kind)
                 extra = np.zeros(len(v)) if of_query else np.sqrt(np.maximum(largest - (v * v).sum(axis=1), 0))
                 rest = batch.slice(i, len(v))
                 for tree in range(trees):
@@ -136,7 +140,7 @@ def _count(bits: int, depth: int):
     return run
 
 
-def _best(bits: int, dimension: int, k: int):
+def _best(bits: int, dimension: int, kind: str, k: int):
     """(qid, cid, score): of each query's prefix in a block the k vectors with the largest inner products."""
 
     def of_range(vectors: np.ndarray, cids: np.ndarray, queries: np.ndarray, qids: np.ndarray):
@@ -158,7 +162,7 @@ def _best(bits: int, dimension: int, k: int):
                 codes, cids, wanted, qids, depths = (
                     np.frombuffer(batch[c][i].as_py(), "<i8") for c in ("code", "cid", "q_code", "q_cid", "q_depth")
                 )
-                vectors, queries = (_arrays([batch[c][i].as_py()], dimension) for c in ("vec", "q_vec"))
+                vectors, queries = (_arrays([batch[c][i].as_py()], dimension, kind) for c in ("vec", "q_vec"))
                 first, last = _ranges(codes, wanted, depths, bits)
                 for at, end in np.unique(np.stack([first, last], axis=1), axis=0).tolist():
                     if end <= at:
@@ -172,10 +176,10 @@ def _best(bits: int, dimension: int, k: int):
     return run
 
 
-def _meet(blocks: DataFrame, queries: DataFrame) -> DataFrame:
-    """Blocks beside the packed queries of the same bucket."""
+def _meet(blocks: DataFrame, queries: DataFrame, pieces: int) -> DataFrame:
+    """Blocks beside the packed queries of the same bucket, a few blocks to a task."""
     renamed = queries.select("tree", "bucket", *[F.col(c).alias(f"q_{c}") for c in queries.columns if c not in ("tree", "bucket")])
-    return blocks.join(renamed, ["tree", "bucket"])
+    return blocks.repartition(pieces, "tree", "bucket").join(renamed, ["tree", "bucket"])
 
 
 def nearest(
@@ -197,9 +201,11 @@ def nearest(
     into has more blocks, so a block is bounded; queries of a bucket are packed by blocks too.
     """
     spark = vectors.sparkSession
+    singles = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "<f4" if singles else "<f8"
     clean = stored(
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-        .mapInArrow(_clean, "vec_id long, vec binary, size int, norm2 double"),
+        .mapInArrow(_clean(kind), "vec_id long, vec binary, size int, norm2 double"),
         "vectors",
     )
     usual = clean.groupBy("size").count().orderBy(F.desc("count"), "size").first()
@@ -217,13 +223,14 @@ def nearest(
     wanted = share * n if n > ALL_BELOW else trees * n
     depth = max(0, min(bits, int(math.log2(max(trees * n / wanted, 1))) - 1))
     n_blocks = max(1, math.ceil(n / 2**depth / BLOCK_ROWS))
+    pieces = max(partitions(spark), trees * 2**depth * n_blocks // 4)
     kinds = "tree int, bucket long, code long"
     data = entries.select("cid", "vec").mapInArrow(
-        _entries(dimension, bits, depth, trees, largest, False), f"{kinds}, cid long, vec binary"
+        _entries(dimension, kind, bits, depth, trees, largest, False), f"{kinds}, cid long, vec binary"
     ).withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(n_blocks)))
     blocks = stored(_pack(data, ["tree", "bucket", "block"], ["code", "cid", "vec"]), "forest")
     queries = entries.filter("asked").select("cid", "vec")
-    found = _search(blocks, queries, dimension, bits, depth, trees, largest, wanted, n_blocks, k + 1)
+    found = _search(blocks, queries, (dimension, kind), bits, depth, trees, largest, wanted, n_blocks, pieces, k + 1)
     classes = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))
     best = _first(classes, "qid", "cid", k + 1)
     best = stored(best, "nearest")
@@ -231,7 +238,7 @@ def nearest(
         best.groupBy("qid").count().filter(F.col("count") >= min(k + 1, n)).select("qid"), "qid", "left_anti"
     )
     if short.limit(1).count():
-        rest = _everything(blocks, stored(short, "short"), dimension, bits, depth, k + 1)
+        rest = _everything(blocks, stored(short, "short"), (dimension, kind), bits, depth, pieces, k + 1)
         best = _first(best.select("qid", "cid", "score").union(rest).groupBy("qid", "cid").agg(F.max("score").alias("score")), "qid", "cid", k + 1)
     return _named(clean, asked, best, k)
 
@@ -241,12 +248,13 @@ def _first(df: DataFrame, key: str, tie: str, n: int) -> DataFrame:
     return df.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n).drop("place")
 
 
-def _search(blocks, queries, dimension, bits, depth, trees, largest, wanted, n_blocks, k) -> DataFrame:
+def _search(blocks, queries, shape, bits, depth, trees, largest, wanted, n_blocks, pieces, k) -> DataFrame:
     kinds = "tree int, bucket long, code long"
     block = F.pmod(F.xxhash64("cid"), F.lit(n_blocks))
-    hashed = _entries(dimension, bits, depth, trees, largest, True)
+    hashed = _entries(*shape, bits, depth, trees, largest, True)
     strings = queries.mapInArrow(hashed, f"{kinds}, cid long, vec binary").drop("vec").withColumn("block", block)
-    counted = _meet(blocks.select("tree", "bucket", "code"), _pack(strings, ["tree", "bucket", "block"], ["code", "cid"]))
+    asked = _pack(strings, ["tree", "bucket", "block"], ["code", "cid"])
+    counted = _meet(blocks.select("tree", "bucket", "code"), asked, pieces)
     counts = counted.mapInArrow(_count(bits, depth), "qid long, depth int, n long").groupBy("qid", "depth").agg(F.sum("n").alias("n"))
     deeper = Window.partitionBy("qid").orderBy(F.desc("depth"))
     ascended = counts.withColumn("held", F.sum("n").over(deeper)).groupBy("qid").agg(
@@ -255,10 +263,10 @@ def _search(blocks, queries, dimension, bits, depth, trees, largest, wanted, n_b
     deep = queries.join(ascended, queries["cid"] == ascended["qid"]).select("cid", "vec", "depth")
     placed = deep.mapInArrow(hashed, f"{kinds}, cid long, vec binary, depth long").withColumn("block", block)
     packed = _pack(placed, ["tree", "bucket", "block"], ["code", "cid", "depth", "vec"])
-    return _meet(blocks, packed).mapInArrow(_best(bits, dimension, k), "qid long, cid long, score double")
+    return _meet(blocks, packed, pieces).mapInArrow(_best(bits, *shape, k), "qid long, cid long, score double")
 
 
-def _everything(blocks, queries, dimension, bits, depth, k) -> DataFrame:
+def _everything(blocks, queries, shape, bits, depth, pieces, k) -> DataFrame:
     """The given queries against all blocks of one tree."""
     spread = queries.select(
         F.lit(0).alias("tree"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit((1 << depth) - 1).cast("long"))).alias("bucket"),
@@ -266,7 +274,7 @@ def _everything(blocks, queries, dimension, bits, depth, k) -> DataFrame:
         F.pmod(F.xxhash64("qid"), F.lit(64)).alias("block"),
     )
     packed = _pack(spread, ["tree", "bucket", "block"], ["code", "cid", "depth", "vec"])
-    return _meet(blocks, packed).mapInArrow(_best(bits, dimension, k), "qid long, cid long, score double")
+    return _meet(blocks, packed, pieces).mapInArrow(_best(bits, *shape, k), "qid long, cid long, score double")
 
 
 def _named(clean: DataFrame, asked: DataFrame, best: DataFrame, k: int) -> DataFrame:
