@@ -18,14 +18,14 @@ from faremeter.llm.common import as_row, held_out_column, text_of, utf8
 MOST_PER_CLASS = 2500
 #: Symbols of an n-gram: a symbol and up to seven before it in its expression.
 ORDER = 8
-#: A text's worst expressions whose log-likelihoods are added up and divided by their number.
-WORST = 2
 #: Taken from an n-gram's count in a class, and from a shared continuation count.
 CLASS_DISCOUNT = 2.0
 SHARED_DISCOUNT = 0.75
 #: Probability of a symbol that the sample never shows.
 _UNSEEN = 1e-4
-#: Expressions whose difference a task remembers.
+#: A difference counts up to this size, so that sums of its exponential stay finite.
+_MOST_DIFFERENCE = 500.0
+#: Expressions whose likelihood ratio a task remembers.
 _REMEMBERED = 100_000
 _FOLD = 5
 _PUNCTUATION = bytes(c for c in range(128) if not (48 <= c < 58 or 65 <= c < 91 or 97 <= c < 123 or c == 39))
@@ -65,26 +65,34 @@ class Models:
 
     def difference(self, word: bytes) -> float:
         """Log-likelihood of an expression in the toxic class less that in the ordinary class."""
+        out = 0.0
+        for gram in grams(word):
+            d = self.seen.get(gram)
+            out += self.left.get(gram[:-1], 0.0) if d is None else d
+        return out
+
+    def ratio(self, word: bytes) -> float:
+        """Likelihood of an expression in the toxic class divided by that in the ordinary class."""
         out = self.remembered.get(word)
         if out is None:
-            out = 0.0
-            for gram in grams(word):
-                d = self.seen.get(gram)
-                out += self.left.get(gram[:-1], 0.0) if d is None else d
+            out = math.exp(max(-_MOST_DIFFERENCE, min(_MOST_DIFFERENCE, self.difference(word))))
             if len(self.remembered) >= _REMEMBERED:
                 self.remembered.clear()
             self.remembered[word] = out
         return out
 
     def evidence(self, texts: list[bytes]) -> np.ndarray:
-        """The difference of each text's WORST worst expressions, divided by their number; 0 without expressions."""
+        """The logarithm of the mean likelihood ratio of all distinct expressions of each text; 0 without expressions.
+
+        It is the log-likelihood ratio of a text in which any one expression, equally likely each, comes from the toxic
+        class. Every expression counts, once as in the fit, and since their number divides, a longer text of the same kind
+        has no more of it.
+        """
         out, get = np.zeros(len(texts)), self.remembered.get
         for i, text in enumerate(texts):
-            words = tokens(text)
+            words = dict.fromkeys(tokens(text))  # in the order of the text, so that sums come out the same
             if words:
-                each = [d if (d := get(w)) is not None else self.difference(w) for w in words]
-                worst = sorted(each)[-WORST:]
-                out[i] = sum(worst) / len(worst)
+                out[i] = math.log(sum([r if (r := get(w)) is not None else self.ratio(w) for w in words]) / len(words))
         return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:

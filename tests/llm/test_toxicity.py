@@ -63,6 +63,32 @@ def test_whole_texts_and_odd_rows(spark, fitted):
     assert tx.score(spark.createDataFrame([], "doc_id long, text string"), models).count() == 0
 
 
+def test_every_expression_counts_and_length_does_not(monkeypatch):
+    sign = {b"m": 2.0, b"l": 2000.0, b"s": -2000.0}
+    monkeypatch.setattr(tx.Models, "difference", lambda self, word: sign.get(word[:1], -0.2))
+    models = tx.Models({}, {})
+    text = lambda **n: b" ".join(f"{k}{i}".encode() for k in n for i in range(n[k]))
+    spread, few, again, long = models.evidence([text(m=100), text(m=2, p=98), (text(m=2, p=98) + b" ") * 50, text(m=4, p=196)])
+    assert spread == pytest.approx(2.0) and few == pytest.approx(math.log((2 * math.exp(2) + 98 * math.exp(-0.2)) / 100))
+    assert few == again == pytest.approx(long)
+    assert np.isfinite(models.evidence([text(l=20_000), text(s=2)])).all()
+
+
+def test_long_clean_texts_of_distinct_words_stay(spark, fitted):
+    """A maximum over their words would grow with the number of words."""
+    _, _, models, _ = fitted
+    rng = random.Random(8)
+    syllables = ["an", "er", "th", "ing", "ou", "ly", "es", "re"]
+    texts = []
+    for i in range(12):
+        words = set()
+        while len(words) < 5_000 * (1 + i % 4):
+            words.add("".join(rng.choices(syllables, k=rng.randrange(1, 7))))
+        texts.append((i, " ".join(sorted(words))))
+    rows = tx.score(spark.createDataFrame(texts, "doc_id long, text string"), models).collect()
+    assert len(rows) == 12 and max(r.score for r in rows) < 0.5
+
+
 def test_stage_keeps_columns(fitted):
     docs, labels, _, truth = fitted
     kept = tx.not_toxic(docs, labels)
