@@ -194,7 +194,8 @@ def nearest(
     sorted array of hash strings, stored in blocks by bucket (first bits). A query descends in each tree to the entries
     that share its longest prefix, which lie together in the array; counts by shared length, added up over the trees, say
     how far all trees ascend together until they hold `share` of the vectors; what shares that prefix is scored exactly.
-    A query with fewer than k results then is compared with everything, block by block.
+    A query whose buckets together hold less than that, so that it would have to ascend past them, and one with fewer than k
+    results are compared with everything, block by block.
 
     Vectors null, zero, with null or non-finite components, of another length than most, or without an id take no part.
     Repeated rows count once. Fewer than k others: all of them. No rows give no rows. A bucket that many vectors fall
@@ -249,6 +250,7 @@ def _first(df: DataFrame, key: str, tie: str, n: int) -> DataFrame:
 
 
 def _search(blocks, queries, shape, bits, depth, trees, largest, wanted, n_blocks, pieces, k) -> DataFrame:
+    """What the queries find whose buckets in all trees hold as many as wanted; the others find nothing here."""
     kinds = "tree int, bucket long, code long"
     block = F.pmod(F.xxhash64("cid"), F.lit(n_blocks))
     hashed = _entries(*shape, bits, depth, trees, largest, True)
@@ -257,9 +259,8 @@ def _search(blocks, queries, shape, bits, depth, trees, largest, wanted, n_block
     counted = _meet(blocks.select("tree", "bucket", "code"), asked, pieces)
     counts = counted.mapInArrow(_count(bits, depth), "qid long, depth int, n long").groupBy("qid", "depth").agg(F.sum("n").alias("n"))
     deeper = Window.partitionBy("qid").orderBy(F.desc("depth"))
-    ascended = counts.withColumn("held", F.sum("n").over(deeper)).groupBy("qid").agg(
-        F.coalesce(F.max(F.when(F.col("held") >= wanted, F.col("depth"))), F.lit(depth)).cast("long").alias("depth")
-    )
+    held = counts.withColumn("held", F.sum("n").over(deeper)).filter(F.col("held") >= wanted)
+    ascended = held.groupBy("qid").agg(F.max("depth").cast("long").alias("depth"))
     deep = queries.join(ascended, queries["cid"] == ascended["qid"]).select("cid", "vec", "depth")
     placed = deep.mapInArrow(hashed, f"{kinds}, cid long, vec binary, depth long").withColumn("block", block)
     packed = _pack(placed, ["tree", "bucket", "block"], ["code", "cid", "depth", "vec"])

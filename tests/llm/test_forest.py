@@ -53,6 +53,23 @@ def test_recall_of_many_vectors(spark):
     assert all(len(v) == 20 for v in got.values())
 
 
+def test_queries_whose_buckets_hold_too_little_are_exact(spark):
+    """With skewed norms nearly all stored vectors fall into one bucket of a tree, and some queries into others."""
+    x = np.random.default_rng(5).standard_normal((3000, 16))
+    x = (x * np.where(np.arange(3000) % 100 == 1, 60, 1)[:, None]).astype(np.float32)
+    norms = (x.astype(float) ** 2).sum(axis=1)
+    held = np.zeros(3000)
+    for tree in range(forest.TREES):
+        stored, asked = (forest.hash_strings(x, e, tree, 17) >> np.uint64(13) for e in (np.sqrt(norms.max() - norms), np.zeros(3000)))
+        held += np.bincount(stored.astype(int), minlength=16)[asked.astype(int)]
+    poor = [q for q in range(0, 3000, 20) if held[q] < forest.SHARE * 3000]
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    got, want = results(spark, rows), brute(rows, 20)
+    assert got.keys() == want.keys() and poor
+    for q in poor:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+
+
 def test_starved_queries_are_compared_with_everything(spark):
     rows = make(1500, 2)
     got = results(spark, rows, trees=1, share=0.0001)
