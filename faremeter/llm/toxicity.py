@@ -9,7 +9,8 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faremeter.llm.common import as_row, held_out_column, text_of, utf8
@@ -27,6 +28,8 @@ _UNSEEN = 1e-4
 _MOST_DIFFERENCE = 500.0
 #: Expressions whose likelihood ratio a task remembers.
 _REMEMBERED = 100_000
+#: Slope and shift when the sample cannot tell the classes apart.
+_UNDECIDED = (0.0, -math.inf)
 _FOLD = 5
 _PUNCTUATION = bytes(c for c in range(128) if not (48 <= c < 58 or 65 <= c < 91 or 97 <= c < 123 or c == 39))
 #: A-Z to a-z, ASCII punctuation and control characters to a space.
@@ -119,17 +122,21 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """(doc_id, toxic, text, part) of at most `most` labelled documents of each class outside the held-out fifth.
 
-    They are the ones with the smallest hashes of their ids. Of several labels of a document the largest counts. part 0,
-    a quarter, is for the scale of the scores, the rest for counts.
+    They are the ones with the smallest hashes of their ids. Of several labels of a document the largest counts; labels of
+    ids that no document has do not count. part 0, a quarter of each class and at least one of it, is for the scale of the
+    scores, the rest for counts, so that both parts have each class that has two labelled documents.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out_column("doc_id", _FOLD, 0))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     picked = [
         known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for k in (0, 1)
     ]
-    chosen = F.broadcast(picked[0].union(picked[1]))  # at most 2 * most rows of two numbers
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
+    dealt = picked[0].union(picked[1]).withColumn("part", ((place - 1) % 4).cast("int"))
+    chosen = F.broadcast(dealt)  # at most 2 * most rows of three numbers
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("text"))
-    return texts.join(chosen, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)))
+    return texts.join(chosen, "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_PER_CLASS) -> Models:
@@ -139,12 +146,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_PER_CLASS) -> Model
     own counts. `shared` is the same for both classes: Kneser-Ney over continuation counts of the n-grams of both
     together. A rare expression therefore gets nearly the same probability in both. What is collected is bounded by the
     sample; a quarter of it is kept from counting and scales the scores.
+
+    Where the sample cannot tell the classes apart every score is 0, below one half: a class has fewer than two labelled
+    documents, or no expressions in one of the parts, or more evidence does not mean toxic in the part for the scale.
     """
     sample = labelled_sample(docs, labels, most).persist()
     try:
         counted = sample.filter("part <> 0").select("toxic", "text").mapInArrow(_count_grams, "toxic int, gram string, n long")
         one = lambda k: F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0))
         counts = counted.groupBy("gram").agg(one(0).alias("c0"), one(1).alias("c1")).toArrow()
+        if not all(pc.sum(counts[c]).as_py() for c in ("c0", "c1")):
+            return Models({}, {}, *_UNDECIDED)
         models = from_counts(counts["gram"].to_pylist(), counts["c0"].to_pylist(), counts["c1"].to_pylist())
         return _scaled(models, sample)
     finally:
@@ -209,6 +221,8 @@ def _scaled(models: Models, sample: DataFrame) -> Models:
 
     rows = sample.filter("part = 0").select("toxic", "text").mapInArrow(run, "toxic int, evidence double").toPandas()
     slope, shift = logistic(rows["evidence"].to_numpy(float), rows["toxic"].to_numpy(float))
+    if rows["toxic"].nunique() < 2 or slope <= 0:
+        slope, shift = _UNDECIDED
     return replace(models, slope=slope, shift=shift)
 
 
@@ -251,5 +265,8 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
 
 
 def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the models do not call toxic (score below one half), with the columns of docs."""
+    """The documents that the models do not call toxic (score below one half), with the columns of docs.
+
+    All documents stay if the labels cannot tell the classes apart, as `fit` says.
+    """
     return score(docs, fit(docs, labels)).filter("score < 0.5").select("row.*")

@@ -104,6 +104,30 @@ def test_without_two_classes(spark, labels):
     assert all(0 <= r.score <= 1 for r in tx.score(docs, models).collect())
 
 
+def few_labels(n_toxic, n_clean):
+    """Labels outside the held-out fifth of the documents of make(400)."""
+    _, labels = make(400)
+    usable = [x for x in labels if not held_out(x[0], 5, 0)]
+    return [x for x in usable if x[1]][:n_toxic] + [x for x in usable if not x[1]][:n_clean]
+
+
+@pytest.mark.parametrize("n", [(0, 0), (0, 50), (50, 0), (1, 50), (50, 1)])
+def test_stage_keeps_everything_without_two_classes(spark, fitted, n):
+    docs = fitted[0]
+    kept = tx.not_toxic(docs, spark.createDataFrame(few_labels(*n), "doc_id long, toxic int"))
+    assert kept.count() == 400
+
+
+@pytest.mark.parametrize("n_toxic", [2, 3, 5, 12])
+def test_stage_with_few_toxic_labels(spark, fitted, n_toxic):
+    docs, _, _, truth = fitted
+    labels = spark.createDataFrame(few_labels(n_toxic, 100), "doc_id long, toxic int")
+    parts = {(r.toxic, r.part == 0) for r in tx.labelled_sample(docs, labels, 2500).collect()}
+    assert parts == {(0, True), (0, False), (1, True), (1, False)}
+    kept = {r.doc_id for r in tx.not_toxic(docs, labels).collect()}
+    assert sum(truth[i] == 0 for i in kept) >= 291  # of 300
+
+
 def test_probabilities_add_up():
     """Each class's probabilities of all symbols after a context, unseen ones included, sum to one."""
     rng = random.Random(1)
