@@ -357,7 +357,7 @@ def fleet_ratio_sweep(spark, d):
 def shift_simulation(spark, d):
     calls = stored(V.shift_calls(spark, d), "shift-calls")
     fleet = stored(V.fleet(spark, d, calls, "shift"), "shift-taxis")
-    run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, rounds=0, key=_pick())
+    run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, key=_pick())
     return run.withColumns(
         {"failure_rate": F.round("failure_rate", 6), "mean_wait": F.round("mean_wait", 6)}
     )

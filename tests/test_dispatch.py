@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from faremeter.operators import dispatch as D
+from faremeter.plans import dispatching
+from faremeter.plans import views as V
 
 CALLS = (
     "batch bigint, call_id bigint, pickupid int, dropoffid int, calltime double, duration double, dist double, draw int"
@@ -350,3 +352,50 @@ def test_shifts_equal_loops(spark, world, rounds):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k]), k
+
+
+def test_shift_query_reassigns_to_the_end(spark, world, monkeypatch):
+    """The registered query itself, on a small fixture, against the loops."""
+    rng = random.Random(12)
+    steps, calls, taxis = 3, [], []
+    for shift in range(3):
+        for step in range(steps):
+            for i in range(6):
+                calls.append(dict(
+                    shift=shift, step=step, call_id=shift * 1000 + step * 100 + i, pickupid=rng.randrange(ZONES),
+                    dropoffid=rng.randrange(ZONES), calltime=step * 600.0 + i * 60, duration=rng.choice([200.0, 900.0]),
+                    dist=rng.choice([1.0, 2.8, 3.1]), draw=rng.randrange(3),
+                ))
+        for i in range(12):
+            taxis.append(dict(
+                shift=shift, taxi_id=shift * 100 + i, locid=rng.randrange(ZONES), vacatime=float(rng.choice([60, 300])),
+                available=1, desid=None, endtime=0.0, draw=rng.randrange(3),
+            ))
+    table = lambda rows, schema: spark.createDataFrame(
+        [tuple(r[f.split()[0]] for f in schema.split(", ")) for r in rows], schema
+    )
+    calls_df = table(calls, "shift bigint, step int, " + CALLS.removeprefix("batch bigint, "))
+    fleet_df = table(taxis, "shift bigint, " + FLEET.removeprefix("batch bigint, "))
+    monkeypatch.setattr(V, "BATCHES_PER_SHIFT", steps)
+    monkeypatch.setattr(V, "shift_calls", lambda *_: calls_df)
+    monkeypatch.setattr(V, "fleet", lambda *_: fleet_df)
+    monkeypatch.setattr(V, "near", lambda *_: world["near"])
+    got = {(r.ratio, r.step): (r.n_calls, r.failure_rate, r.mean_wait) for r in dispatching.shift_simulation(spark, "").collect()}
+
+    def loops(rounds):
+        out = {}
+        for ratio in D.FLEET_RATIOS:
+            rows = [
+                r for s in range(3) for r in _loop_shift(
+                    [c for c in calls if c["shift"] == s], [t for t in taxis if t["shift"] == s], world["around"], ratio,
+                    max(D.FLEET_RATIOS), steps, lambda taxi, call: (taxi * 7919 + call * 104729) % 1000003, rounds)
+            ]
+            for step in range(steps):
+                own = [r for r in rows if r[0] == step]
+                out[ratio, step] = (sum(r[1] for r in own), sum(r[2] for r in own) / 3, sum(r[3] for r in own) / 3)
+        return out
+
+    want, first = loops(None), loops(0)
+    assert got.keys() == want.keys() and any(want[k] != pytest.approx(first[k], abs=1e-5) for k in want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-6), k
