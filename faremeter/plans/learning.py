@@ -204,8 +204,8 @@ def travel_time_lr(spark, d):
 
 
 @query("travel_time_gbt")
-def travel_time_gbt(spark, d, iterations=20, depth=5):
-    """Boosted trees; the library's default of `M.boosted_trees` is 200 iterations, each a pass over the trips."""
+def travel_time_gbt(spark, d, iterations=200, depth=5):
+    """Boosted trees of 200 iterations, each a pass over the trips."""
     train, held = _split(spark, d)
     return _predictions(M.predict(M.fit(train, M.boosted_trees(maxIter=iterations, maxDepth=depth)), held))
 
@@ -232,7 +232,7 @@ def request_predict(spark, d):
 
 
 @query("indexed_regression")
-def indexed_regression(spark, d, iterations=10, depth=5):
+def indexed_regression(spark, d, iterations=20, depth=5):
     train, held = (x.drop("features") for x in _split(spark, d))
     pipeline = M.indexed(FEATURES, M.boosted_trees(maxIter=iterations, maxDepth=depth))
     return _predictions(M.predict(M.fit(train, pipeline), held))
@@ -240,10 +240,9 @@ def indexed_regression(spark, d, iterations=10, depth=5):
 
 @query("travel_time_cv")
 def travel_time_cv(spark, d, grid=None):
-    """Search over a small grid; pass `M.FULL_GRID` for its eight points, which are 24 fits of up to 50 iterations."""
+    """Search over the eight points of `M.FULL_GRID` unless another grid is given: 24 fits of up to 50 iterations."""
     train, held = _split(spark, d)
-    grid = grid or {"maxDepth": [2, 3], "maxBins": [25], "maxIter": [2]}
-    return _predictions(M.predict(M.cross_validated(train, M.boosted_trees(), grid), held))
+    return _predictions(M.predict(M.cross_validated(train, M.boosted_trees(), grid or M.FULL_GRID), held))
 
 
 @query("price_lr")

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
 from faremeter.operators import features as X
 from faremeter.operators import models as M
+from faremeter.plans import learning
 from faremeter.sources.models import load_model, save_model
 
 
@@ -83,3 +86,19 @@ def test_trees_indexing_and_search(trips, edges, zones):
     assert M.predict(M.fit(built, pipeline), built).filter("prediction is null").count() == 0
     found = M.cross_validated(data, M.boosted_trees(), {"maxDepth": [1, 4], "maxIter": [2]}, folds=2)
     assert len(found.avgMetrics) == 2 and found.avgMetrics[1] < found.avgMetrics[0]
+
+
+def test_queries_do_the_full_work(monkeypatch):
+    """Without arguments the queries ask for all iterations and the whole grid."""
+    asked = []
+    monkeypatch.setattr(learning, "_split", lambda *_: (SimpleNamespace(drop=lambda *_: None),) * 2)
+    monkeypatch.setattr(learning, "_predictions", lambda *_: None)
+    monkeypatch.setattr(M, "predict", lambda *_: None)
+    monkeypatch.setattr(M, "fit", lambda df, estimator: None)
+    monkeypatch.setattr(M, "boosted_trees", lambda **params: asked.append(params))
+    monkeypatch.setattr(M, "indexed", lambda *_: None)
+    monkeypatch.setattr(M, "cross_validated", lambda df, estimator, grid: asked.append(grid))
+    learning.travel_time_gbt(None, "")
+    learning.indexed_regression(None, "")
+    learning.travel_time_cv(None, "")
+    assert asked == [{"maxIter": 200, "maxDepth": 5}, {"maxIter": 20, "maxDepth": 5}, {}, M.FULL_GRID]
