@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremeter.llm import bm25, forest, linededup, mixing, pieces, pitmanyor, simhash, tokenids, toxicity, warc
+from faremeter.llm import (
+    alignment, bm25, chat, forest, linededup, mixing, pieces, pitmanyor, reversed_search, simhash, tokenids, toxicity, warc,
+)
 from faremeter.llm.common import held_out_column, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +79,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    given = alignment.definitions(path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path("piece_bpe_32k.model"))
+    return alignment.Alignment(_table(spark, sf_dir, "documents"), given).documents()
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"</s>[INST] ok [/INST]"
+    turns = [F.struct(F.lit(role).alias("role"), F.lit(said).alias("content")) for role in ("user", "assistant")]
+    probe = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.to_json(F.struct(F.array(*turns).alias("messages"))).alias("payload")
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    records = chat.as_records(rows, "conv_id").unionByName(probe)
+    return chat.digests(chat.format_chats(chat.canonical_turns(records)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_ids": op1_token_ids,
     "op2_pieces": op2_pieces,
@@ -88,5 +111,11 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_reversed_search": op11_reversed_search,
+    "op12_alignment": op12_alignment,
+    "op13_chat": op13_chat,
+}
+ORACLES: dict[str, str] = {
+    "op4_bm25": bm25.SQL, "op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_line_dedup": linededup.SQL,
+    "op11_reversed_search": reversed_search.SQL, "op13_chat": chat.SQL,
 }
-ORACLES: dict[str, str] = {"op4_bm25": bm25.SQL, "op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_line_dedup": linededup.SQL}
