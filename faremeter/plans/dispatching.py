@@ -339,22 +339,9 @@ def fleet_ratio_sweep(spark, d):
     )
 
 
-@query(
-    "shift_simulation",
-    """select tenths / 10e0 as ratio, cast(step as int) as step, cast(sum(n) as bigint) as n_calls,
-         round(avg(failure), 6) as failure_rate, round(avg(wait), 6) as mean_wait
-       from (
-         select r.tenths, c.step, c.shift, count(*) as n,
-           avg(case when w.eta is null then 1e0 else 0e0 end) as failure,
-           coalesce(sum(w.eta), 0e0) / count(*) / 60 as wait
-         from (select tenths from (values (5), (6), (7), (8), (9), (10), (11), (12), (13), (14), (15)) v(tenths)) r
-           cross join shift_calls c
-           left join shift_answers w on w.tenths = r.tenths and w.shift = c.shift and w.call_id = c.call_id
-         group by r.tenths, c.step, c.shift) z
-       group by tenths, step""",
-    "shift_calls shift_answers",
-)
+@query("shift_simulation")
 def shift_simulation(spark, d):
+    """Ten successive batches with the fleet carried on; too many rounds to write out as SQL, so it is tested by loops."""
     calls = stored(V.shift_calls(spark, d), "shift-calls")
     fleet = stored(V.fleet(spark, d, calls, "shift"), "shift-taxis")
     run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, key=_pick())

@@ -19,8 +19,8 @@ from faremeter.sources.models import load_model, save_model
 from faremeter.sources.scratch import scratch_root, stored
 
 LINE_KEY = ", ".join(V.LINE_KEY)
-# Keys, the label, and the measures that a request does not carry.
-EXCLUDE = [*V.LINE_KEY, "event_id", "pickupid", "dropoffid", "time", "duration", "trip_distance", "passengers", "price"]
+# Keys, and the measures that a request does not carry (of which price is a label, too).
+EXCLUDE = [*V.LINE_KEY, *X.KEYS, "event_id", "trip_distance", "passengers", "price"]
 FEATURES = ["dist", "dow", "dom", "month", "hour", "minute", "near", "h_pu", "h_do", "v_pu", "v_do"]
 
 
@@ -29,7 +29,7 @@ def _training(spark, d):
     trips = calendar_features(V.trips(spark, d), "pickup")
     built = X.trip_features(trips, V.edges(spark, d), V.zones(spark, d), "time")
     kept = built.select(*V.LINE_KEY, "price", "time", *FEATURES)
-    return X.vectors(stored(kept, "training"), EXCLUDE)
+    return X.vectors(stored(kept, "training"), "time", EXCLUDE)
 
 
 def _requests(spark, d):
@@ -42,7 +42,7 @@ def _requests(spark, d):
         (F.col("price") / 10).alias("dist"),
     )
     built = X.trip_features(calendar_features(asked, "ts"), V.edges(spark, d), V.zones(spark, d), label=None)
-    return X.vectors(built.select("event_id", *FEATURES), EXCLUDE)
+    return X.vectors(built.select("event_id", *FEATURES), "time", EXCLUDE)
 
 
 def _predictions(df, label="time"):
@@ -97,7 +97,7 @@ def travel_time_ols(spark, d):
 def _distance_model(spark, d, label="time", estimator=None):
     """(fitted model, held-out trips as feature vectors)."""
     trips = V.trips(spark, d).withColumn("time", S.minutes(F.col("duration")))
-    data = X.vectors(stored(trips.select(*V.LINE_KEY, "dist", label), "by-distance"), [*V.LINE_KEY, label])
+    data = X.vectors(stored(trips.select(*V.LINE_KEY, "dist", label), "by-distance"), label, V.LINE_KEY)
     return M.fit(data.filter(~V.held_out()), estimator or M.least_squares(label), label), data.filter(V.held_out())
 
 
@@ -157,7 +157,7 @@ def request_by_distance(spark, d):
     """Requests, which have no duration, under the fitted model."""
     model, _ = _distance_model(spark, d)
     asked = V.event_trips(spark, d).select("event_id", (F.col("price") / 10).alias("dist"))
-    return M.predict(model, X.vectors(asked, ["event_id"])).select("event_id", F.round("prediction", 4).alias("prediction"))
+    return M.predict(model, X.vectors(asked, "time", ["event_id"])).select("event_id", F.round("prediction", 4).alias("prediction"))
 
 
 @query(

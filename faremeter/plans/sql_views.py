@@ -240,66 +240,6 @@ VIEWS["sweep_assigned"] = (
 )
 _add_accepted("sweep_accepted", _add_rounds("sweep_calls", "sweep_pairs", "sweep_assigned", "_sweep", ROUNDS))
 
-# Shifts of ten batches with the fleet carried on, at eleven fleet sizes (in tenths).
-SHIFT_RATIOS = "(values (5), (6), (7), (8), (9), (10), (11), (12), (13), (14), (15)) v(tenths)"
-VIEWS["shift_calls"] = (
-    "placed",
-    """select call_id, cast(period * 10000000000 + pos // 500 as bigint) as shift, pos // 50 % 10 as step,
-         c_nationkey as pickupid, cast((call_id * 7) % 25 as int) as dropoffid,
-         (pos // 50 % 10 * 600 + pos % 50 * 12) * 1e0 as calltime, cast(call_id % 1800 + 60 as double) as duration,
-         (call_id % 60) / 10e0 as dist
-       from placed join customer on o_custkey = c_custkey""",
-)
-VIEWS["state0"] = (
-    "shift_calls taxis",
-    f"""select tenths, shift, taxi_id, locid, vacatime, available, desid, endtime from (
-          select *, row_number() over (partition by shift order by taxi_id) as taxi_rank,
-            count(*) over (partition by shift) as n
-          from (select distinct shift, l_suppkey from lineitem join shift_calls on l_orderkey = call_id) d
-            join taxis on l_suppkey = taxi_id) x cross join {SHIFT_RATIOS}
-        where taxi_rank <= n * tenths // 15""",
-)
-for _i in range(10):
-    VIEWS[f"best{_i}"] = (
-        f"shift_calls nearby state{_i}",
-        f"""select * from (
-              select *, row_number() over (partition by tenths, shift, taxi_id
-                order by round({PULL}, 9) desc, call_id) as rn
-              from (
-                select t.tenths, c.shift, c.call_id, c.calltime, c.duration, c.dropoffid, c.dist, t.taxi_id,
-                  case when t.available = 1 then c.calltime else t.endtime end + c.duration as eta,
-                  case when a.zone is not null or b.zone is not null then 1 else 0 end as near
-                from (select * from shift_calls where step = {_i}) c join state{_i} t on c.shift = t.shift
-                  left join nearby a on a.zone = c.pickupid and a.near_zone = t.locid
-                  left join nearby b on b.zone = c.pickupid and b.near_zone = t.desid) x) y where rn = 1""",
-    )
-    VIEWS[f"won{_i}"] = (
-        f"best{_i}",
-        f"""select tenths, shift, call_id, taxi_id, calltime, duration, dropoffid, eta from (
-              select tenths, shift, call_id, taxi_id, calltime, duration, dropoffid, eta,
-                row_number() over (partition by tenths, shift, call_id order by {PICK}, taxi_id) as rw
-              from best{_i}) x where rw = 1""",
-    )
-    VIEWS[f"state{_i + 1}"] = (
-        f"state{_i} won{_i} shift_calls",
-        f"""select tenths, shift, taxi_id, case when done then coalesce(to_zone, locid) else locid end as locid,
-              case when done then clock - ends when won then 0e0 else vacatime end as vacatime,
-              case when done then 1 when won then 0 else available end as available,
-              case when done then null else to_zone end as desid, ends as endtime
-            from (select *, coalesce(ends < clock and busy, false) as done from (
-              select t.*, k.clock, w.call_id is not null as won, w.call_id is not null or t.available = 0 as busy,
-                case when w.call_id is not null then w.calltime + w.duration else t.endtime end as ends,
-                case when w.call_id is not null then w.dropoffid else t.desid end as to_zone
-              from state{_i} t left join won{_i} w
-                  on w.tenths = t.tenths and w.shift = t.shift and w.taxi_id = t.taxi_id
-                left join (select shift, max(calltime) as clock from shift_calls where step = {_i} group by shift) k
-                  on k.shift = t.shift) x) y""",
-    )
-VIEWS["shift_answers"] = (
-    " ".join(f"won{_i}" for _i in range(10)),
-    " union all ".join(f"select tenths, shift, call_id, eta from won{_i}" for _i in range(10)),
-)
-
 
 def with_views(sql: str, names: list[str]) -> str:
     """Prefix `sql` with the views it names and the views those need, in dependency order."""

@@ -34,13 +34,15 @@ def trips(spark):
 
 def test_features_leave_out_the_label(trips, edges, zones):
     built = X.trip_features(trips, edges, zones)
-    assert X.feature_columns(built) == ["dist", "near", "h_pu", "h_do", "v_pu", "v_do"]
+    assert X.feature_columns(built, "time") == ["dist", "near", "h_pu", "h_do", "v_pu", "v_do"]
+    assert "time" not in X.feature_columns(built, "time", exclude=[]) and "duration" not in X.feature_columns(built, None)
+    assert X.feature_columns(built, "dist", ["time"]) == ["pickupid", "dropoffid", "near", "h_pu", "h_do", "v_pu", "v_do"]
     assert built.filter("time <> duration / 60").count() == 0
     assert "time" not in X.trip_features(trips, edges, zones, label=None).columns
 
 
 def test_linear_model_recovers_the_slope(trips, edges, zones):
-    data = X.vectors(X.trip_features(trips, edges, zones))
+    data = X.vectors(X.trip_features(trips, edges, zones), "time")
     model = M.fit(data, M.linear(regParam=0.0, elasticNetParam=0.0))
     assert model.coefficients[0] == pytest.approx(2.0, abs=1e-6)
     assert model.intercept == pytest.approx(5.0, abs=1e-4)
@@ -56,13 +58,13 @@ def test_default_settings():
 
 
 def test_saved_model_predicts_the_same_without_a_label(trips, edges, zones, tmp_path):
-    data = X.vectors(X.trip_features(trips, edges, zones))
+    data = X.vectors(X.trip_features(trips, edges, zones), "time")
     model = M.fit(data, M.linear())
     path = str(tmp_path / "model")
     save_model(model, path)
     save_model(model, path)
     again = load_model(LinearRegressionModel, path)
-    request = X.vectors(X.trip_features(trips.drop("duration"), edges, zones, label=None))
+    request = X.vectors(X.trip_features(trips.drop("duration"), edges, zones, label=None), None)
     want = sorted(r.prediction for r in M.predict(model, data).collect())
     assert sorted(r.prediction for r in M.predict(again, request).collect()) == pytest.approx(want)
 
@@ -72,14 +74,14 @@ def test_unknown_zone_is_an_error_unless_asked_otherwise(spark, edges, zones):
     built = X.trip_features(trip, edges, zones)
     assert built.first().near == 0 and built.first().h_do is None
     with pytest.raises(Exception):
-        X.vectors(built).collect()
-    assert X.vectors(built, invalid="skip").count() == 0
-    assert X.vectors(built, invalid="keep").count() == 1
+        X.vectors(built, "time").collect()
+    assert X.vectors(built, "time", invalid="skip").count() == 0
+    assert X.vectors(built, "time", invalid="keep").count() == 1
 
 
 def test_trees_indexing_and_search(trips, edges, zones):
     built = X.trip_features(trips, edges, zones)
-    data = X.vectors(built)
+    data = X.vectors(built, "time")
     rf = M.fit(data, M.random_forest(numTrees=3, maxDepth=4))
     assert M.evaluate(M.predict(rf, data))["r2"] > 0.5
     pipeline = M.indexed(["dist", "near", "h_pu"], M.boosted_trees(maxIter=2, maxDepth=3))
