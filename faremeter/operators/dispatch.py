@@ -11,6 +11,9 @@ A batch is one dispatch problem: its calls and the taxis on duty for it. The sco
 on the taxi through its zone, its destination and its draw alone. So the best call is looked up per zone, counts and
 sums come from taxis counted per zone, and candidate lists from the few best taxis of each zone. Work grows with the
 calls and the taxis, not with their product, and every shuffle is keyed by batch or finer.
+
+A batch has a bounded number of calls (fifty, as `call_batches` makes them) and any number of taxis. Rows that hold a
+list are bounded by the calls of a batch, never by its taxis.
 """
 from __future__ import annotations
 
@@ -29,6 +32,10 @@ from faremeter.sources.scratch import stored
 # The fleet sizes that the service level is reported for.
 FLEET_RATIOS = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.4, 1.5)
 _FLEET_COLUMNS = ["batch", "taxi_id", "locid", "vacatime", "available", "desid", "endtime", "draw"]
+#: Taxis of a class that a batch keeps for its far lists; a list as long as this may be cut.
+_HEAD = 65
+#: Rounds of reassignment in one job.
+_ROUNDS_PER_JOB = 32
 
 
 def _prepared(fleet: DataFrame) -> DataFrame:
@@ -159,15 +166,17 @@ def best_offers(calls: DataFrame, near: DataFrame) -> DataFrame:
     return far.join(zone_map, "batch", "left")
 
 
-def _with_best_offer(calls: DataFrame, fleet: DataFrame, near: DataFrame) -> DataFrame:
+def _with_best_offer(calls: DataFrame, fleet: DataFrame, near: DataFrame, key: str = "batch") -> DataFrame:
     """The fleet with its extra columns, each taxi's best offer `o`, p and eta.
 
+    Calls are grouped by `key`, which both tables have; several fleets may share the calls of one.
     Far offers include calls that are near the taxi; those are never chosen wrongly, because the same call has a
     strictly larger near offer.
     """
     idle = S.idle_seconds(F.col("available"), F.col("vacatime"))
+    offers = best_offers(calls.withColumn("batch", F.col(key)), near)
     taxis = fleet.withColumn("vacatime", idle).join(
-        best_offers(calls, near).withColumnsRenamed({"near": "_near", "far": "_far"}), "batch"
+        offers.withColumnsRenamed({"batch": key, "near": "_near", "far": "_far"}), key
     )
     at_position = F.try_element_at("_near", F.col("locid"))
     at_destination = F.try_element_at("_near", F.col("desid"))
@@ -219,87 +228,138 @@ def objective(load: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- reassignment
 
 
-def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3) -> DataFrame:
-    """For each call below `max_res` taxis, the `max_res` other taxis with the least eta/60*p.
+def ranked_taxis(
+    calls: DataFrame, fleet: DataFrame, near: DataFrame, depth: int, keep: Sequence[str] = ()
+) -> DataFrame:
+    """The calls with `offers`: the `depth` taxis of the batch with the least eta/60*p, in order.
+
+    An offer has value, step, taxi_id, near, p, eta and the fleet columns to keep (as `held`). It depends on the call and
+    the taxi alone, so it holds whatever the assignment is. Calls of batches without taxis are left out.
 
     Taxis of one state and draw that are all near a zone, or all far from it, differ for its calls in one number only
-    (vacancy if free, end time if busy), and the measure rises with it. So the first `2*max_res-1` of each such class
-    hold the exact answer: `max_res` to offer and up to `max_res-1` that the call already has. Two bounded lists lead
-    there: per batch, the first taxis of each position, destination, state and draw; then per pickup zone, the first of
-    each class. Both depend on the number of zones and not on the fleet.
+    (vacancy if free, end time if busy), and the measure rises with it: `step`. So the first `depth` of each such class
+    hold the exact answer, and of a class whose first taxi comes at place j only the first `depth - j` count.
     """
-    depth = 2 * max_res - 1
     step = F.when(F.col("available") == 1, F.col("vacatime")).otherwise(F.col("endtime"))
-    shortlist = top_k_per(
-        assignments.withColumn("step", step),
-        ["batch", "available", "draw", "locid", "desid"],
-        [F.col("step"), F.col("taxi_id")],
-        depth,
-    )
-    entry = F.struct(
-        "step", "taxi_id", "reach", "available", "endtime", "draw",
-        S.idle_part(F.col("vacatime")).alias("idle"),
-        F.col("call_id").alias("from_call"),
-        F.col("p").alias("from_p"),
-        F.col("eta").alias("from_eta"),
-    )
-    classes = _with_reach(shortlist, near).groupBy("batch", "available", "draw").agg(
-        F.sort_array(F.collect_list(entry)).alias("taxis")
-    )
-    lists = classes.groupBy("batch").agg(F.collect_list("taxis").alias("classes"))
-    caller = F.struct(
-        "call_id", "calltime", "duration", "n_drivers", "log_miss", "hours",
-        F.array(*[_pull(1, d) for d in _draws()]).alias("near_pull"),
-        F.array(*[_pull(0, d) for d in _draws()]).alias("far_pull"),
-    )
-    # A batch has a bounded number of calls; its open calls are grouped by pickup zone to share the zone's lists.
-    open_zones = load.filter(F.col("n_drivers") < max_res).groupBy("batch", "pickupid").agg(
-        F.collect_list(caller).alias("calls")
+    idle = S.idle_part(S.idle_seconds(F.col("available"), F.col("vacatime")))
+    taxi = F.struct(
+        step.alias("step"), "taxi_id", "available", "endtime", "draw", idle.alias("idle"), "locid", "desid",
+        F.struct(F.lit(0).alias("_"), *keep).alias("held"),
     )
+    taxis = fleet.select(*_CLASS, "locid", "desid", step.alias("step"), "taxi_id", taxi.alias("t"))
+    # pulls by draw, far and near, worked out per call and not per offer
+    pulls = F.array(*[F.array(*[_pull(flag, d) for d in _draws()]) for flag in (0, 1)])
+    pooled = calls.withColumn("_pulls", pulls).join(_zone_lists(taxis, calls, near, depth), ["batch", "pickupid"])
 
-    def is_near(t: Column) -> Column:
-        return F.array_contains(t["reach"], F.col("pickupid"))
+    def measure(t: Column, near_flag: Column) -> tuple[Column, Column]:
+        p = t["idle"] + F.get(F.get(F.col("_pulls"), near_flag), t["draw"])
+        return p, S.eta(t["available"], F.col("calltime"), t["endtime"], F.col("duration"))
 
-    def first_far(taxis: Column, near_taxis: Column) -> Column:
-        # Enough of the list to hold `depth` far taxis whatever the near ones in between.
-        head = F.slice(taxis, F.lit(1), F.size(near_taxis) + depth)
-        return F.slice(F.filter(head, lambda t: ~is_near(t)), 1, depth)
+    def head(listed: Column, i: Column) -> Column:
+        t = F.get(listed["taxis"], F.lit(0))
+        p, eta = measure(t, listed["near"])
+        return F.struct(S.billionths(eta / 60 * p).alias("value"), t["step"].alias("step"), t["taxi_id"].alias("taxi_id"), i.alias("list"))
 
-    split = open_zones.join(lists, "batch").withColumn(
-        "near_all", F.transform("classes", lambda c: F.filter(c, is_near))
-    )
-    pools = split.select(
-        "batch",
-        "calls",
-        F.transform("near_all", lambda c: F.slice(c, 1, depth)).alias("near_taxis"),
-        F.zip_with("classes", "near_all", first_far).alias("far_taxis"),
-    )
-    calls = pools.select("batch", F.explode("calls").alias("k"), "near_taxis", "far_taxis")
+    def some_of(chosen: Column, j: Column) -> Column:
+        listed = F.get(F.col("_lists"), chosen["list"])
 
-    def offers(taxis: str, near_flag: int, pull: Column) -> Column:
         def offer(t: Column) -> Column:
-            p = t["idle"] + F.get(pull, t["draw"])
-            eta = S.eta(t["available"], F.col("k.calltime"), t["endtime"], F.col("k.duration"))
+            p, eta = measure(t, listed["near"])
+            return F.struct(
+                S.billionths(eta / 60 * p).alias("value"), t["step"].alias("step"), t["taxi_id"].alias("taxi_id"),
+                listed["near"].alias("near"), p.alias("p"), eta.alias("eta"), t["held"].alias("held"),
+            )
+
+        return F.transform(F.slice(listed["taxis"], F.lit(1), F.lit(depth) - j), offer)
+
+    heads = F.slice(F.sort_array(F.transform("_lists", head)), 1, depth)
+    offers = F.slice(F.sort_array(F.flatten(F.transform(heads, some_of))), 1, depth)
+    return pooled.select(*calls.columns, offers.alias("offers"))
+
+
+_CLASS = ["batch", "available", "draw"]
+
+
+def _zone_lists(taxis: DataFrame, calls: DataFrame, near: DataFrame, depth: int) -> DataFrame:
+    """(batch, pickupid, _lists): per class the first taxis near a zone and the first far from it, as (near, taxis).
+
+    They are looked for among the first `_HEAD` taxis of each class of the batch, cut to that before the shuffle. Where
+    a class has more taxis and its head too few of them, they come from all of the class: near ones by the positions and
+    destinations around the zone, far ones from the first of each position and destination.
+    """
+    order = [F.col("step"), F.col("taxi_id")]
+    around = near.groupBy(F.col("zone").alias("pickupid")).agg(F.collect_set("near_zone").alias("around"))
+
+    def is_near(t: Column) -> Column:
+        ends = [F.coalesce(F.array_contains(F.col("around"), t[end]), F.lit(False)) for end in ("locid", "desid")]
+        return ends[0] | ends[1]
+
+    def listed(near_flag: int):
+        def each(c: Column) -> Column:
+            own = F.filter(c["taxis"], is_near if near_flag else lambda t: ~is_near(t))
             return F.struct(
-                S.billionths(eta / 60 * p).alias("value"),
-                t["step"].alias("step"),
-                t["taxi_id"].alias("taxi_id"),
-                F.lit(near_flag).alias("near"),
-                p.alias("p"),
-                eta.alias("eta"),
-                t.alias("taxi"),
+                c["available"].alias("available"), c["draw"].alias("draw"), F.lit(near_flag).alias("near"),
+                F.slice(own, 1, depth).alias("taxis"), (F.size(c["taxis"]) == _HEAD).alias("cut"),
             )
 
-        own = F.col("k.n_drivers").cast("int")
-        useful = F.flatten(F.transform(taxis, lambda c: F.slice(c, F.lit(1), F.lit(max_res) + own)))
-        return F.transform(F.filter(useful, lambda t: t["from_call"] != F.col("k.call_id")), offer)
+        return F.transform("classes", each)
 
-    both = F.concat(offers("near_taxis", 1, F.col("k.near_pull")), offers("far_taxis", 0, F.col("k.far_pull")))
-    best = F.slice(F.sort_array(both), 1, max_res)
-    kept = [F.col(f"k.{c}").alias(c) for c in ("call_id", "n_drivers", "log_miss", "hours")]
-    return calls.select("batch", *kept, F.posexplode(best).alias("_at", "c")).select(
-        "batch", "call_id", "n_drivers", "log_miss", "hours", (F.col("_at") + 1).alias("rnk"),
-        (F.col("c.value") / 1e9).alias("value"), "c.taxi_id", "c.near", "c.p", "c.eta", "c.taxi.from_call", "c.taxi.from_p", "c.taxi.from_eta",
+    heads = top_k_per(taxis, _CLASS, order, _HEAD).groupBy(*_CLASS).agg(F.sort_array(F.collect_list("t")).alias("taxis"))
+    by_batch = heads.groupBy("batch").agg(F.collect_list(F.struct("available", "draw", "taxis")).alias("classes"))
+    asked = calls.select("batch", "pickupid").distinct().join(around, "pickupid", "left")
+    zones = asked.join(stored(by_batch, "classes"), "batch").select(
+        "batch", "pickupid", "around",
+        F.concat(listed(1), listed(0)).alias("lists"),
+    )
+
+    def lacks(c: Column) -> Column:
+        return c["cut"] & (F.size(c["taxis"]) < depth)
+
+    short = zones.select("batch", "pickupid", "around", F.explode_outer(F.filter("lists", lacks)).alias("c")).filter(
+        "c is not null"  # after the generator, which would otherwise work the lists out twice
+    ).select("batch", "pickupid", "around", "c.available", "c.draw", "c.near")
+    whole = F.transform(
+        F.filter("lists", lambda c: ~lacks(c) & (F.size(c["taxis"]) > 0)),
+        lambda c: F.struct(c["near"].alias("near"), c["taxis"].alias("taxis")),
+    )
+    lists = zones.select("batch", "pickupid", whole.alias("_lists"))
+    if short.isEmpty():
+        return lists
+    deep = taxis.join(short.select(*_CLASS).distinct(), _CLASS, "left_semi")
+    close = short.filter("near = 1").drop("around").join(
+        near.select(F.col("zone").alias("pickupid"), F.col("near_zone").alias("_at")), "pickupid"
+    )
+    here = [
+        close.join(deep.withColumn("_at", F.col(end)), [*_CLASS, "_at"]).select(*_CLASS, "pickupid", "near", "step", "taxi_id", "t")
+        for end in ("locid", "desid")
+    ]
+    corners = top_k_per(deep, [*_CLASS, "locid", "desid"], order, depth).select(*_CLASS, "step", "taxi_id", "t")
+    away = short.filter("near = 0").join(corners, _CLASS).filter(~is_near(F.col("t"))).drop("around")
+    # a taxi near by both its ends is there twice, hence twice the depth
+    found = top_k_per(reduce(DataFrame.unionByName, [*here, away]), [*_CLASS, "pickupid", "near"], order, 2 * depth)
+    first = F.slice(F.array_distinct(F.sort_array(F.collect_list("t"))), 1, depth)
+    more = found.groupBy(*_CLASS, "pickupid", "near").agg(first.alias("taxis")).groupBy("batch", "pickupid").agg(
+        F.collect_list(F.struct("near", "taxis")).alias("_more")
+    )
+    both = F.coalesce(F.concat("_lists", "_more"), "_lists").alias("_lists")
+    return lists.join(more, ["batch", "pickupid"], "left").select("batch", "pickupid", both)
+
+
+_HOLDER = ["call_id", "p", "eta"]
+_LOAD = ["n_drivers", "log_miss", "hours"]
+
+
+def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3) -> DataFrame:
+    """For each call below `max_res` taxis, the `max_res` other taxis with the least eta/60*p.
+
+    Such a call has up to `max_res-1` taxis of its own, so its first `2*max_res-1` taxis hold the answer.
+    """
+    ranked = ranked_taxis(load.filter(F.col("n_drivers") < max_res), assignments, near, 2 * max_res - 1, _HOLDER)
+    others = F.filter("offers", lambda o: o["held"]["call_id"] != F.col("call_id"))
+    listed = ranked.select("batch", "call_id", *_LOAD, F.posexplode_outer(F.slice(others, 1, max_res)).alias("_at", "o"))
+    return listed.filter("o is not null").select(
+        "batch", "call_id", *_LOAD, (F.col("_at") + 1).alias("rnk"), (F.col("o.value") / 1e9).alias("value"),
+        "o.taxi_id", "o.near", "o.p", "o.eta", *[F.col(f"o.held.{c}").alias(f"from_{c.removesuffix('_id')}") for c in _HOLDER],
     )
 
 
@@ -321,12 +381,8 @@ def improving_moves(load: DataFrame, assignments: DataFrame, near: DataFrame, ma
         source.filter(F.col("from_n") > 1), ["batch", "from_call"]
     )
     eta_hours, from_eta_hours = F.col("eta") / S.SECONDS_PER_HOUR, F.col("from_eta") / S.SECONDS_PER_HOUR
-    gain = S.call_value(
-        F.col("log_miss") + S.log_refusal(F.col("p")), F.col("hours") + eta_hours
-    ) - S.call_value(F.col("log_miss"), F.col("hours"))
-    loss = S.call_value(
-        F.col("from_miss") - S.log_refusal(F.col("from_p")), F.col("from_hours") - from_eta_hours
-    ) - S.call_value(F.col("from_miss"), F.col("from_hours"))
+    gain = _gain(F.col("log_miss"), F.col("hours"), S.log_refusal(F.col("p")), eta_hours)
+    loss = _gain(F.col("from_miss"), F.col("from_hours"), -S.log_refusal(F.col("from_p")), -from_eta_hours)
     moves = (
         offered.withColumn("delta", gain + loss)
         .withColumn("delta_key", S.billionths(F.col("delta")))
@@ -366,25 +422,167 @@ def reassign_round(calls: DataFrame, assignments: DataFrame, near: DataFrame, ma
 def optimise(
     calls: DataFrame, fleet: DataFrame, near: DataFrame, max_res: int = 3, rounds: int | None = None
 ) -> DataFrame:
-    """First assignment improved round by round until no move stands, or for at most `rounds` rounds.
+    """First assignment improved round by round until no move stands, or for at most `rounds` rounds."""
+    return improve(calls, stored(assign_best(calls, fleet, near), "assigned"), near, max_res, rounds)
+
+
+def improve(
+    calls: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3, rounds: int | None = None
+) -> DataFrame:
+    """Rounds of moves on a stored assignment until none stands, or for at most `rounds` rounds.
+
+    Which taxis a call can be offered does not depend on the assignment, so they are ranked once. A round then needs
+    only the loads of the calls and who holds the offered taxis: one row per batch, bounded by its calls. A round is an
+    expression on that row, without a shuffle; it changes the two calls and the taxi of each move and adds the moves to
+    the row's log. After a job of some rounds, the batches that still move go on. What is stored in between are those
+    rows; the taxis themselves are read once more at the end, when the last move of each is applied.
 
-    Every standing move raises its batch's objective by at least half a billionth, so the rounds end. All batches move
-    in the same job and a round's result is one stored table. A batch without a standing move is finished and leaves the
-    rounds, so later ones work on the batches that still change.
+    Every standing move raises its batch's objective by at least half a billionth, so the rounds end.
     """
-    current = stored(assign_best(calls, fleet, near), "assigned")
-    moving_calls, finished, done = calls, [], 0
-    while rounds is None or done < rounds:
-        load = stored(call_load(moving_calls, current), "load")
-        moves = stored(improving_moves(load, current, near, max_res), "moves")
-        if moves.isEmpty():
+    if rounds == 0:
+        return assignments
+    moving, logs, done = stored(_states(calls, assignments, near, max_res), "states"), [], 0
+    while True:
+        step = _ROUNDS_PER_JOB if rounds is None else min(_ROUNDS_PER_JOB, rounds - done)
+        state = F.aggregate(F.sequence(F.lit(1), F.lit(step)), F.col("state"), lambda s, _: _after_round(s, max_res))
+        after = stored(moving.select("batch", state.alias("state")), "states")
+        done += step
+        moving = after.filter("state.moving")
+        logs.append(after)
+        if done == rounds or moving.isEmpty():
             break
-        moving = moves.select("batch").distinct()
-        finished.append(current.join(moving, "batch", "left_anti"))
-        current = stored(apply_moves(current.join(moving, "batch", "left_semi"), moves), "assigned")
-        moving_calls = calls.join(moving, "batch", "left_semi")
-        done += 1
-    return reduce(DataFrame.unionByName, [*finished, current])
+    # a batch's log is whole where it stopped moving, or in the last table
+    whole = [log.filter("not state.moving") for log in logs[:-1]] + logs[-1:]
+    moved = reduce(DataFrame.unionByName, whole).filter(F.size("state.log") > 0)
+    each = moved.select("batch", F.posexplode("state.log").alias("_at", "m"), F.col("state.calls.call_id").alias("_ids"))
+    last = each.groupBy("batch", "m.taxi_id").agg(
+        F.max_by(F.struct(F.get("_ids", F.col("m.target")).alias("to_call"), "m.near", "m.p", "m.eta"), "_at").alias("w")
+    )
+    return apply_moves(assignments, last.select("batch", "taxi_id", "w.*"))
+
+
+def _states(calls: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int) -> DataFrame:
+    """What the rounds of a batch need: (batch, state), a state being (calls, log, moving).
+
+    `calls` is an array of (call_id, n_drivers, log_miss, hours, offers) by call_id, with each call's first taxis by
+    eta/60*p. An offer names its taxi's holder by place in this array. `log` has the moves made so far.
+    """
+    load = call_load(calls, assignments).select(*calls.columns, *_LOAD)
+    ranked = ranked_taxis(load, assignments, near, 2 * max_res - 1, _HOLDER)
+    call = F.struct("call_id", F.col("n_drivers").cast("int").alias("n_drivers"), "log_miss", "hours", "offers")
+    gathered = ranked.groupBy("batch").agg(F.sort_array(F.collect_list(call)).alias("calls"))
+    ids = F.transform("calls", lambda c: c["call_id"])
+
+    def with_places(o: Column) -> Column:
+        return F.struct(
+            o["taxi_id"].alias("taxi_id"), o["near"].alias("near"), o["p"].alias("p"), o["eta"].alias("eta"),
+            (F.array_position(F.col("_ids"), o["held"]["call_id"]) - 1).cast("int").alias("holder"),
+            o["held"]["p"].alias("held_p"), o["held"]["eta"].alias("held_eta"),
+        )
+
+    placed = F.transform(
+        "calls",
+        lambda c: F.struct(
+            c["call_id"].alias("call_id"), *[c[x].alias(x) for x in _LOAD], F.transform(c["offers"], with_places).alias("offers")
+        ),
+    )
+    log = F.array().cast("array<struct<taxi_id:bigint,source:int,target:int,near:int,p:double,eta:double>>")
+    return gathered.select("batch", "calls", ids.alias("_ids")).select(
+        "batch", F.struct(placed.alias("calls"), log.alias("log"), F.lit(True).alias("moving")).alias("state")
+    )
+
+
+def _let(value: Column, use) -> Column:
+    """`use` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _after_round(state: Column, max_res: int) -> Column:
+    """The state after one round; a batch in which no move stands is no longer moving."""
+
+    def after(moves: Column) -> Column:
+        def first(test) -> Column:
+            return F.get(F.filter(moves, test), F.lit(0))
+
+        def held_by(o: Column) -> Column:
+            def changed(m: Column) -> Column:
+                return F.struct(
+                    o["taxi_id"].alias("taxi_id"), o["near"].alias("near"), o["p"].alias("p"), o["eta"].alias("eta"),
+                    F.coalesce(m["target"], o["holder"]).alias("holder"), F.coalesce(m["p"], o["held_p"]).alias("held_p"),
+                    F.coalesce(m["eta"], o["held_eta"]).alias("held_eta"),
+                )
+
+            return _let(first(lambda m: m["taxi_id"] == o["taxi_id"]), changed)
+
+        def loaded(c: Column, i: Column) -> Column:
+            def changed(m: Column) -> Column:
+                gained, lost = m["target"] == i, m["source"] == i
+                n, miss, hours = c["n_drivers"], c["log_miss"], c["hours"]
+                less = m["source_eta"] / S.SECONDS_PER_HOUR
+                return F.struct(
+                    c["call_id"].alias("call_id"),
+                    F.when(gained, n + 1).when(lost, n - 1).otherwise(n).alias("n_drivers"),
+                    F.when(gained, miss + S.log_refusal(m["p"])).when(lost, miss - S.log_refusal(m["source_p"]))
+                    .otherwise(miss).alias("log_miss"),
+                    F.when(gained, hours + m["eta"] / S.SECONDS_PER_HOUR).when(lost, hours - less).otherwise(hours).alias("hours"),
+                    F.transform(c["offers"], held_by).alias("offers"),
+                )
+
+            return _let(first(lambda m: (m["target"] == i) | (m["source"] == i)), changed)
+
+        def entry(m: Column) -> Column:
+            return F.struct(*[m[c].alias(c) for c in ("taxi_id", "source", "target", "near", "p", "eta")])
+
+        return F.when(
+            F.size(moves) > 0,
+            F.struct(
+                F.transform(state["calls"], loaded).alias("calls"),
+                F.concat(state["log"], F.transform(moves, entry)).alias("log"), F.lit(True).alias("moving"),
+            ),
+        ).otherwise(F.struct(state["calls"].alias("calls"), state["log"].alias("log"), F.lit(False).alias("moving")))
+
+    return F.when(state["moving"], _let(_standing_moves(state["calls"], max_res), after)).otherwise(state)
+
+
+def _gain(log_miss: Column, hours: Column, miss: Column, more_hours: Column) -> Column:
+    """What a call's value changes by when its sums do."""
+    return S.call_value(log_miss + miss, hours + more_hours) - S.call_value(log_miss, hours)
+
+
+def _standing_moves(calls: Column, max_res: int) -> Column:
+    """The moves of one round of a batch; the rule is that of `improving_moves`."""
+
+    def moves_to(c: Column, i: Column) -> Column:
+        def move(o: Column) -> Column:
+            source = F.get(calls, o["holder"])
+            delta = _gain(c["log_miss"], c["hours"], S.log_refusal(o["p"]), o["eta"] / S.SECONDS_PER_HOUR) + _gain(
+                source["log_miss"], source["hours"], -S.log_refusal(o["held_p"]), -o["held_eta"] / S.SECONDS_PER_HOUR
+            )
+            return F.struct(
+                # the greatest gain first, then the lowest taxi, then the lowest call
+                F.when(source["n_drivers"] > 1, -S.billionths(delta)).otherwise(F.lit(0.0)).alias("order"),
+                o["taxi_id"].alias("taxi_id"), i.alias("target"), o["holder"].alias("source"), o["near"].alias("near"),
+                o["p"].alias("p"), o["eta"].alias("eta"), o["held_p"].alias("source_p"), o["held_eta"].alias("source_eta"),
+            )
+
+        others = F.slice(F.filter(c["offers"], lambda o: o["holder"] != i), 1, max_res)
+        return F.when(c["n_drivers"] < max_res, F.transform(others, move)).otherwise(F.array())
+
+    better = F.sort_array(F.filter(F.flatten(F.transform(calls, moves_to)), lambda m: m["order"] < 0))
+
+    # In this order, a move is the best of both its calls when no move before it touches either.
+    def look(seen: Column, m: Column) -> Column:
+        stands = ~F.arrays_overlap(seen["touched"], F.array(m["target"], m["source"]))
+        return F.struct(
+            F.concat(seen["touched"], F.array(m["target"], m["source"])).alias("touched"),
+            F.when(stands, F.concat(seen["stand"], F.array(m))).otherwise(seen["stand"]).alias("stand"),
+        )
+
+    none = F.array().cast(
+        "array<struct<order:double,taxi_id:bigint,target:int,source:int,near:int,p:double,eta:double,source_p:double,source_eta:double>>"
+    )
+    start = F.struct(F.array().cast("array<int>").alias("touched"), none.alias("stand"))
+    return F.aggregate(better, start, look)["stand"]
 
 
 # --------------------------------------------------------------------------- acceptance and service level
@@ -442,12 +640,14 @@ def ratio_sweep(
     scenarios = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(float(r)).alias("ratio")) for i, r in enumerate(ratios)])
     fits = F.filter(scenarios, lambda r: F.col("taxi_rank") <= _fleet_size(r["ratio"], max(ratios)))
     problem = (F.col("batch") * n + F.col("_s.at")).alias("batch")
-    others = [c for c in _FLEET_COLUMNS if c != "batch"]
-    taxis = stored(placed.withColumn("_s", F.explode(fits)).select(problem, *others), "sweep-fleet")
+    # a taxi's best call is the same in every fleet it belongs to
+    best = stored(_with_best_offer(calls, placed, near).withColumn("near", F.col("o.near")).drop("o"), "sweep-best")
+    others = [c for c in best.columns if c not in ("batch", "taxi_rank", "n_taxis")]
+    assigned = stored(best.withColumn("_s", F.explode(fits)).select(problem, *others), "sweep-assigned")
     facts = [c for c in calls.columns if c != "batch"]
     spread = calls.withColumn("_s", F.explode(scenarios)).select(problem, F.col("_s.ratio").alias("ratio"), *facts)
     asked = stored(spread, "sweep-calls")
-    accepted = accept(optimise(asked.drop("ratio"), taxis, near, max_res, rounds), key)
+    accepted = accept(improve(asked.drop("ratio"), assigned, near, max_res, rounds), key)
     per_batch = service_metrics(asked, accepted).join(asked.select("batch", "ratio").distinct(), "batch")
     return per_batch.groupBy("ratio").agg(
         F.count(F.lit(1)).alias("n_batches"),
@@ -505,44 +705,41 @@ def run_shifts(
     Each step improves its assignment until no move stands; `rounds` bounds that, and 0 leaves the first assignment.
 
     `calls` has shift (bigint) and step (from 0) instead of batch, `fleet` has shift. Every shift and ratio is a run of
-    its own; each step is one job over all runs and leaves the accepted calls and the new fleet state as stored tables.
-    Rates are means over the runs of a ratio.
+    its own. The calls are stored by step, so a step reads its own only; the runs of a shift share one table of best
+    offers. A step leaves the accepted calls and the new fleet state as stored tables. Rates are means over the runs of
+    a ratio.
     """
     n = len(ratios)
     sizes = fleet.groupBy("shift").agg(F.count(F.lit(1)).alias("n_taxis"))
     facts = ["shift", *[c for c in _FLEET_COLUMNS if c != "batch"]]
     ranked = group_positions(fleet.select(*facts), ["shift"], ["taxi_id"], "taxi_rank").join(sizes, "shift")
-
-    def run_id(at: Column) -> Column:
-        return F.col("shift") * n + at
-
     scenarios = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(float(r)).alias("ratio")) for i, r in enumerate(ratios)])
     fits = F.filter(scenarios, lambda r: F.col("taxi_rank") <= _fleet_size(r["ratio"], max(ratios)))
-    spread = ranked.withColumn("_s", F.explode(fits)).withColumn("batch", run_id(F.col("_s.at")))
-    state = stored(spread.select(*_FLEET_COLUMNS), "shift-fleet")
-    runs = (
-        calls.withColumn("_s", F.explode(scenarios))
-        .withColumns({"batch": run_id(F.col("_s.at")), "ratio": F.col("_s.ratio")})
-        .drop("_s", "shift")
-    )
+    run = (F.col("shift") * n + F.col("_s.at")).alias("batch")
+    state = stored(ranked.withColumn("_s", F.explode(fits)).select(run, *facts), "shift-fleet")
+    asked = stored(calls, "shift-calls", by="step")
     trip = ["calltime", "duration", "dropoffid"]
     accepted = []
     for step in range(steps):
-        current = runs.filter(F.col("step") == step).drop("step", "ratio")
+        shared = asked.filter(F.col("step") == step).drop("step")
+        current = shared.withColumn("_s", F.explode(scenarios)).select(run, *[c for c in shared.columns if c != "shift"])
+        best = _with_best_offer(shared, state, near, "shift")
         if rounds != 0:
-            moved = optimise(current, state, near, max_res, rounds)
+            first = best.select(*_FLEET_COLUMNS, "call_id", F.col("o.near").alias("near"), "p", "eta")
+            moved = improve(current, stored(first, "assigned"), near, max_res, rounds)
             assigned = moved.join(current.select("batch", "call_id", *trip), ["batch", "call_id"])
         else:
-            assigned = _with_best_offer(current, state, near).withColumns({c: F.col(f"o.{c}") for c in trip})
+            assigned = best.withColumns({c: F.col(f"o.{c}") for c in trip})
         won = stored(accept(assigned, key, trip), "accepted")
         accepted.append(won)
         if step < steps - 1:
-            clock = current.groupBy("batch").agg(F.max("calltime").alias("_now"))
-            timed = state.join(clock, "batch", "left")
+            clock = shared.groupBy("shift").agg(F.max("calltime").alias("_now"))
+            timed = state.join(clock, "shift", "left")
             state = stored(roll_forward(timed, won, F.col("_now")).drop("_now"), "shift-fleet")
     answers = reduce(DataFrame.unionByName, [won.select("batch", "call_id", "eta") for won in accepted])
     per_run = (
-        runs.select("batch", "ratio", "step", "call_id")
+        asked.withColumn("_s", F.explode(scenarios))
+        .select(run, F.col("_s.ratio").alias("ratio"), "step", "call_id")
         .join(answers, ["batch", "call_id"], "left")
         .groupBy("batch", "ratio", "step")
         .agg(

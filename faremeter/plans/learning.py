@@ -24,12 +24,16 @@ EXCLUDE = [*V.LINE_KEY, *X.KEYS, "event_id", "trip_distance", "passengers", "pri
 FEATURES = ["dist", "dow", "dom", "month", "hour", "minute", "near", "h_pu", "h_do", "v_pu", "v_do"]
 
 
-def _training(spark, d):
-    """Trips as feature vectors, stored once because a fit passes over them many times."""
+def _vectors(spark, d):
+    """Trips as feature vectors."""
     trips = calendar_features(V.trips(spark, d), "pickup")
     built = X.trip_features(trips, V.edges(spark, d), V.zones(spark, d), "time")
-    kept = built.select(*V.LINE_KEY, "price", "time", *FEATURES)
-    return X.vectors(stored(kept, "training"), "time", EXCLUDE)
+    return X.vectors(built.select(*V.LINE_KEY, "price", "time", *FEATURES), "time", EXCLUDE)
+
+
+def _training(spark, d):
+    """The vectors stored once, because a fit passes over them many times."""
+    return M.in_task_sizes(stored(_vectors(spark, d).select(*V.LINE_KEY, "price", "time", "features", *FEATURES), "training"))
 
 
 def _requests(spark, d):
@@ -73,7 +77,7 @@ def trip_features(spark, d):
 )
 def feature_vectors(spark, d):
     values = vector_to_array("features")
-    return _training(spark, d).select(*V.LINE_KEY, *[values[i].alias(f"f{i}") for i in range(len(FEATURES))])
+    return _vectors(spark, d).select(*V.LINE_KEY, *[values[i].alias(f"f{i}") for i in range(len(FEATURES))])
 
 
 @query(
@@ -189,6 +193,48 @@ def elastic_net_by_distance(spark, d):
     return fitted.select(F.round("slope", 3).alias("slope"), F.round("intercept", 3).alias("intercept"))
 
 
+# ---- trees of a feature with few values: a leaf per value, whose prediction is the mean of its trips
+
+
+def _by_value(feature, source):
+    return f"""select {LINE_KEY}, round(m.mean, 4) as prediction
+        from (select * from trips {source} where {V.HELD_OUT}) t join (
+          select {feature} as value, avg(duration / 60) as mean from trips {source} where not {V.HELD_OUT}
+          group by {feature}) m on m.value = {feature}"""
+
+
+_NEAR = "left join edges on pickupid = src and dropoffid = dst"
+_ROW_OF_ZONE = "join zones on pickupid = zone"
+
+
+def _fitted_on(spark, d, feature, make):
+    """Held-out trips under a model of one feature; `make` gives the estimator and the table it is fitted on."""
+    estimator, data = make(_training(spark, d).select(*V.LINE_KEY, "time", feature))
+    done = M.predict(M.fit(data.filter(~V.held_out()), estimator), data.filter(V.held_out()))
+    return done.select(*V.LINE_KEY, F.round("prediction", 4).alias("prediction"))
+
+
+@query("boosted_by_near", _by_value("case when src is not null then 1 else 0 end", _NEAR), "trips edges")
+def boosted_by_near(spark, d):
+    """Boosted trees of one split on `near`: the first tree finds both means, later ones nothing to add."""
+    trees = M.boosted_trees(maxIter=5, maxDepth=1, subsamplingRate=1.0)
+    return _fitted_on(spark, d, "near", lambda df: (trees, X.vectors(df, "time", V.LINE_KEY)))
+
+
+@query("forest_by_zone_row", _by_value("h", _ROW_OF_ZONE), "trips zones")
+def forest_by_zone_row(spark, d):
+    """A forest of one tree without resampling, deep enough to part the rows of the zone grid."""
+    forest = M.random_forest(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxDepth=5)
+    return _fitted_on(spark, d, "h_pu", lambda df: (forest, X.vectors(df, "time", V.LINE_KEY)))
+
+
+@query("indexed_by_zone_row", _by_value("h", _ROW_OF_ZONE), "trips zones")
+def indexed_by_zone_row(spark, d):
+    """The same means through the whole pipeline, which makes the rows of the grid categories."""
+    trees = M.boosted_trees(maxIter=3, maxDepth=5, subsamplingRate=1.0)
+    return _fitted_on(spark, d, "h_pu", lambda df: (M.indexed(["h_pu"], trees, max_categories=8), df))
+
+
 # ---- models of all features: fitted without the held-out trips, which they then predict
 
 
@@ -240,9 +286,9 @@ def indexed_regression(spark, d, iterations=20, depth=5):
 
 @query("travel_time_cv")
 def travel_time_cv(spark, d, grid=None):
-    """Search over the eight points of `M.FULL_GRID` unless another grid is given: 24 fits of up to 50 iterations."""
+    """Search over the eight points of `M.FULL_GRID` in three folds unless another grid is given."""
     train, held = _split(spark, d)
-    return _predictions(M.predict(M.cross_validated(train, M.boosted_trees(), grid or M.FULL_GRID), held))
+    return _predictions(M.predict(M.staged_search(train, M.boosted_trees(), grid or M.FULL_GRID).model, held))
 
 
 @query("price_lr")

@@ -36,15 +36,15 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{folder}/{run}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a DataFrame once as a Parquet table and read it back.
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write a DataFrame once as a Parquet table and read it back; a filter on the column `by` reads its own files only.
 
     This cuts the lineage, fixes the content of expressions that depend on physical row order, keeps a lost executor
     from recomputing earlier rounds, and gives the planner real sizes.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -124,6 +124,54 @@ def test_candidates_equal_loops(world, assigned, max_res):
     assert got == want
 
 
+def test_candidates_of_cut_classes_equal_loops(world, assigned, monkeypatch):
+    """Heads so short that many zones find too few near or far taxis in them and look among the whole class."""
+    load = D.call_load(world["calls"], assigned)
+    for head, max_res in ((5, 3), (7, 3), (2, 1)):
+        monkeypatch.setattr(D, "_HEAD", head)
+        got = {}
+        found = D.candidates(load, assigned, world["near"], max_res)
+        assert "_more" in found._jdf.queryExecution().analyzed().toString()
+        for r in sorted(found.collect(), key=lambda r: r.rnk):
+            got.setdefault((r.batch, r.call_id), []).append(r.taxi_id)
+        want = {}
+        for b, cs, ts, pairs in by_batch(world):
+            for call, taxis in brute.candidates(cs, ts, brute.best_calls(cs, ts, pairs), pairs, max_res).items():
+                if taxis:
+                    want[b, call] = taxis
+        assert got == want
+
+
+def test_a_batch_of_very_many_taxis_keeps_small_rows(spark, world, monkeypatch):
+    """A hundred thousand taxis for one batch: no stored list grows with them."""
+    n = F.col("id")
+    fleet = spark.range(100_000).select(
+        F.lit(1).cast("bigint").alias("batch"), n.alias("taxi_id"), (n * 7 % ZONES).cast("int").alias("locid"),
+        (n * 37 % 601).cast("double").alias("vacatime"), F.when(n % 5 == 0, 0).otherwise(1).alias("available"),
+        F.when(n % 5 == 0, (n * 3 % ZONES).cast("int")).alias("desid"), (n % 900).cast("double").alias("endtime"),
+        (n * 31 % 3).cast("int").alias("draw"),
+    )
+    calls = world["calls"].filter("batch = 1").limit(50)
+    kept, stored = [], D.stored
+
+    def watch(df, label, by=None):
+        done = stored(df, label, by)
+        if label in ("classes", "states"):
+            size = done.select(F.max(F.length(F.to_json(F.struct("*"))))).first()[0]
+            kept.append((label, done.count(), size))
+        return done
+
+    monkeypatch.setattr(D, "stored", watch)
+    final = D.optimise(calls, fleet, world["near"])
+    assert final.count() == 100_000
+    assert {label for label, _, _ in kept} == {"classes", "states"}
+    for label, rows, size in kept:
+        assert rows == 1 and size < 250_000, (label, size)
+    classes = D.top_k_per(fleet.withColumn("step", F.col("vacatime")), D._CLASS, [F.col("step"), F.col("taxi_id")], D._HEAD)
+    assert classes.count() <= 6 * D._HEAD < fleet.count()
+    assert "WindowGroupLimit" in classes._jdf.queryExecution().toString()
+
+
 def test_round_equals_loops_and_gains_add_up(world, assigned):
     load = D.call_load(world["calls"], assigned)
     moves = D.improving_moves(load, assigned, world["near"]).collect()
@@ -188,6 +236,24 @@ def test_reassignment_to_its_end_equals_loops(world):
     assert left.count() == 0
 
 
+def test_rounds_in_several_jobs_equal_rounds_in_one(world, monkeypatch):
+    at_once = sorted((r.batch, r.taxi_id, r.call_id) for r in D.optimise(*inputs(world)).collect())
+    monkeypatch.setattr(D, "_ROUNDS_PER_JOB", 1)
+    assert sorted((r.batch, r.taxi_id, r.call_id) for r in D.optimise(*inputs(world)).collect()) == at_once
+    stepwise = D.stored(D.assign_best(*inputs(world)), "test-assigned")
+    for rounds in (1, 2):
+        stepwise = D.stored(D.reassign_round(world["calls"], stepwise, world["near"]), "test-round")
+        some = D.optimise(*inputs(world), rounds=rounds)
+        assert {(r.batch, r.taxi_id, r.call_id) for r in some.collect()} == {(r.batch, r.taxi_id, r.call_id) for r in stepwise.collect()}
+
+
+def test_sweep_looks_for_best_calls_once(world, monkeypatch):
+    asked, best = [], D.best_offers
+    monkeypatch.setattr(D, "best_offers", lambda *a: asked.append(1) or best(*a))
+    D.ratio_sweep(*inputs(world), ratios=(0.5, 1.0, 1.5), key=_pick_column())
+    assert len(asked) == 1
+
+
 def test_sweep_equals_loops_and_counts_batches_without_taxis(world):
     ratios = (0.5, 1.0, 1.5)
     got = {r.ratio: r for r in D.ratio_sweep(*inputs(world), ratios=ratios, key=_pick_column()).collect()}

@@ -99,8 +99,32 @@ def test_queries_do_the_full_work(monkeypatch):
     monkeypatch.setattr(M, "fit", lambda df, estimator: None)
     monkeypatch.setattr(M, "boosted_trees", lambda **params: asked.append(params))
     monkeypatch.setattr(M, "indexed", lambda *_: None)
-    monkeypatch.setattr(M, "cross_validated", lambda df, estimator, grid: asked.append(grid))
+    monkeypatch.setattr(M, "staged_search", lambda df, estimator, grid: asked.append(grid) or SimpleNamespace(model=None))
     learning.travel_time_gbt(None, "")
     learning.indexed_regression(None, "")
     learning.travel_time_cv(None, "")
     assert asked == [{"maxIter": 200, "maxDepth": 5}, {"maxIter": 20, "maxDepth": 5}, {}, M.FULL_GRID]
+
+
+def test_staged_search_equals_the_plain_search(trips, edges, zones, monkeypatch):
+    """Same errors at every point, same choice, same predictions, and one fit for all lengths."""
+    data = X.vectors(X.trip_features(trips, edges, zones), "time").cache()
+    grid = {"maxDepth": [1, 3], "maxBins": [8, 16], "maxIter": [2, 6]}
+    plain = M.cross_validated(data, M.boosted_trees(), grid)
+    fits, fit = [], M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, *a: fits.append(self.getMaxIter()) or fit(self, *a))
+    staged = M.staged_search(data, M.boosted_trees(), grid)
+    assert sorted(fits[:-1]) == [6] * 12 and len(fits) == 13
+    points = [{p.name: v for p, v in m.items()} for m in plain.getEstimatorParamMaps()]
+    want = {tuple(sorted(p.items())): e for p, e in zip(points, plain.avgMetrics, strict=True)}
+    got = {tuple(sorted(p.items())): e for p, e in staged.points}
+    assert got == pytest.approx(want, rel=1e-9)
+    chosen = plain.bestModel
+    assert {n: chosen.getOrDefault(n) for n in grid} == staged.best
+    both = [sorted(r.prediction for r in M.predict(m, data).collect()) for m in (chosen, staged.model)]
+    assert both[0] == pytest.approx(both[1])
+
+
+def test_partitions_follow_the_rows(spark):
+    assert M.in_task_sizes(spark.range(0, 250, numPartitions=8), 100).rdd.getNumPartitions() == 3
+    assert M.in_task_sizes(spark.range(0, 0, numPartitions=2), 100).rdd.getNumPartitions() == 1
