@@ -241,12 +241,12 @@ def trips_by_dow(spark, d):
 
 @query(
     "trips_by_3h",
-    f"""select cast(hour(ts) // 3 as int) as bucket, count(*) as trips, {_CENTS} / 100 as volume
-       from event_trips group by 1""",
+    f"""select cast(hour(ts) // 3 as int) as bucket, count(*) as trips,
+          cast(sum(passengers) as bigint) as passengers, {_CENTS} / 100 as volume from event_trips group by 1""",
     "event_trips",
 )
 def trips_by_3h(spark, d):
-    aggs = {"trips": _count(), "volume": _total_price()}
+    aggs = {"trips": _count(), "passengers": F.sum("passengers"), "volume": _total_price()}
     return by_calendar(V.event_trips(spark, d), "ts", "3h", aggs, "bucket")
 
 

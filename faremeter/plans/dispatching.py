@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from faremeter.functions import scalars as S
 from faremeter.operators import dispatch as D
+from faremeter.operators import pairdraws
 from faremeter.operators.aggregates import regression_metrics
 from faremeter.plans import views as V
 from faremeter.plans.learning import distance_predictions
 from faremeter.plans.registry import query
+from faremeter.plans.sql_views import PICK
 from faremeter.sources.scratch import stored
 
 class Inputs(NamedTuple):
@@ -128,6 +130,28 @@ def best_call_per_taxi(spark, d):
     return assigned.select("batch", "taxi_id", "call_id", "near", F.round("p", 6).alias("p"), "eta")
 
 
+@query(
+    "best_call_pair_draw",
+    f"""select batch, taxi_id, call_id, near, round(2e-1 * sqrt(vacatime) / sqrt(600e0) + pull, 6) as p, eta from (
+          select *, row_number() over (partition by batch, taxi_id order by round(pull, 9) desc, call_id) as rn from (
+            select batch, call_id, taxi_id, near, vacatime,
+              case when available = 1 then calltime else endtime end + duration as eta,
+              case when near = 1 then 8e-1 else 5e-1 end * pow((8 + {PICK} % 3) / 10e0,
+                exp(-(((dist - 3) / 5e-1) * ((dist - 3) / 5e-1)))) as pull
+            from tagged) x) y where rn = 1""",
+    "tagged",
+)
+def best_call_pair_draw(spark, d):
+    """The best call of each taxi with a draw for every pair, in arithmetic that does not split into a draw per side."""
+    i = _inputs(spark, d)
+
+    def draw(taxi, call):
+        return ((taxi * 7919 + call * 104729) % 1000003 % 3).cast("int")
+
+    best = pairdraws.best_calls(*i, draw=draw)
+    return best.select("batch", "taxi_id", "call_id", "near", F.round("p", 6).alias("p"), "eta")
+
+
 @query("drivers_per_call", "select batch, call_id, n_drivers from loads", "loads")
 def drivers_per_call(spark, d):
     return _load(spark, d).select("batch", "call_id", "n_drivers")

@@ -32,8 +32,8 @@ VIEWS: dict[str, tuple[str, str]] = {
     ),
     "event_trips": (
         "",
-        """select event_id, ts, cast(user_id % 25 as int) as pickupid, event_type as vendor, value as price
-           from events""",
+        """select event_id, ts, cast(user_id % 25 as int) as pickupid, event_type as vendor, value as price,
+             cast(user_id % 4 + 1 as int) as passengers from events""",
     ),
     "listings": (
         "",

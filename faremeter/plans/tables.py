@@ -104,6 +104,20 @@ def pair_lookup(spark, d):
     return lookup(pair_stats(V.trips(spark, d)), {"pickupid": 3, "dropoffid": 7})
 
 
+@query(
+    "stored_pair_lookups",
+    """select pickupid, dropoffid, "max", "min", "avg" from pair_stats
+       where (pickupid = 3 and dropoffid = 7) or (pickupid = 3 and dropoffid = 24) or (pickupid = 11 and dropoffid = 0)""",
+    "pair_stats",
+)
+def stored_pair_lookups(spark, d, buckets=64):
+    """Three routes in one read of the statistics, which are stored once for all lookups."""
+    stats, keys = pair_stats(V.trips(spark, d)), ["pickupid", "dropoffid"]
+    kept = io.store_for_lookups(stats, _new_path(spark, "pairs"), keys, buckets)
+    routes = [(3, 7), (3, 24), (11, 0)]
+    return io.lookup_stored(kept, [dict(zip(keys, route, strict=True)) for route in routes], buckets)
+
+
 # ---- filters
 
 _ORDERS = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders where "

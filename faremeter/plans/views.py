@@ -80,6 +80,7 @@ def event_trips(spark: SparkSession, d: str) -> DataFrame:
         (F.col("user_id") % 25).cast("int").alias("pickupid"),
         F.col("event_type").alias("vendor"),
         F.col("value").alias("price"),
+        (F.col("user_id") % 4 + 1).cast("int").alias("passengers"),
     )
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faremeter.operators import dispatch as D
+from faremeter.operators import pairdraws
 from faremeter.plans import dispatching
 from faremeter.plans import views as V
 
@@ -303,6 +304,41 @@ def test_acceptance_and_service(world, assigned):
     assert seeded.count() == won.count() and sorted(seeded.collect()) == sorted(D.accept(assigned).collect())
 
 
+@pytest.mark.parametrize("block", [1, 3, 100])
+def test_best_calls_by_pair_draw_equal_loops(spark, world, block):
+    def draw(taxi, call):
+        return (taxi * 7919 + call * 104729) % 1000003 % 3
+
+    found = pairdraws.best_calls(*inputs(world), draw=lambda t, c: draw(t, c).cast("int"), block=block)
+    got = {(r.batch, r.taxi_id): (r.call_id, r.near, r.p, r.eta) for r in found.collect()}
+    want = {}
+    for b, cs, ts, _ in by_batch(world):
+        for t in ts:
+            pairs = {c["call_id"]: brute.score(c, {**t, "draw": draw(t["taxi_id"], c["call_id"]) - c["draw"]}, world["around"]) for c in cs}
+            best = min(pairs, key=lambda c: (-round(pairs[c]["pull"], 9), c))
+            want[b, t["taxi_id"]] = (best, pairs[best]["near"], pytest.approx(pairs[best]["p"]), pairs[best]["eta"])
+    assert got == want
+    seeded = {(r.batch, r.taxi_id): r.call_id for r in pairdraws.best_calls(*inputs(world)).collect()}
+    assert seeded.keys() == want.keys() and seeded != {k: v[0] for k, v in want.items()}
+
+
+def test_pair_draws_read_few_blocks(spark, monkeypatch):
+    """Near calls at every taxi: of 40 blocks a taxi reads a few, and never the far ones."""
+    calls = spark.range(40).select(
+        F.lit(1).cast("bigint").alias("batch"), F.col("id").alias("call_id"), F.lit(1).alias("pickupid"), F.lit(1).alias("dropoffid"),
+        F.lit(0.0).alias("calltime"), F.lit(60.0).alias("duration"), F.lit(3.0).alias("dist"), F.lit(0).alias("draw"),
+    )
+    fleet = spark.range(1000).select(
+        F.lit(1).cast("bigint").alias("batch"), F.col("id").alias("taxi_id"), F.lit(1).alias("locid"), F.lit(10.0).alias("vacatime"),
+        F.lit(1).alias("available"), F.lit(None).cast("int").alias("desid"), F.lit(0.0).alias("endtime"), F.lit(0).alias("draw"),
+    )
+    near, reads, keep = spark.createDataFrame([(1, 1)], "zone int, near_zone int"), [], pairdraws.stored
+    monkeypatch.setattr(pairdraws, "stored", lambda df, label: (out := keep(df, label), reads.append((label, out.count())))[0])
+    assert pairdraws.best_calls(calls, fleet, near, block=1).count() == 1000
+    probes = [n for label, n in reads if label == "probed"]
+    assert probes[0] == 1000 and sum(probes) < 5 * 1000 and probes[-1] == 0
+
+
 def test_certain_answer(spark):
     near = spark.createDataFrame([(1, 1)], "zone int, near_zone int")
     calls = spark.createDataFrame([(1, 1, 1, 1, 0.0, 60.0, 3.0, 0)], CALLS)

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from faremeter.plans import registry
+from faremeter.plans import registry, sql_views
 from oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,6 +42,13 @@ def test_without_sql_gives_rows(spark, name):
     assert df.count() > 0
 
 
+@pytest.mark.parametrize("moves", ["moves", "moves_sweep"])
+def test_the_last_round_of_the_sql_moves_nothing(duck, moves):
+    """The SQL of the service queries is written out for so many rounds, which must be enough for these tables."""
+    last = f"{moves}{sql_views.ROUNDS - 1}"
+    assert duck.execute(sql_views.with_views(f"select count(*) from {last}", [last])).fetchone() == (0,)
+
+
 def test_entry_is_the_flagship(spark):
     df = entry.entry(spark)
     assert df.columns == ["pickupid", "dropoffid", "max", "min", "avg"]

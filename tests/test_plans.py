@@ -48,6 +48,18 @@ def test_pair_lookup_filters_before_joining(spark):
     assert "EqualTo(s_nationkey,3)" in text and "EqualTo(c_nationkey,7)" in text
 
 
+def test_stored_lookups_read_their_files_once(spark):
+    df = Q["stored_pair_lookups"](spark, "/root/testdata/sf0.1" if Path("/root/testdata/sf0.1").exists() else SF_DIR)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "lineitem" not in text and "Join" not in text
+    assert re.search(r"PartitionFilters: \[[^]]*_bucket#\d+ IN \(\d+,\d+,\d+\)", text)
+    scan = df._jdf.queryExecution().executedPlan()
+    while scan.children().size():
+        scan = scan.children().apply(0)
+    assert scan.metrics().apply("numFiles").value() <= 3
+
+
 def test_zone_tables_are_broadcast_by_size(spark):
     assert plan(spark, "zone_grid").split("== Physical Plan ==")[1].count("BroadcastHashJoin") >= 2
     assert "hint" not in plan(spark, "near_flag").lower()

@@ -15,11 +15,47 @@ def test_replace_overwrites(spark, tmp_path):
     assert io.read(spark, path).count() == 3
 
 
-def test_replace_in_place(spark, tmp_path):
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_replace_from_the_table_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     before = io.replace(spark.range(10), path)
-    after = io.replace_in_place(before.filter("id < 4"), path, str(tmp_path / "staging"))
-    assert sorted(r.id for r in after.collect()) == [0, 1, 2, 3]
+    assert ids(io.replace(before.filter("id < 4"), path)) == [0, 1, 2, 3]
+
+
+def test_a_failed_replace_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    io.replace(spark.range(5), path)
+    broken = spark.range(100, numPartitions=4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id")
+    )
+    with pytest.raises(Exception, match="lost"):
+        io.replace(broken, path)
+    assert ids(io.read(spark, path)) == [0, 1, 2, 3, 4]
+    assert ids(io.replace(spark.range(2), path)) == [0, 1]
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("_v-")]) == 2  # this version and the one before
+
+
+def test_a_replace_ended_before_its_commit_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    io.replace(spark.range(5), path)
+    monkeypatch.setattr(io, "_commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        io.replace(spark.range(50), path)
+    monkeypatch.undo()
+    assert ids(io.read(spark, path)) == [0, 1, 2, 3, 4]
+
+
+def test_readers_that_have_begun_go_on(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)  # a plain table, as another program leaves it
+    plain = io.read(spark, path)
+    first = io.replace(spark.range(5), path)
+    assert ids(plain) == [0, 1, 2]
+    io.replace(spark.range(7), path)
+    assert ids(first) == [0, 1, 2, 3, 4] and ids(io.read(spark, path)) == list(range(7))
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
