@@ -83,8 +83,7 @@ def test_pieces_of_a_table(docs):
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(WORDS)  # as it is: strings of added tokens become those tokens
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -96,6 +95,23 @@ def test_words_of_random_texts(library):
         assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == library(text)
 
 
+def test_strings_of_added_tokens(library):
+    with open(WORDS, encoding="utf-8") as f:
+        encoder = tokenids.WordEncoder(f.read())
+    assert library("a <|endoftext|> b") == [320, 49407, 321]
+    for text in (
+        "a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y <|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|>",
+        "größer<|endoftext|>Été", "<|endof text|>", "<|endoftext|", " <|endoftext|>\n\n<|endoftext|>  z " + "word " * 3000,
+    ):
+        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == library(text), text
+
+
+def test_both_ways_at_once_equal_decoding(vocabulary):
+    for text in random_texts(3000, 9) + ["", " ", "  ", "\n", " \n a", "▁", "▁ x", "\u0000\U0001f600", "é" * 500]:
+        ids, decoded = vocabulary.round_trip(text)
+        assert decoded == vocabulary.decode_bytes(ids)
+
+
 def test_round_trip_of_files(spark, docs, library):
     folder = tokenids.write_token_files(docs, WORDS, end_id=1)
     got = tokenids.read_token_files(spark, folder).collect()
