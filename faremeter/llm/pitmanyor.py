@@ -9,12 +9,15 @@ The work is cut into chunks of documents, each stored once as numbers. A chunk k
 concerns several chunks is added up in shards of the words' or bigrams' hashes (`_exchange`): a chunk sends a shard its
 distinct keys in ascending order with numbers, and gets the sums back in the same order. A frequent word or bigram is
 thus one number per chunk, whatever its count. Every bigram of the corpus belongs to the first chunk that has it, which
-seats its customers.
+seats its customers. The chunks and their bigrams are stored in buckets by chunk, so the jobs that bring sums to a chunk
+move the sums alone.
 """
 from __future__ import annotations
 
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from faremeter.llm.common import (
     unpacked_ascending,
     utf8,
 )
-from faremeter.sources.scratch import stored
+from faremeter.sources.scratch import scratch_root, stored
 
 #: Discount and concentration of the context restaurants and of their parent.
 DISCOUNT, STRENGTH = 0.8, 1.0
@@ -302,7 +305,7 @@ _SCORES = pa.schema(
 )
 
 
-def _score(n_train: int, n_words: int, samples: list[tuple[int, int]]):
+def _score(n_train: int, n_words: int, n_docs: int, samples: list[tuple[int, int]]):
     base = 1 / (n_words + 1)
 
     def run(table: pa.Table) -> pa.Table:
@@ -316,7 +319,7 @@ def _score(n_train: int, n_words: int, samples: list[tuple[int, int]]):
         tables[counts > 1] = _joined(rows, _SEATS, "b", "<u4")
         # customers of a context: its tokens, but of the beginning the documents
         customers = known.astype(float)
-        customers[begins] = row["y"]
+        customers[begins] = n_docs
         _, inverse = np.unique(chunk.pairs(), return_inverse=True)
         own = (counts - DISCOUNT * tables / max(len(samples), 1))[inverse]
         shared = np.zeros(len(chunk.tokens))
@@ -337,6 +340,22 @@ def _score(n_train: int, n_words: int, samples: list[tuple[int, int]]):
     return run
 
 
+def _in_buckets(df: DataFrame, label: str, n: int) -> DataFrame:
+    """Stored in n buckets by place, so that grouping by place moves no row."""
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, "place").option("path", f"{scratch_root(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
+def _with(kept: DataFrame, sent: DataFrame, run: Callable[[pa.Table], pa.Table], schema: str = _DDL) -> DataFrame:
+    """`run` over the rows of each place, of a table in buckets and of what is sent to it."""
+
+    def both(own: pa.Table, came: pa.Table) -> pa.Table:
+        return run(pa.concat_tables([own.cast(_MESSAGE), came.cast(_MESSAGE)]))
+
+    return kept.groupBy("place").cogroup(sent.groupBy("place")).applyInArrow(both, schema)
+
+
 def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> DataFrame:
     """log10 probability of each whole text under a model of the texts that are not held out.
 
@@ -350,18 +369,22 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     spark = docs.sparkSession
     n = partitions(spark)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("text"))
-    chunks = stored(given.mapInArrow(_read_chunks, _DDL), "chunks")
+    chunks = _in_buckets(given.mapInArrow(_read_chunks, _DDL), "chunks", n)
     words = _exchange(chunks.mapInArrow(_send_words(n), _DDL), "words", kind=_WORDS)
     n_train, n_words = (x or 0 for x in words.filter("place = -1").agg(F.sum("x"), F.sum("y")).first())
     base = 1 / (n_words + 1)
     pairs = _exchange(chunks.mapInArrow(_send_pairs(n), _DDL), "pairs", kind=_PAIRS)
     answers = pairs.filter("place >= 0")
-    cells = stored(chunks.union(answers).groupBy("place").applyInArrow(_make_cells, _DDL), "cells")
+    cells = _in_buckets(_with(chunks, answers, _make_cells), "cells", n)
     seats, tables, totals, kept, passed = None, None, (0, n_words), [], []
     for sweep in range(sweeps + 1):
         settle(spark)
-        inputs = cells if sweep == 0 else cells.union(seats).union(tables)
-        done = stored(inputs.groupBy("place").applyInArrow(_sweep(sweep, n, base, totals), _DDL), "sweep")
+        seating = _sweep(sweep, n, base, totals)
+        if sweep == 0:
+            done = cells.groupBy("place").applyInArrow(seating, _DDL)
+        else:
+            done = _with(cells, seats.union(tables), seating)
+        done = stored(done, "sweep")
         seats = done.filter(F.col("kind") == _SEATS)
         sums = _exchange(done.filter(F.col("kind") == _TABLES), "tables", kind=_TABLES, sweep=sweep, tables=totals[1], base=base)
         totals = tuple(x or 0 for x in sums.filter("place = -1").agg(F.sum("x"), F.sum("y")).first())
@@ -374,18 +397,15 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
         else:
             passed = [done, sums]  # the next sweep reads them
     settle(spark)
-    asked = cells
-    for one, _, _ in kept:
-        asked = asked.union(one)
-    seated = _exchange(asked.groupBy("place").applyInArrow(_send_seats(n), _DDL), "seats", kind=_SEATS)
+    averaged = reduce(DataFrame.union, [one for one, _, _ in kept])
+    seated = _exchange(_with(cells, averaged, _send_seats(n)), "seats", kind=_SEATS)
     training_docs = _training_documents(given)
     settle(spark)
-    all_rows = chunks.withColumn("y", F.lit(training_docs).cast("long")).union(words.filter("place >= 0")).union(answers)
-    all_rows = all_rows.union(seated.filter("place >= 0"))
+    sums = words.filter("place >= 0").union(answers).union(seated.filter("place >= 0"))
     for i, (_, one, _) in enumerate(kept):
-        all_rows = all_rows.union(one.withColumn("kind", F.lit(_SAMPLE + i)))
+        sums = sums.union(one.withColumn("kind", F.lit(_SAMPLE + i)))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = all_rows.groupBy("place").applyInArrow(_score(n_train, n_words, [t for _, _, t in kept]), schema)
+    scored = _with(chunks, sums, _score(n_train, n_words, training_docs, [t for _, _, t in kept]), schema)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score"
     )
