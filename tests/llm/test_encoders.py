@@ -106,6 +106,15 @@ def test_strings_of_added_tokens(library):
         assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == library(text), text
 
 
+def test_what_is_remembered_changes_nothing(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "_REMEMBERED", 3)
+    fresh = pieces.Vocabulary(*vocabulary.plain())
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for text in ["a b c a b c a b c d e f a b", "a b c " * 300, *random_texts(300, 11)]:
+        assert fresh.encode(text) == sp.encode(text, add_bos=True, add_eos=True)
+    assert len(fresh.remembered) <= 3 and len(fresh.older) <= 3
+
+
 def test_both_ways_at_once_equal_decoding(vocabulary):
     for text in random_texts(3000, 9) + ["", " ", "  ", "\n", " \n a", "▁", "▁ x", "\u0000\U0001f600", "é" * 500]:
         ids, decoded = vocabulary.round_trip(text)
