@@ -26,17 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremeter.llm.common import (
-    drop_stored,
-    packed,
-    packed_ascending,
-    partitions,
-    settle,
-    text_of,
-    unpacked,
-    unpacked_ascending,
-    utf8,
-)
+from faremeter.llm.alignment import _from_planes as unpacked
+from faremeter.llm.alignment import _planes as packed
+from faremeter.llm.common import drop_stored, partitions, settle, text_of, utf8
 from faremeter.sources.scratch import scratch_root, stored
 
 #: Discount and concentration of the context restaurants and of their parent.
@@ -45,7 +37,7 @@ PARENT_DISCOUNT, PARENT_STRENGTH = 0.7, 10.0
 #: Gibbs sweeps, and how many of the last ones are averaged.
 SWEEPS, SAMPLES = 3, 2
 #: Text of a chunk, unless one document is longer.
-CHUNK_BYTES = 10 << 20
+CHUNK_BYTES = 7 << 20
 MODULUS, REMAINDER = 7, 2
 _END, _BEGIN = b"", b"\n"
 #: Customers seated one at a time; further ones in blocks of a sixteenth of those seated.
@@ -61,6 +53,15 @@ _DDL = "place long, kind int, origin long, " + ", ".join(f"{c} binary" for c in
 _CHUNK, _WORDS, _PAIRS, _CELLS, _SEATS, _TABLES, _SAMPLE = range(7)
 
 
+def packed_ascending(values: np.ndarray) -> bytes:
+    """Ascending unsigned 64-bit numbers, as compressed differences."""
+    return packed(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def unpacked_ascending(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, "<u8"), dtype="<u8")
+
+
 def _table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, _MESSAGE)
 
