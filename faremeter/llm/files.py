@@ -14,10 +14,26 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Names that Spark's file systems have for stores which pyarrow knows by another one.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def known_address(address: str) -> str:
+    """An address as pyarrow's file systems read it."""
+    scheme, colon, rest = address.partition(":")
+    if scheme in ("", "file") or not colon or "/" in scheme:
+        return "file:///" + address.removeprefix("file:").lstrip("/")
+    if scheme == "dbfs":
+        return "file:///dbfs/" + rest.lstrip("/")
+    return f"{_SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def _store(address: str):
+    """The store of an address and the path in it: local and mounted folders, `hdfs` (with libhdfs on every executor), `s3`,
+    `gs` and `abfs`, also under the names that Spark has for them."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(address) if "://" in address or address.startswith("/") else fs.FileSystem.from_uri("file://" + address.removeprefix("file:"))
+    return fs.FileSystem.from_uri(known_address(address))
 
 
 def create(address: str) -> BinaryIO:

@@ -198,7 +198,7 @@ def nearest(
     results are compared with everything, block by block.
 
     Vectors null, zero, with null or non-finite components, of another length than most, or without an id take no part.
-    Repeated rows count once. Fewer than k others: all of them. No rows give no rows. A bucket that many vectors fall
+    Other columns are not read, whatever their names. Repeated rows count once. Fewer than k others: all of them. No rows give no rows. A bucket that many vectors fall
     into has more blocks, so a block is bounded; queries of a bucket are packed by blocks too.
     """
     spark = vectors.sparkSession

@@ -196,8 +196,8 @@ def dedup_lines(docs: DataFrame, least: int = LEAST_CODE_POINTS) -> DataFrame:
 
     Returns `row` (a struct of all columns of docs), kept (the text as UTF-8), n_lines, n_dropped, kept_sha256.
     Null or empty text is one empty line, which stays. Lines under `least` code points stay. Rows with the same doc_id
-    count as one document, so they keep the same lines. A null doc_id counts as a document with the largest id. No rows
-    give no rows.
+    count as one document, so they keep the same lines. A null doc_id counts as a document with the largest id. Texts and
+    lines of any length are taken whole; other columns are kept in `row`, so their names cannot clash. No rows give no rows.
     """
     n = partitions(docs.sparkSession)
     given = docs.select(

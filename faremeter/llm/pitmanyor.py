@@ -363,7 +363,8 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     Held out are texts whose crc32 of the id, as text, leaves REMAINDER by MODULUS. Tokens are words, A-Z lower-cased,
     then one end. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one unigrams) and score.
 
-    Null or empty text: the end alone. A null doc_id is never held out. Repeated rows are documents of their own and are
+    Null or empty text: the end alone. A text longer than a chunk is a chunk by itself. Other columns of docs are not read,
+    whatever their names. A null doc_id is never held out. Repeated rows are documents of their own and are
     counted as often. Without training texts every token has probability 1, the uniform base over one unknown word. No
     rows give no rows.
     """

@@ -219,7 +219,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MOS
 
     Fingerprints at most `most` bits apart are linked; a component is what links reach. Equal fingerprints are one node,
     so copies are never paired. Null or empty text has fingerprint zero, which links like any other. A null doc_id is
-    the smallest only where a component has no other. Repeated rows come out as often as they go in. No rows give no rows.
+    the smallest only where a component has no other. Repeated rows come out as often as they go in. Very long texts count
+    with all their shingles. Other columns of docs are not read, whatever their names. No rows give no rows.
     """
     prints = document_prints(docs, words)
     roots = print_components(prints, most)

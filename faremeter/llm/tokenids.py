@@ -193,8 +193,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
 
     Documents are sorted by range, equal ids by a hash of the text; each task writes one file and reports it in a row.
     The table of those rows is committed by Spark, so a file that a lost or repeated attempt has left is never read.
-    Null text: the end alone. Null doc_id: first, and null again when read. Repeated rows are documents of their own, in
-    any order. No rows: an empty manifest.
+    Null text: the end alone. Very long texts are encoded whole, a document of any length being one frame. Null doc_id:
+    first, and null again when read. Repeated rows are documents of their own, in any order. Other columns of docs are not
+    read, whatever their names. No rows: an empty manifest.
     """
     spark = docs.sparkSession
     folder = folder or files.new_folder(spark, "tokens")

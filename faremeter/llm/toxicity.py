@@ -250,8 +250,9 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.01) -> tuple[float
 def score(docs: DataFrame, models: Models) -> DataFrame:
     """`row` (a struct of all columns of docs) and score, 0 to 1, of each whole text.
 
-    Only the text is an input. Null and empty text have no expression: evidence 0. No rows give no rows. The models are
-    broadcast; their size is bounded by the sample they were fitted on.
+    Only the text is an input, all of it however long. Null and empty text have no expression: evidence 0. Equal texts have
+    equal scores, so ties and repeated rows come out as they go in. Other columns are kept in `row`, so their names cannot
+    clash. No rows give no rows. The models are broadcast; their size is bounded by the sample they were fitted on.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(models.plain())
 

@@ -139,8 +139,9 @@ def write_archives(
     others are revisits that refer to it. The rows of a payload meet in an aggregate and a join that Spark can split, not
     in one task. A response whose block exceeds segment_bytes goes on in continuation records. Each task writes files of
     its own; the table `manifest`, committed by Spark, lists those that count.
-    Null html is empty. Null page_id ranks below all others; of repeated rows one is the response. Null url: a record
-    without a target. No rows: an empty manifest.
+    Null html is empty; payloads of any length are written whole, in segments. Null page_id ranks below all others; of
+    repeated rows one is the response. Null url: a record without a target. Other columns of pages are not read, whatever
+    their names. No rows: an empty manifest.
     """
     spark = pages.sparkSession
     folder = folder or files.new_folder(spark, "archives")
@@ -208,6 +209,8 @@ def records_in(source) -> Iterator[tuple[dict[str, str], bytes]]:
         if not first.startswith("WARC/"):
             raise ValueError(f"no record begins with {first[:40]!r}")
         headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+        if not headers.get("content-length", "").isdigit():
+            raise ValueError(f"a record's Content-Length is {headers.get('content-length', 'missing')}")
         yield headers, data.exactly(int(headers["content-length"]))
         data.exactly(4)
 
@@ -251,6 +254,13 @@ def _page(row: dict, block: bytes, with_payload: bool) -> dict:
 
 def _read(folder: str, with_payload: bool):
     def rows(name: str) -> Iterator[dict]:
+        try:
+            yield from whole_records(name)
+        except (ValueError, zlib.error) as e:
+            # where a record ends is not known, so what follows in this file is lost; other files are not
+            yield dict.fromkeys(_PAGE.names) | {"problem": f"{name}: {e}"}
+
+    def whole_records(name: str) -> Iterator[dict]:
         with files.open_input(f"{folder}/{name}") as source:
             for headers, block in records_in(source):
                 kind = headers.get("warc-type")
@@ -258,14 +268,18 @@ def _read(folder: str, with_payload: bool):
                     continue
                 number, total = headers.get("warc-segment-number"), headers.get("warc-segment-total-length")
                 row = dict.fromkeys(_PAGE.names) | {
-                    "record_id": headers.get("warc-segment-origin-id") or headers["warc-record-id"], "record_type": kind,
+                    "record_id": headers.get("warc-segment-origin-id") or headers.get("warc-record-id"), "record_type": kind,
                     "uri": headers.get("warc-target-uri"), "refers_to_id": headers.get("warc-refers-to"),
                     "stated": headers.get("warc-payload-digest", "").removeprefix("sha1:") or None,
                 }
-                if number is None:
+                if row["record_id"] is None:
+                    yield row | {"problem": "a record without WARC-Record-ID"}
+                elif number is None:
                     yield _page(row, block, with_payload)
+                elif not (number.isdigit() and (total or "0").isdigit()):
+                    yield row | {"problem": f"segment {number} of total length {total}"}
                 else:
-                    yield row | {"segment": int(number), "total": total and int(total), "payload": block}
+                    yield row | {"segment": int(number), "total": int(total) if total else None, "payload": block}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,7 +320,9 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
     Segments are grouped by the record they originate from, wherever they lie, ordered by number, and must add up to the
     stated length; then chunked framing is decoded. Columns: record_id, page_id, record_type, uri, payload_bytes and
     payload_digest (a revisit's are those of the payload it refers to), refers_to (the response's page_id), payload (null
-    for revisits), problem (why a record cannot be opened, null if it can).
+    for revisits), problem (why a record cannot be opened, null if it can). A record without an id or with broken segment
+    numbers is a row with its problem; where a record has no length or a file breaks off, a row with the problem alone
+    stands for the rest of that file.
     """
     manifest = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
     parsed = manifest.select("file").repartition(partitions(spark), "file").mapInArrow(_read(folder, with_payload), _PAGE_DDL)

@@ -91,3 +91,11 @@ def test_hash_strings_of_equal_vectors_and_ranges():
         first, last = forest._ranges(codes, codes, depth, 9)
         for c, a, b in zip(codes.tolist(), first.tolist(), last.tolist(), strict=True):
             assert [i for i, o in enumerate(codes.tolist()) if o >> (9 - depth) == c >> (9 - depth)] == list(range(a, b))
+
+
+def test_extra_columns_do_not_matter(spark):
+    rows = make(120)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    wide = df.withColumns({c: F.lit(1) for c in ("query_id", "rank", "score", "code", "tree", "block", "bucket", "vector", "held", "shared")})
+    both = [sorted(map(tuple, forest.nearest(d, F.col("vec_id") % 20 == 0, 20).collect())) for d in (df, wide)]
+    assert both[0] == both[1] and len(both[0]) == 6 * 20

@@ -9,6 +9,8 @@ import test_linededup
 import test_simhash
 import test_toxicity
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from faremeter.llm import mixing, toxicity
 from faremeter.sources.scratch import stored
@@ -73,3 +75,24 @@ def test_stages(spark, folder):
 def test_run(spark, folder):
     assert cp.run(spark, folder).count() > 100
     assert cp.ORACLE_SQL is None
+
+
+def test_stages_on_nothing_on_repeated_rows_and_on_clashing_columns(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = {c: F.lit(i) for i, c in enumerate(("row", "score", "kept", "print", "position", "size", "chunk", "piece_ids", "n_tokens", "root"))}
+    for name, stage in cp.STAGES:
+        assert stage(spark, docs.limit(0), folder).count() == 0, name
+        some = docs.filter("doc_id < 30")
+        twice = stage(spark, some.unionByName(some), folder)
+        wide = stage(spark, some.withColumns(extra), folder)
+        plain = stage(spark, some, folder)
+        ids = lambda df: sorted((r.doc_id for r in df.select("doc_id").collect()), key=str)
+        assert ids(wide) == ids(plain), name
+        if name in ("toxicity", "line_dedup", "sentencepiece"):
+            assert ids(twice) == sorted(ids(plain) * 2, key=str), name
+        elif name == "simhash_near_dedup":
+            assert ids(twice) == ids(plain), name
+        else:
+            assert set(ids(twice)) <= set(ids(some)) and len(ids(twice)) >= len(ids(plain)), name
+        if name != "sentencepiece":
+            assert set(wide.columns) == set(docs.columns) | set(extra), name

@@ -90,3 +90,13 @@ def test_parent_probability_sums_to_one():
     p = py.parent_probability(customers, tables, (9, 4), base)
     unknown = py.parent_probability(0, 0, (9, 4), base)
     assert p.sum() + unknown == pytest.approx(1)
+
+
+def test_a_text_longer_than_a_chunk(spark, monkeypatch):
+    """Chunks of a few words, so that every text is longer than one: the same counts and base scores."""
+    rows = make(60)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    count = lambda got: sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got)
+    whole = py.score(df).collect()
+    monkeypatch.setattr(py, "CHUNK_BYTES", 20)
+    assert count(py.score(df).collect()) == count(whole)

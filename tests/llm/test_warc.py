@@ -95,3 +95,34 @@ def test_chunked_framing():
         assert warc.unchunked(warc.chunked(payload)) == payload
     assert warc.unchunked(b"3;name=value\r\nabc\r\n0\r\nTrailer: x\r\n\r\n") == b"abc"
     assert [h["warc-type"] for h, _ in warc.records_in(io.BytesIO(warc._record([("WARC-Type", "a")], b"")))] == ["a"]
+
+
+def test_broken_records_are_rows_with_a_problem(spark, tmp_path):
+    """A record without an id, one with a broken segment number, one without a length: the other records and files stay."""
+    def record(*headers, block=b"HTTP/1.1 200 OK\r\n\r\nbody"):
+        lines = ["WARC/1.1", "WARC-Type: response", *headers]
+        return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    length = "Content-Length: 23"
+    first = record("WARC-Record-ID: <urn:page:1:a>", length)
+    bad = [record(length), record("WARC-Record-ID: <urn:page:2:a>", "WARC-Segment-Number: x", length), record("WARC-Record-ID: <urn:page:3:a>")]
+    (tmp_path / "a.warc").write_bytes(first + b"".join(bad) + first)
+    (tmp_path / "b.warc").write_bytes(first[:-20])
+    (tmp_path / "c.warc").write_bytes(record("WARC-Record-ID: <urn:page:4:a>", length))
+    rows = [(f, 1, 1) for f in ("a.warc", "b.warc", "c.warc")]
+    spark.createDataFrame(rows, warc._MANIFEST).write.parquet(str(tmp_path / "manifest"))
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(r.page_id for r in got if r.problem is None) == [1, 4]
+    problems = sorted(r.problem for r in got if r.problem)
+    assert len(problems) == 4
+    for part in ("without WARC-Record-ID", "segment x", "Content-Length is missing", "ends early"):
+        assert sum(part in p for p in problems) == 1, problems
+
+
+def test_addresses_of_shared_folders():
+    from faremeter.llm.files import known_address
+
+    assert known_address("/a/b") == "file:///a/b" and known_address("file:/a/b") == "file:///a/b"
+    assert known_address("file:///a/b") == "file:///a/b" and known_address("s3a://bucket/x") == "s3://bucket/x"
+    assert known_address("dbfs:/mnt/x") == "file:///dbfs/mnt/x" and known_address("hdfs://name:9/x") == "hdfs://name:9/x"
+    assert known_address("wasbs://c@a.net/x") == "abfss://c@a.net/x" and known_address("gs://b/x") == "gs://b/x"
