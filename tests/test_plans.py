@@ -65,8 +65,20 @@ def test_zone_tables_are_broadcast_by_size(spark):
     assert "hint" not in plan(spark, "near_flag").lower()
 
 
-def test_candidates_cut_groups_before_the_shuffle(spark):
-    assert "WindowGroupLimit" in plan(spark, "candidate_taxis")
+def test_candidates_cut_groups_before_the_shuffle(spark, monkeypatch):
+    """In the table of each class's first taxis, which is stored before the candidates are looked up."""
+    from faremeter.operators import dispatch
+
+    plans, keep = {}, dispatch.stored
+
+    def watched(df, label, by=None):
+        plans[label] = df._jdf.queryExecution().toString()
+        return keep(df, label, by)
+
+    monkeypatch.setattr(dispatch, "stored", watched)
+    plan(spark, "candidate_taxis")
+    physical = plans["classes"].split("== Physical Plan ==")[1]
+    assert physical.rindex("WindowGroupLimit") > physical.rindex("Exchange")
 
 
 def test_whole_stage_codegen_spans_the_feature_plan(spark):
