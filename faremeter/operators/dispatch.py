@@ -27,7 +27,7 @@ from pyspark.sql import Window
 from faremeter.functions import scalars as S
 from faremeter.operators.joins import near_far
 from faremeter.operators.ranking import group_positions, top_k_per
-from faremeter.sources.scratch import stored
+from faremeter.sources.scratch import drop_stored, stored
 
 # The fleet sizes that the service level is reported for.
 FLEET_RATIOS = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.4, 1.5)
@@ -441,7 +441,8 @@ def improve(
     """
     if rounds == 0:
         return assignments
-    moving, logs, done = stored(_states(calls, assignments, near, max_res), "states"), [], 0
+    start = stored(_states(calls, assignments, near, max_res), "states")
+    moving, logs, done = start, [], 0
     while True:
         step = _ROUNDS_PER_JOB if rounds is None else min(_ROUNDS_PER_JOB, rounds - done)
         state = F.aggregate(F.sequence(F.lit(1), F.lit(step)), F.col("state"), lambda s, _: _after_round(s, max_res))
@@ -451,6 +452,7 @@ def improve(
         logs.append(after)
         if done == rounds or moving.isEmpty():
             break
+    drop_stored(start)
     # a batch's log is whole where it stopped moving, or in the last table
     whole = [log.filter("not state.moving") for log in logs[:-1]] + logs[-1:]
     moved = reduce(DataFrame.unionByName, whole).filter(F.size("state.log") > 0)
@@ -723,10 +725,11 @@ def run_shifts(
     for step in range(steps):
         shared = asked.filter(F.col("step") == step).drop("step")
         current = shared.withColumn("_s", F.explode(scenarios)).select(run, *[c for c in shared.columns if c != "shift"])
-        best = _with_best_offer(shared, state, near, "shift")
+        best, passed = _with_best_offer(shared, state, near, "shift"), [state]
         if rounds != 0:
             first = best.select(*_FLEET_COLUMNS, "call_id", F.col("o.near").alias("near"), "p", "eta")
-            moved = improve(current, stored(first, "assigned"), near, max_res, rounds)
+            passed.append(stored(first, "assigned"))
+            moved = improve(current, passed[-1], near, max_res, rounds)
             assigned = moved.join(current.select("batch", "call_id", *trip), ["batch", "call_id"])
         else:
             assigned = best.withColumns({c: F.col(f"o.{c}") for c in trip})
@@ -736,6 +739,8 @@ def run_shifts(
             clock = shared.groupBy("shift").agg(F.max("calltime").alias("_now"))
             timed = state.join(clock, "shift", "left")
             state = stored(roll_forward(timed, won, F.col("_now")).drop("_now"), "shift-fleet")
+        for old in passed:
+            drop_stored(old)  # the accepted calls and the new state are all that later steps read
     answers = reduce(DataFrame.unionByName, [won.select("batch", "call_id", "eta") for won in accepted])
     per_run = (
         asked.withColumn("_s", F.explode(scenarios))

@@ -48,6 +48,14 @@ def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(df: DataFrame) -> None:
+    """Remove a stored table that nothing reads any more; loops call it for what the next step has replaced."""
+    spark, found = df.sparkSession, df.inputFiles()
+    if found:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(found[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this session has stored. Results that read stored tables must be written elsewhere before."""
     folder = scratch_root(spark)

@@ -115,6 +115,14 @@ def test_clear_scratch_removes_the_run(spark):
     assert scratch_root(spark) != folder
 
 
+def test_a_dropped_table_is_gone_and_others_stay(spark):
+    first, second = stored(spark.range(3), "first"), stored(spark.range(4), "second")
+    scratch.drop_stored(first)
+    assert second.count() == 4
+    with pytest.raises(Exception):
+        first.count()
+
+
 def test_scratch_refuses_machine_local_folders_on_a_cluster(monkeypatch):
     class Conf:
         def get(self, key, default=None):
