@@ -306,7 +306,7 @@ _SCORES = pa.schema(
 )
 
 
-def _score(n_train: int, n_words: int, n_docs: int, samples: list[tuple[int, int]]):
+def _score(n_words: int, n_docs: int, samples: list[tuple[int, int]], total: float):
     base = 1 / (n_words + 1)
 
     def run(table: pa.Table) -> pa.Table:
@@ -329,7 +329,7 @@ def _score(n_train: int, n_words: int, n_docs: int, samples: list[tuple[int, int
             parent = parent_probability(dishes, parents, totals, base)
             shared += (STRENGTH + DISCOUNT * all_tables)[chunk.context] * parent[chunk.tokens]
         p = (own + shared / max(len(samples), 1)) / (STRENGTH + customers[chunk.context])
-        plain = np.log10((known + 1.0) / ((n_train + 1.0) * (n_words + 1.0)))
+        plain = np.log10((known + 1.0) / total)
         add = lambda x: np.add.reduceat(x, chunk.starts)
         ids = pa.array(unpacked(row["a"], "<i8"), mask=chunk.flags & 1 == 0)
         columns = [
@@ -357,11 +357,23 @@ def _with(kept: DataFrame, sent: DataFrame, run: Callable[[pa.Table], pa.Table],
     return kept.groupBy("place").cogroup(sent.groupBy("place")).applyInArrow(both, schema)
 
 
-def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> DataFrame:
+def product_total(n_train: int, n_words: int) -> float:
+    return (n_train + 1.0) * (n_words + 1.0)
+
+
+def add_one_total(n_train: int, n_words: int) -> float:
+    """What makes add-one unigrams over the known words and one unknown sum to one."""
+    return n_train + 1.0 * (n_words + 1)
+
+
+def score(
+    docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES, base_total: Callable[[int, int], float] = product_total
+) -> DataFrame:
     """log10 probability of each whole text under a model of the texts that are not held out.
 
     Held out are texts whose crc32 of the id, as text, leaves REMAINDER by MODULUS. Tokens are words, A-Z lower-cased,
-    then one end. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one unigrams) and score.
+    then one end. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score. A token with count c has
+    the base (c + 1) / base_total(training tokens, their distinct words).
 
     Null or empty text: the end alone. A text longer than a chunk is a chunk by itself. Other columns of docs are not read,
     whatever their names. A null doc_id is never held out. Repeated rows are documents of their own and are
@@ -407,7 +419,7 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     for i, (_, one, _) in enumerate(kept):
         sums = sums.union(one.withColumn("kind", F.lit(_SAMPLE + i)))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = _with(chunks, sums, _score(n_train, n_words, training_docs, [t for _, _, t in kept]), schema)
+    scored = _with(chunks, sums, _score(n_words, training_docs, [t for _, _, t in kept], base_total(n_train, n_words)), schema)
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score"
     )

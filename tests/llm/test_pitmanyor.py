@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from faremeter.llm import pitmanyor as py
+from faremeter.llm import queries
 from faremeter.llm.common import held_out
 
 
@@ -44,6 +45,21 @@ def test_counts_and_base_scores(scored):
     assert sorted(have, key=str) == sorted(want, key=str)
 
 
+def test_the_query_has_add_one_probabilities(spark, tmp_path):
+    """They sum to one over the known words, the end among them, and one unknown."""
+    one, two = [i for i in range(100) if not held_out(i, 7, 2)][:2]
+    new = next(i for i in range(100) if held_out(i, 7, 2))
+    rows = [(one, "a b a"), (two, "A c"), (new, "new")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op5_pitman_yor(spark, str(tmp_path)).collect()}
+    # seven training tokens of four words
+    p = {"a": 4 / 12, "end": 3 / 12, "b": 2 / 12, "c": 2 / 12, "unknown": 1 / 12}
+    want = {one: ["a", "b", "a", "end"], two: ["a", "c", "end"], new: ["unknown", "end"]}
+    for i, tokens in want.items():
+        assert got[i].base_score == pytest.approx(sum(math.log10(p[w]) for w in tokens))
+        assert (got[i].n_tokens, got[i].train_tokens, got[i].held_out) == (len(tokens), 7, i == new)
+
+
 def test_the_model_learns(spark, scored):
     _, got = scored
     by = {r.held_out: r for r in py.perplexity(spark.createDataFrame(got)).collect()}
