@@ -75,11 +75,23 @@ def mix(
     so a source of any size is spread over many tasks.
 
     `size` is what a document counts, by default the words of its text; a table that has sizes needs no text.
+    The rows come range-sorted by position, so that they are the training sequence; what is not taken comes last.
     Returns `row` (a struct of all columns of docs), size, source_size, target, taken, words_before (in the source's
     order), source_words (what the mix takes of the source), ramp, position (0 to 1, null if nothing is taken).
     Null text, or text without words: size 0, taken 0. Null source: a source of its own, the last. Null doc_id: first in
     its source. Repeated rows are separate documents. No rows give no rows.
     """
+    order = [F.col("position").asc_nulls_last(), "source", "words_before"]
+    timed = _timed(docs, weights, ramps, most, size)
+    ranged = stored(timed.withColumn("source", F.col("row.source")), "mixed").repartitionByRange(partitions(docs.sparkSession), *order)
+    return ranged.sortWithinPartitions(*order).drop("source")
+
+
+def _timed(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, ramps: Sequence[float] = RAMPS, most: int = MOST_REPEATS,
+    size: Column | None = None,
+) -> DataFrame:
+    """`mix` before its sort."""
     n = partitions(docs.sparkSession)
     keyed = docs.select(
         as_row(docs), F.col("source").alias("source"), F.col("doc_id").alias("doc_id"),
@@ -131,7 +143,7 @@ def curriculum(docs: DataFrame, **options) -> DataFrame:
     mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("mark")
     known = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("known")
     sizes = docs.select("doc_id", "source", word_count(text_of()).alias("size"), mark, known)
-    mixed = mix(sizes, size=F.col("size"), **options)
+    mixed = _timed(sizes, size=F.col("size"), **options)  # sorted below, by the position of each copy
     copies = F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)).cast("int")
     repeated = mixed.filter((F.col("size") > 0) & (F.col("taken") * 2 >= F.col("size"))).select(
         "row.known", "row.mark", "words_before", "source_size", "source_words", "ramp",

@@ -79,6 +79,13 @@ def test_positions_follow_the_schedule(spark):
     )
 
 
+def test_the_mix_comes_in_training_order(spark, rows):
+    got = [r.position for r in mixing.mix(docs_of(spark, rows)).collect()]
+    taken = [p for p in got if p is not None]
+    assert len(set(taken)) > 100 and taken == sorted(taken)
+    assert got == taken + [None] * (len(got) - len(taken))
+
+
 def test_order_in_a_source(spark):
     rows = [(i, words(i % 4 + 1), "a") for i in range(50)] + [(100, words(500), "b")]
     got = {r.row.doc_id: r for r in mixing.mix(docs_of(spark, rows)).collect() if r.row.source == "a"}
