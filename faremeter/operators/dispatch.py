@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -27,6 +28,7 @@ from pyspark.sql import Window
 from faremeter.functions import scalars as S
 from faremeter.operators.joins import near_far
 from faremeter.operators.ranking import group_positions, top_k_per
+from faremeter.operators.rounds import Problem
 from faremeter.sources.scratch import drop_stored, stored
 
 # The fleet sizes that the service level is reported for.
@@ -34,7 +36,7 @@ FLEET_RATIOS = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.4, 1.5)
 _FLEET_COLUMNS = ["batch", "taxi_id", "locid", "vacatime", "available", "desid", "endtime", "draw"]
 #: Taxis of a class that a batch keeps for its far lists; a list as long as this may be cut.
 _HEAD = 65
-#: Rounds of reassignment in one job.
+#: Rounds of reassignment after which batches that have come to rest are left out.
 _ROUNDS_PER_JOB = 32
 
 
@@ -228,125 +230,97 @@ def objective(load: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- reassignment
 
 
-def ranked_taxis(
-    calls: DataFrame, fleet: DataFrame, near: DataFrame, depth: int, keep: Sequence[str] = ()
-) -> DataFrame:
-    """The calls with `offers`: the `depth` taxis of the batch with the least eta/60*p, in order.
+_CLASS = ["batch", "available", "draw"]
 
-    An offer has value, step, taxi_id, near, p, eta and the fleet columns to keep (as `held`). It depends on the call and
-    the taxi alone, so it holds whatever the assignment is. Calls of batches without taxis are left out.
+
+def first_taxis(calls: DataFrame, fleet: DataFrame, near: DataFrame, depth: int) -> DataFrame:
+    """The taxis of each batch among which every call finds the `depth` with the least eta/60*p: the fleet with `step`.
 
     Taxis of one state and draw that are all near a zone, or all far from it, differ for its calls in one number only
     (vacancy if free, end time if busy), and the measure rises with it: `step`. So the first `depth` of each such class
-    hold the exact answer, and of a class whose first taxi comes at place j only the first `depth - j` count.
-    """
-    step = F.when(F.col("available") == 1, F.col("vacatime")).otherwise(F.col("endtime"))
-    idle = S.idle_part(S.idle_seconds(F.col("available"), F.col("vacatime")))
-    taxi = F.struct(
-        step.alias("step"), "taxi_id", "available", "endtime", "draw", idle.alias("idle"), "locid", "desid",
-        F.struct(F.lit(0).alias("_"), *keep).alias("held"),
-    )
-    taxis = fleet.select(*_CLASS, "locid", "desid", step.alias("step"), "taxi_id", taxi.alias("t"))
-    # pulls by draw, far and near, worked out per call and not per offer
-    pulls = F.array(*[F.array(*[_pull(flag, d) for d in _draws()]) for flag in (0, 1)])
-    pooled = calls.withColumn("_pulls", pulls).join(_zone_lists(taxis, calls, near, depth), ["batch", "pickupid"])
-
-    def measure(t: Column, near_flag: Column) -> tuple[Column, Column]:
-        p = t["idle"] + F.get(F.get(F.col("_pulls"), near_flag), t["draw"])
-        return p, S.eta(t["available"], F.col("calltime"), t["endtime"], F.col("duration"))
-
-    def head(listed: Column, i: Column) -> Column:
-        t = F.get(listed["taxis"], F.lit(0))
-        p, eta = measure(t, listed["near"])
-        return F.struct(S.billionths(eta / 60 * p).alias("value"), t["step"].alias("step"), t["taxi_id"].alias("taxi_id"), i.alias("list"))
-
-    def some_of(chosen: Column, j: Column) -> Column:
-        listed = F.get(F.col("_lists"), chosen["list"])
-
-        def offer(t: Column) -> Column:
-            p, eta = measure(t, listed["near"])
-            return F.struct(
-                S.billionths(eta / 60 * p).alias("value"), t["step"].alias("step"), t["taxi_id"].alias("taxi_id"),
-                listed["near"].alias("near"), p.alias("p"), eta.alias("eta"), t["held"].alias("held"),
-            )
-
-        return F.transform(F.slice(listed["taxis"], F.lit(1), F.lit(depth) - j), offer)
-
-    heads = F.slice(F.sort_array(F.transform("_lists", head)), 1, depth)
-    offers = F.slice(F.sort_array(F.flatten(F.transform(heads, some_of))), 1, depth)
-    return pooled.select(*calls.columns, offers.alias("offers"))
-
-
-_CLASS = ["batch", "available", "draw"]
-
+    hold the exact answer.
 
-def _zone_lists(taxis: DataFrame, calls: DataFrame, near: DataFrame, depth: int) -> DataFrame:
-    """(batch, pickupid, _lists): per class the first taxis near a zone and the first far from it, as (near, taxis).
-
-    They are looked for among the first `_HEAD` taxis of each class of the batch, cut to that before the shuffle. Where
-    a class has more taxis and its head too few of them, they come from all of the class: near ones by the positions and
-    destinations around the zone, far ones from the first of each position and destination.
+    They are looked for among the first `_HEAD` taxis of each class of the batch. Where a class has more taxis and its
+    head too few of them, they are added from all of the class: near ones by the positions and destinations around the
+    zone, far ones from the first of each position and destination.
     """
     order = [F.col("step"), F.col("taxi_id")]
+    step = F.when(F.col("available") == 1, F.col("vacatime")).otherwise(F.col("endtime"))
+    taxis = fleet.withColumn("step", step)
+    heads = top_k_per(taxis, _CLASS, order, _HEAD).drop("rnk")
+    by_batch = heads.groupBy("batch").agg(F.collect_list(F.struct(*[c for c in heads.columns if c != "batch"])).alias("taxis"))
+    heads = stored(by_batch, "classes").select("batch", F.inline("taxis"))
+    cut = heads.groupBy(*_CLASS).agg(
+        F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("locid", "desid")).alias("ends")
+    ).filter(F.col("n") == _HEAD)
+    cut = stored(cut.drop("n"), "cut")
+    if cut.isEmpty():
+        return heads
     around = near.groupBy(F.col("zone").alias("pickupid")).agg(F.collect_set("near_zone").alias("around"))
-
-    def is_near(t: Column) -> Column:
-        ends = [F.coalesce(F.array_contains(F.col("around"), t[end]), F.lit(False)) for end in ("locid", "desid")]
-        return ends[0] | ends[1]
-
-    def listed(near_flag: int):
-        def each(c: Column) -> Column:
-            own = F.filter(c["taxis"], is_near if near_flag else lambda t: ~is_near(t))
-            return F.struct(
-                c["available"].alias("available"), c["draw"].alias("draw"), F.lit(near_flag).alias("near"),
-                F.slice(own, 1, depth).alias("taxis"), (F.size(c["taxis"]) == _HEAD).alias("cut"),
-            )
-
-        return F.transform("classes", each)
-
-    heads = top_k_per(taxis, _CLASS, order, _HEAD).groupBy(*_CLASS).agg(F.sort_array(F.collect_list("t")).alias("taxis"))
-    by_batch = heads.groupBy("batch").agg(F.collect_list(F.struct("available", "draw", "taxis")).alias("classes"))
     asked = calls.select("batch", "pickupid").distinct().join(around, "pickupid", "left")
-    zones = asked.join(stored(by_batch, "classes"), "batch").select(
-        "batch", "pickupid", "around",
-        F.concat(listed(1), listed(0)).alias("lists"),
-    )
 
-    def lacks(c: Column) -> Column:
-        return c["cut"] & (F.size(c["taxis"]) < depth)
+    def is_near(t: Column | None = None) -> Column:
+        ends = [F.col(end) if t is None else t[end] for end in ("locid", "desid")]
+        found = [F.coalesce(F.array_contains(F.col("around"), end), F.lit(False)) for end in ends]
+        return found[0] | found[1]
 
-    short = zones.select("batch", "pickupid", "around", F.explode_outer(F.filter("lists", lacks)).alias("c")).filter(
-        "c is not null"  # after the generator, which would otherwise work the lists out twice
-    ).select("batch", "pickupid", "around", "c.available", "c.draw", "c.near")
-    whole = F.transform(
-        F.filter("lists", lambda c: ~lacks(c) & (F.size(c["taxis"]) > 0)),
-        lambda c: F.struct(c["near"].alias("near"), c["taxis"].alias("taxis")),
+    n_near = F.size(F.filter("ends", is_near))
+    lacks = F.filter(
+        F.array(F.struct(F.lit(1).alias("side"), n_near.alias("n")), F.struct(F.lit(0).alias("side"), (F.size("ends") - n_near).alias("n"))),
+        lambda c: c["n"] < depth,
+    )
+    short = stored(
+        asked.filter("pickupid is not null").join(cut, "batch").select("pickupid", "around", *_CLASS, F.explode(lacks).alias("c")).select(
+            "pickupid", "around", *_CLASS, "c.side"
+        ),
+        "short",
     )
-    lists = zones.select("batch", "pickupid", whole.alias("_lists"))
     if short.isEmpty():
-        return lists
+        return heads
     deep = taxis.join(short.select(*_CLASS).distinct(), _CLASS, "left_semi")
-    close = short.filter("near = 1").drop("around").join(
+    close = short.filter("side = 1").drop("around").join(
         near.select(F.col("zone").alias("pickupid"), F.col("near_zone").alias("_at")), "pickupid"
     )
-    here = [
-        close.join(deep.withColumn("_at", F.col(end)), [*_CLASS, "_at"]).select(*_CLASS, "pickupid", "near", "step", "taxi_id", "t")
-        for end in ("locid", "desid")
-    ]
-    corners = top_k_per(deep, [*_CLASS, "locid", "desid"], order, depth).select(*_CLASS, "step", "taxi_id", "t")
-    away = short.filter("near = 0").join(corners, _CLASS).filter(~is_near(F.col("t"))).drop("around")
+    kept = [*_CLASS, "pickupid", "side", *[c for c in taxis.columns if c not in _CLASS]]
+    here = [close.join(deep.withColumn("_at", F.col(end)), [*_CLASS, "_at"]).select(*kept) for end in ("locid", "desid")]
+    corners = top_k_per(deep, [*_CLASS, "locid", "desid"], order, depth).drop("rnk")
+    away = short.filter("side = 0").join(corners, _CLASS).filter(~is_near()).select(*kept)
     # a taxi near by both its ends is there twice, hence twice the depth
-    found = top_k_per(reduce(DataFrame.unionByName, [*here, away]), [*_CLASS, "pickupid", "near"], order, 2 * depth)
-    first = F.slice(F.array_distinct(F.sort_array(F.collect_list("t"))), 1, depth)
-    more = found.groupBy(*_CLASS, "pickupid", "near").agg(first.alias("taxis")).groupBy("batch", "pickupid").agg(
-        F.collect_list(F.struct("near", "taxis")).alias("_more")
-    )
-    both = F.coalesce(F.concat("_lists", "_more"), "_lists").alias("_lists")
-    return lists.join(more, ["batch", "pickupid"], "left").select("batch", "pickupid", both)
+    found = top_k_per(reduce(DataFrame.unionByName, [*here, away]), [*_CLASS, "pickupid", "side"], order, 2 * depth)
+    more = found.select(*heads.columns).distinct().join(heads.select("batch", "taxi_id"), ["batch", "taxi_id"], "left_anti")
+    return heads.unionByName(more.select(*heads.columns).alias("_more"))
 
 
 _HOLDER = ["call_id", "p", "eta"]
 _LOAD = ["n_drivers", "log_miss", "hours"]
+#: Calls that a task handles together; all of a batch are.
+_CALLS_TOGETHER = 5_000
+
+
+def _by_problems(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int, run, schema: str) -> DataFrame:
+    """`run` over problems of some batches each, with the `2 * max_res - 1` first taxis of every call.
+
+    A task gets the calls of some batches and their first taxis, both bounded by the calls. Calls without a zone take no
+    part.
+    """
+    depth = 2 * max_res - 1
+    n = 1 + load.select("batch").count() // _CALLS_TOGETHER
+    part = F.pmod(F.xxhash64("batch"), F.lit(n)).alias("part")
+    around = near.groupBy(F.col("zone").alias("pickupid")).agg(F.collect_set("near_zone").alias("around"))
+    pulls = [_pull(flag, d).alias(f"pull_{flag}_{d}") for flag in (0, 1) for d in _draws()]
+    calls = load.filter("pickupid is not null").join(around, "pickupid", "left").select(
+        part, "batch", "call_id", *_LOAD, "calltime", "duration", *pulls, F.coalesce("around", F.array().cast("array<int>")).alias("around")
+    )
+    idle = S.idle_part(S.idle_seconds(F.col("available"), F.col("vacatime"))).alias("idle")
+    held = [F.col("call_id").alias("held_call"), F.col("p").alias("held_p"), F.col("eta").alias("held_eta")]
+    taxis = first_taxis(load, assignments, near, depth).select(
+        part, "batch", "taxi_id", "step", idle, "available", "endtime", "draw", "locid", "desid", *held
+    )
+
+    def solve(own: pa.Table, their: pa.Table) -> pa.Table:
+        return run(Problem(own, their, depth, S.DRAWS, S.SECONDS_PER_HOUR, S.PROMPTNESS_WEIGHT))
+
+    return calls.groupBy("part").cogroup(taxis.groupBy("part")).applyInArrow(solve, schema)
 
 
 def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3) -> DataFrame:
@@ -354,13 +328,15 @@ def candidates(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res
 
     Such a call has up to `max_res-1` taxis of its own, so its first `2*max_res-1` taxis hold the answer.
     """
-    ranked = ranked_taxis(load.filter(F.col("n_drivers") < max_res), assignments, near, 2 * max_res - 1, _HOLDER)
-    others = F.filter("offers", lambda o: o["held"]["call_id"] != F.col("call_id"))
-    listed = ranked.select("batch", "call_id", *_LOAD, F.posexplode_outer(F.slice(others, 1, max_res)).alias("_at", "o"))
-    return listed.filter("o is not null").select(
-        "batch", "call_id", *_LOAD, (F.col("_at") + 1).alias("rnk"), (F.col("o.value") / 1e9).alias("value"),
-        "o.taxi_id", "o.near", "o.p", "o.eta", *[F.col(f"o.held.{c}").alias(f"from_{c.removesuffix('_id')}") for c in _HOLDER],
+
+    def run(x: Problem) -> pa.Table:
+        return x.candidates(max_res)
+
+    schema = (
+        "batch long, call_id long, n_drivers long, log_miss double, hours double, rnk int, value double, taxi_id long, near int,"
+        " p double, eta double, from_call long, from_p double, from_eta double"
     )
+    return _by_problems(load, assignments, near, max_res, run, schema)
 
 
 def improving_moves(load: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int = 3) -> DataFrame:
@@ -432,118 +408,24 @@ def improve(
     """Rounds of moves on a stored assignment until none stands, or for at most `rounds` rounds.
 
     Which taxis a call can be offered does not depend on the assignment, so they are ranked once. A round then needs
-    only the loads of the calls and who holds the offered taxis: one row per batch, bounded by its calls. A round is an
-    expression on that row, without a shuffle; it changes the two calls and the taxi of each move and adds the moves to
-    the row's log. After a job of some rounds, the batches that still move go on. What is stored in between are those
-    rows; the taxis themselves are read once more at the end, when the last move of each is applied.
+    only the loads of the calls and who holds the offered taxis, both bounded by the batch's calls. A task takes the
+    rounds of some batches together, each batch by itself, and gives the last move of each taxi; the taxis themselves are
+    read once more, when the moves are applied.
 
     Every standing move raises its batch's objective by at least half a billionth, so the rounds end.
     """
     if rounds == 0:
         return assignments
-    start = stored(_states(calls, assignments, near, max_res), "states")
-    moving, logs, done = start, [], 0
-    while True:
-        step = _ROUNDS_PER_JOB if rounds is None else min(_ROUNDS_PER_JOB, rounds - done)
-        state = F.aggregate(F.sequence(F.lit(1), F.lit(step)), F.col("state"), lambda s, _: _after_round(s, max_res))
-        after = stored(moving.select("batch", state.alias("state")), "states")
-        done += step
-        moving = after.filter("state.moving")
-        logs.append(after)
-        if done == rounds or moving.isEmpty():
-            break
-    drop_stored(start)
-    # a batch's log is whole where it stopped moving, or in the last table
-    whole = [log.filter("not state.moving") for log in logs[:-1]] + logs[-1:]
-    moved = reduce(DataFrame.unionByName, whole).filter(F.size("state.log") > 0)
-    each = moved.select("batch", F.posexplode("state.log").alias("_at", "m"), F.col("state.calls.call_id").alias("_ids"))
-    last = each.groupBy("batch", "m.taxi_id").agg(
-        F.max_by(F.struct(F.get("_ids", F.col("m.target")).alias("to_call"), "m.near", "m.p", "m.eta"), "_at").alias("w")
-    )
-    return apply_moves(assignments, last.select("batch", "taxi_id", "w.*"))
-
-
-def _states(calls: DataFrame, assignments: DataFrame, near: DataFrame, max_res: int) -> DataFrame:
-    """What the rounds of a batch need: (batch, state), a state being (calls, log, moving).
-
-    `calls` is an array of (call_id, n_drivers, log_miss, hours, offers) by call_id, with each call's first taxis by
-    eta/60*p. An offer names its taxi's holder by place in this array. `log` has the moves made so far.
-    """
-    load = call_load(calls, assignments).select(*calls.columns, *_LOAD)
-    ranked = ranked_taxis(load, assignments, near, 2 * max_res - 1, _HOLDER)
-    call = F.struct("call_id", F.col("n_drivers").cast("int").alias("n_drivers"), "log_miss", "hours", "offers")
-    gathered = ranked.groupBy("batch").agg(F.sort_array(F.collect_list(call)).alias("calls"))
-    ids = F.transform("calls", lambda c: c["call_id"])
-
-    def with_places(o: Column) -> Column:
-        return F.struct(
-            o["taxi_id"].alias("taxi_id"), o["near"].alias("near"), o["p"].alias("p"), o["eta"].alias("eta"),
-            (F.array_position(F.col("_ids"), o["held"]["call_id"]) - 1).cast("int").alias("holder"),
-            o["held"]["p"].alias("held_p"), o["held"]["eta"].alias("held_eta"),
-        )
-
-    placed = F.transform(
-        "calls",
-        lambda c: F.struct(
-            c["call_id"].alias("call_id"), *[c[x].alias(x) for x in _LOAD], F.transform(c["offers"], with_places).alias("offers")
-        ),
-    )
-    log = F.array().cast("array<struct<taxi_id:bigint,source:int,target:int,near:int,p:double,eta:double>>")
-    return gathered.select("batch", "calls", ids.alias("_ids")).select(
-        "batch", F.struct(placed.alias("calls"), log.alias("log"), F.lit(True).alias("moving")).alias("state")
-    )
-
 
-def _let(value: Column, use) -> Column:
-    """`use` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    def run(x: Problem) -> pa.Table:
+        x.improve(max_res, rounds, every)
+        return x.states()
 
-
-def _after_round(state: Column, max_res: int) -> Column:
-    """The state after one round; a batch in which no move stands is no longer moving."""
-
-    def after(moves: Column) -> Column:
-        def first(test) -> Column:
-            return F.get(F.filter(moves, test), F.lit(0))
-
-        def held_by(o: Column) -> Column:
-            def changed(m: Column) -> Column:
-                return F.struct(
-                    o["taxi_id"].alias("taxi_id"), o["near"].alias("near"), o["p"].alias("p"), o["eta"].alias("eta"),
-                    F.coalesce(m["target"], o["holder"]).alias("holder"), F.coalesce(m["p"], o["held_p"]).alias("held_p"),
-                    F.coalesce(m["eta"], o["held_eta"]).alias("held_eta"),
-                )
-
-            return _let(first(lambda m: m["taxi_id"] == o["taxi_id"]), changed)
-
-        def loaded(c: Column, i: Column) -> Column:
-            def changed(m: Column) -> Column:
-                gained, lost = m["target"] == i, m["source"] == i
-                n, miss, hours = c["n_drivers"], c["log_miss"], c["hours"]
-                less = m["source_eta"] / S.SECONDS_PER_HOUR
-                return F.struct(
-                    c["call_id"].alias("call_id"),
-                    F.when(gained, n + 1).when(lost, n - 1).otherwise(n).alias("n_drivers"),
-                    F.when(gained, miss + S.log_refusal(m["p"])).when(lost, miss - S.log_refusal(m["source_p"]))
-                    .otherwise(miss).alias("log_miss"),
-                    F.when(gained, hours + m["eta"] / S.SECONDS_PER_HOUR).when(lost, hours - less).otherwise(hours).alias("hours"),
-                    F.transform(c["offers"], held_by).alias("offers"),
-                )
-
-            return _let(first(lambda m: (m["target"] == i) | (m["source"] == i)), changed)
-
-        def entry(m: Column) -> Column:
-            return F.struct(*[m[c].alias(c) for c in ("taxi_id", "source", "target", "near", "p", "eta")])
-
-        return F.when(
-            F.size(moves) > 0,
-            F.struct(
-                F.transform(state["calls"], loaded).alias("calls"),
-                F.concat(state["log"], F.transform(moves, entry)).alias("log"), F.lit(True).alias("moving"),
-            ),
-        ).otherwise(F.struct(state["calls"].alias("calls"), state["log"].alias("log"), F.lit(False).alias("moving")))
-
-    return F.when(state["moving"], _let(_standing_moves(state["calls"], max_res), after)).otherwise(state)
+    every = _ROUNDS_PER_JOB
+    schema = "batch long, moves array<struct<taxi_id: long, to_call: long, near: int, p: double, eta: double>>"
+    load = stored(call_load(calls, assignments), "load")
+    states = stored(_by_problems(load, assignments, near, max_res, run, schema), "states")
+    return apply_moves(assignments, states.select("batch", F.inline("moves")))
 
 
 def _gain(log_miss: Column, hours: Column, miss: Column, more_hours: Column) -> Column:
@@ -551,42 +433,6 @@ def _gain(log_miss: Column, hours: Column, miss: Column, more_hours: Column) ->
     return S.call_value(log_miss + miss, hours + more_hours) - S.call_value(log_miss, hours)
 
 
-def _standing_moves(calls: Column, max_res: int) -> Column:
-    """The moves of one round of a batch; the rule is that of `improving_moves`."""
-
-    def moves_to(c: Column, i: Column) -> Column:
-        def move(o: Column) -> Column:
-            source = F.get(calls, o["holder"])
-            delta = _gain(c["log_miss"], c["hours"], S.log_refusal(o["p"]), o["eta"] / S.SECONDS_PER_HOUR) + _gain(
-                source["log_miss"], source["hours"], -S.log_refusal(o["held_p"]), -o["held_eta"] / S.SECONDS_PER_HOUR
-            )
-            return F.struct(
-                # the greatest gain first, then the lowest taxi, then the lowest call
-                F.when(source["n_drivers"] > 1, -S.billionths(delta)).otherwise(F.lit(0.0)).alias("order"),
-                o["taxi_id"].alias("taxi_id"), i.alias("target"), o["holder"].alias("source"), o["near"].alias("near"),
-                o["p"].alias("p"), o["eta"].alias("eta"), o["held_p"].alias("source_p"), o["held_eta"].alias("source_eta"),
-            )
-
-        others = F.slice(F.filter(c["offers"], lambda o: o["holder"] != i), 1, max_res)
-        return F.when(c["n_drivers"] < max_res, F.transform(others, move)).otherwise(F.array())
-
-    better = F.sort_array(F.filter(F.flatten(F.transform(calls, moves_to)), lambda m: m["order"] < 0))
-
-    # In this order, a move is the best of both its calls when no move before it touches either.
-    def look(seen: Column, m: Column) -> Column:
-        stands = ~F.arrays_overlap(seen["touched"], F.array(m["target"], m["source"]))
-        return F.struct(
-            F.concat(seen["touched"], F.array(m["target"], m["source"])).alias("touched"),
-            F.when(stands, F.concat(seen["stand"], F.array(m))).otherwise(seen["stand"]).alias("stand"),
-        )
-
-    none = F.array().cast(
-        "array<struct<order:double,taxi_id:bigint,target:int,source:int,near:int,p:double,eta:double,source_p:double,source_eta:double>>"
-    )
-    start = F.struct(F.array().cast("array<int>").alias("touched"), none.alias("stand"))
-    return F.aggregate(better, start, look)["stand"]
-
-
 # --------------------------------------------------------------------------- acceptance and service level
 
 

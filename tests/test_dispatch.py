@@ -501,3 +501,12 @@ def test_shift_query_reassigns_to_the_end(spark, world, monkeypatch):
     assert got.keys() == want.keys() and any(want[k] != pytest.approx(first[k], abs=1e-5) for k in want)
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-6), k
+
+
+def test_rounds_need_no_list_of_taxis_per_zone(world):
+    """Ranked taxis go to their calls inside a task: no plan holds a list per batch and zone, and no round is unrolled."""
+    final = D.optimise(*inputs(world))
+    assert "aggregate(" not in final._jdf.queryExecution().toString()
+    load = D.call_load(world["calls"], final)
+    plan = D.candidates(load, D.stored(final, "test-final"), world["near"])._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "_lists" not in plan
