@@ -121,6 +121,13 @@ def test_both_ways_at_once_equal_decoding(vocabulary):
         assert decoded == vocabulary.decode_bytes(ids)
 
 
+def test_texts_are_decoded_from_their_ids(vocabulary, monkeypatch):
+    asked = []
+    monkeypatch.setattr(pieces.Vocabulary, "decode_bytes", lambda self, ids: asked.append(ids) or b"decoded")
+    ids, decoded = vocabulary.round_trip("one two  three")
+    assert asked == [ids] and decoded == b"decoded"
+
+
 def test_round_trip_of_files(spark, docs, library):
     folder = tokenids.write_token_files(docs, WORDS, end_id=1)
     got = tokenids.read_token_files(spark, folder).collect()
