@@ -128,3 +128,11 @@ def test_staged_search_equals_the_plain_search(trips, edges, zones, monkeypatch)
 def test_partitions_follow_the_rows(spark):
     assert M.in_task_sizes(spark.range(0, 250, numPartitions=8), 100).rdd.getNumPartitions() == 3
     assert M.in_task_sizes(spark.range(0, 0, numPartitions=2), 100).rdd.getNumPartitions() == 1
+
+
+def test_large_pieces_are_cut_to_task_sizes(spark):
+    """Two pieces of 5,000 rows become pieces of about a hundred; many small ones become fewer."""
+    sizes = lambda df: [r[0] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1))).select("count(1)").collect()]
+    cut = sizes(M.in_task_sizes(spark.range(0, 10_000, 1, 2), rows=100))
+    assert len(cut) > 80 and max(cut) <= 200 and sum(cut) == 10_000
+    assert len(sizes(M.in_task_sizes(spark.range(0, 100, 1, 20), rows=50))) <= 3
