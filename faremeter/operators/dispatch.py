@@ -34,8 +34,8 @@ from faremeter.sources.scratch import drop_stored, stored
 # The fleet sizes that the service level is reported for.
 FLEET_RATIOS = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.4, 1.5)
 _FLEET_COLUMNS = ["batch", "taxi_id", "locid", "vacatime", "available", "desid", "endtime", "draw"]
-#: Taxis of a class that a batch keeps for its far lists; a list as long as this may be cut.
-_HEAD = 65
+#: Taxis of a class that a batch keeps; a larger class is cut to so many.
+_HEAD = 128
 #: Rounds of reassignment after which batches that have come to rest are left out.
 _ROUNDS_PER_JOB = 32
 
@@ -240,22 +240,22 @@ def first_taxis(calls: DataFrame, fleet: DataFrame, near: DataFrame, depth: int)
     (vacancy if free, end time if busy), and the measure rises with it: `step`. So the first `depth` of each such class
     hold the exact answer.
 
-    They are looked for among the first `_HEAD` taxis of each class of the batch. Where a class has more taxis and its
-    head too few of them, they are added from all of the class: near ones by the positions and destinations around the
-    zone, far ones from the first of each position and destination.
+    A class of up to `_HEAD` taxis is kept whole, of a larger one the first `_HEAD`. Where those are too few for a zone,
+    taxis are added from all of the class: near ones by the positions and destinations around the zone, far ones from the
+    first of each position and destination.
     """
     order = [F.col("step"), F.col("taxi_id")]
     step = F.when(F.col("available") == 1, F.col("vacatime")).otherwise(F.col("endtime"))
     taxis = fleet.withColumn("step", step)
-    heads = top_k_per(taxis, _CLASS, order, _HEAD).drop("rnk")
-    by_batch = heads.groupBy("batch").agg(F.collect_list(F.struct(*[c for c in heads.columns if c != "batch"])).alias("taxis"))
-    heads = stored(by_batch, "classes").select("batch", F.inline("taxis"))
-    cut = heads.groupBy(*_CLASS).agg(
-        F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("locid", "desid")).alias("ends")
-    ).filter(F.col("n") == _HEAD)
-    cut = stored(cut.drop("n"), "cut")
-    if cut.isEmpty():
-        return heads
+    sizes = taxis.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("n"))
+    large = stored(sizes.filter(F.col("n") > _HEAD).drop("n"), "large")
+    if large.isEmpty():
+        return taxis
+    first = top_k_per(taxis.join(large, _CLASS, "left_semi"), _CLASS, order, _HEAD).drop("rnk")
+    by_batch = first.groupBy("batch").agg(F.collect_list(F.struct(*[c for c in first.columns if c != "batch"])).alias("taxis"))
+    first = stored(by_batch, "classes").select("batch", F.inline("taxis"))
+    heads = taxis.join(large, _CLASS, "left_anti").select(*first.columns).unionByName(first)
+    cut = first.groupBy(*_CLASS).agg(F.collect_list(F.struct("locid", "desid")).alias("ends"))
     around = near.groupBy(F.col("zone").alias("pickupid")).agg(F.collect_set("near_zone").alias("around"))
     asked = calls.select("batch", "pickupid").distinct().join(around, "pickupid", "left")
 
@@ -287,7 +287,7 @@ def first_taxis(calls: DataFrame, fleet: DataFrame, near: DataFrame, depth: int)
     away = short.filter("side = 0").join(corners, _CLASS).filter(~is_near()).select(*kept)
     # a taxi near by both its ends is there twice, hence twice the depth
     found = top_k_per(reduce(DataFrame.unionByName, [*here, away]), [*_CLASS, "pickupid", "side"], order, 2 * depth)
-    more = found.select(*heads.columns).distinct().join(heads.select("batch", "taxi_id"), ["batch", "taxi_id"], "left_anti")
+    more = found.select(*first.columns).distinct().join(first.select("batch", "taxi_id"), ["batch", "taxi_id"], "left_anti")
     return heads.unionByName(more.select(*heads.columns).alias("_more"))
 
 
@@ -317,8 +317,11 @@ def _by_problems(load: DataFrame, assignments: DataFrame, near: DataFrame, max_r
         part, "batch", "taxi_id", "step", idle, "available", "endtime", "draw", "locid", "desid", *held
     )
 
+    # values, not the module of them: an executor has no copy of it
+    scale = depth, S.DRAWS, S.SECONDS_PER_HOUR, S.PROMPTNESS_WEIGHT
+
     def solve(own: pa.Table, their: pa.Table) -> pa.Table:
-        return run(Problem(own, their, depth, S.DRAWS, S.SECONDS_PER_HOUR, S.PROMPTNESS_WEIGHT))
+        return run(Problem(own, their, *scale))
 
     return calls.groupBy("part").cogroup(taxis.groupBy("part")).applyInArrow(solve, schema)
 

@@ -10,6 +10,9 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Up to so many least values of a row are found one by one.
+_FEW = 16
+
 
 class Problem:
     """Batches with their loaded calls and first taxis, as arrays. `offers` holds each call's first `depth` taxis by
@@ -51,8 +54,8 @@ class Problem:
             eta = np.where(taxi["available"][of] == 1, calltime[a:b, None], taxi["endtime"][of]) + duration[a:b, None]
             value = np.rint(eta / 60 * p * 1e9)
             value[np.isnan(value)] = -np.inf
-            # taxis are in order of step and taxi_id, so a stable sort leaves equal values in it
-            first = np.argsort(value, axis=1, kind="stable")[:, :depth]
+            # taxis are in order of step and taxi_id, so the first of equal values comes first
+            first = _least(value, depth)
             found, at = slice(0, first.shape[1]), np.arange(b - a)[:, None]
             self.offers[a:b, found] = first + t0
             self.near[a:b, found], self.p[a:b, found], self.eta[a:b, found] = flags[at, first], p[at, first], eta[at, first]
@@ -60,9 +63,11 @@ class Problem:
             known = self.call_id[a:b][np.minimum(place, b - a - 1)] == self.from_call[of]
             self.holder[of] = np.where(known, place + a, -1)
         # rows of one taxi stand for each other
-        keys = np.rec.fromarrays([self.taxi_batch, self.taxi_id])
-        _, one, same = np.unique(keys, return_index=True, return_inverse=True)
-        self.taxi = np.append(one[same], -1)
+        order = np.lexsort((self.taxi_id, self.taxi_batch))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(self.taxi_batch[order]) != 0) | (np.diff(self.taxi_id[order]) != 0)
+        self.taxi = np.full(len(taxis) + 1, -1)
+        self.taxi[order] = order[new][np.cumsum(new) - 1]
         self.moved = np.zeros(len(taxis), bool)
         self.moved_near = np.zeros(len(taxis), np.int32)
 
@@ -168,5 +173,17 @@ def _places_in(places: np.ndarray, column: pa.ChunkedArray) -> np.ndarray:
     return np.where(known, at, len(places))
 
 
+def _least(value: np.ndarray, depth: int) -> np.ndarray:
+    """Places of the `depth` least values of each row, none NaN, in their order; the first of equals comes first."""
+    if not _FEW >= depth < value.shape[1]:
+        return np.argsort(value, axis=1, kind="stable")[:, :depth]
+    left, rows = np.minimum(value, np.finfo(float).max), np.arange(len(value))
+    out = np.empty((len(value), depth), np.int64)
+    for i in range(depth):
+        out[:, i] = at = left.argmin(axis=1)
+        left[rows, at] = np.inf
+    return out
+
+
 def _refused(p: np.ndarray) -> np.ndarray:
     return np.log(np.maximum(1 - p, 1e-300))

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 
 import brute
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from faremeter.operators import dispatch as D
 from faremeter.operators import pairdraws
@@ -510,3 +514,22 @@ def test_rounds_need_no_list_of_taxis_per_zone(world):
     load = D.call_load(world["calls"], final)
     plan = D.candidates(load, D.stored(final, "test-final"), world["near"])._jdf.queryExecution().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "_lists" not in plan
+
+
+def test_whole_classes_are_neither_sorted_nor_stored(world, assigned, monkeypatch):
+    """Where no class of taxis is cut, the rounds take the fleet as it is."""
+    labels, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, label, by=None: labels.append(label) or stored(df, label, by))
+    found = D.first_taxis(world["calls"], assigned, world["near"], 5)
+    assert "Window" not in found._jdf.queryExecution().toString() and labels == ["large"]
+    assert found.count() == assigned.count()
+
+
+def test_functions_of_tasks_name_no_module_of_this_package(world, assigned, monkeypatch):
+    """Executors have no copy of the package: what a task runs is shipped whole."""
+    code = "import pickle, sys; sys.modules['faremeter'] = None; pickle.load(sys.stdin.buffer); print('loaded')"
+    kept = []
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", lambda self, run, schema: kept.append(run))
+    D.candidates(D.call_load(world["calls"], assigned), assigned, world["near"])
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(kept[0]), capture_output=True, check=False)
+    assert done.stdout.strip() == b"loaded", done.stderr.decode()[-500:]
