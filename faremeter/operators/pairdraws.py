@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from faremeter.functions import scalars as S
 from faremeter.sources.scratch import stored
 
-_FACTS = ["call_id", "calltime", "duration", "dist"]
+_FACTS = ["call_id", "calltime", "duration"]
 _EVERYWHERE = -1
 
 
@@ -36,16 +36,18 @@ def _blocks(calls: DataFrame, near: DataFrame, size: int) -> DataFrame:
     """
     around = near.select(F.col("zone").alias("pickupid"), F.col("near_zone").alias("at"))
     lists = [
-        calls.join(around, "pickupid").select("batch", F.lit(1).alias("near"), "at", *_FACTS),
-        calls.select("batch", F.lit(0).alias("near"), F.lit(_EVERYWHERE).alias("at"), *_FACTS),
+        calls.join(around, "pickupid").select("batch", F.lit(1).alias("near"), "at", *_FACTS, "dist"),
+        calls.select("batch", F.lit(0).alias("near"), F.lit(_EVERYWHERE).alias("at"), *_FACTS, "dist"),
     ]
-    bound = S.billionths(S.pull_part(F.col("dist"), F.col("near"), _weight(F.lit(S.DRAWS - 1))))
-    listed = lists[0].unionByName(lists[1]).withColumn("bound", bound)
+    # a call's score at each draw, worked out here once and not for every taxi that looks at it
+    pulls = F.array(*[S.pull_part(F.col("dist"), F.col("near"), _weight(F.lit(d))) for d in range(S.DRAWS)])
+    listed = lists[0].unionByName(lists[1]).withColumn("pulls", pulls)
+    listed = listed.withColumn("bound", S.billionths(F.get("pulls", F.lit(S.DRAWS - 1))))
     # a list holds calls of one batch, which are few
     by_bound = Window.partitionBy("batch", "near", "at").orderBy(F.col("bound").desc(), "call_id")
     placed = listed.withColumn("place", F.row_number().over(by_bound) - 1)
     blocks = placed.withColumn("block", F.floor(F.col("place") / size).cast("int")).groupBy("batch", "near", "at", "block").agg(
-        F.sort_array(F.collect_list(F.struct("place", "bound", *_FACTS))).alias("calls")
+        F.sort_array(F.collect_list(F.struct("place", "bound", *_FACTS, "pulls"))).alias("calls")
     )
     following = F.lead(F.get("calls", F.lit(0))).over(Window.partitionBy("batch", "near", "at").orderBy("block"))
     return blocks.withColumn("_next", following).select(
@@ -57,7 +59,7 @@ def _probed(cursors: DataFrame, blocks: DataFrame, draw: Callable[[Column, Colum
     """(batch, taxi_id, best): the best call of each cursor (batch, taxi_id, near, at); a cursor without calls is left out."""
 
     def scored(c: Column) -> Column:
-        pull = S.pull_part(c["dist"], F.col("near"), _weight(draw(F.col("taxi_id"), c["call_id"])))
+        pull = F.get(c["pulls"], draw(F.col("taxi_id"), c["call_id"]))
         return F.struct(
             S.billionths(pull).alias("score"), (-c["call_id"]).alias("neg_call_id"), F.col("near").alias("near"),
             pull.alias("pull"), c["calltime"].alias("calltime"), c["duration"].alias("duration"),

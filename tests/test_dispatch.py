@@ -533,3 +533,16 @@ def test_functions_of_tasks_name_no_module_of_this_package(world, assigned, monk
     D.candidates(D.call_load(world["calls"], assigned), assigned, world["near"])
     done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(kept[0]), capture_output=True, check=False)
     assert done.stdout.strip() == b"loaded", done.stderr.decode()[-500:]
+
+
+def test_pair_draw_scores_are_worked_out_once_per_call(world, monkeypatch):
+    """A taxi reads the scores of a call from its block; it raises no power of its own."""
+    plans, stored = {}, pairdraws.stored
+
+    def watch(df, label, by=None):
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, label, by)
+
+    monkeypatch.setattr(pairdraws, "stored", watch)
+    pairdraws.best_calls(world["calls"], world["fleet"], world["near"])
+    assert "POWER" in plans["blocks"] and "POWER" not in plans["probed"]
