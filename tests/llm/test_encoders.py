@@ -115,6 +115,15 @@ def test_what_is_remembered_changes_nothing(vocabulary, monkeypatch):
     assert len(fresh.remembered) <= 3 and len(fresh.older) <= 3
 
 
+def test_short_and_long_chunks_merge_alike(vocabulary, monkeypatch):
+    """Chunks of a few characters are merged without an agenda, to the same pieces."""
+    chunks = {c for t in random_texts(400, 12) for c in t.replace(" ", " ▁").split(" ") if c} | {"▁", "▁" * 9, "aaaaaaa", "▁ababab"}
+    for chunk in chunks:
+        assert vocabulary._merged_short(chunk) == vocabulary._merged_long(chunk) == vocabulary.merged(chunk)
+    monkeypatch.setattr(vocabulary, "_merged_long", None)
+    assert "".join(vocabulary.merged("▁internationally")) == "▁internationally"
+
+
 def test_both_ways_at_once_equal_decoding(vocabulary):
     for text in random_texts(3000, 9) + ["", " ", "  ", "\n", " \n a", "▁", "▁ x", "\u0000\U0001f600", "é" * 500]:
         ids, decoded = vocabulary.round_trip(text)
