@@ -233,6 +233,21 @@ def objective(load: DataFrame) -> DataFrame:
 _CLASS = ["batch", "available", "draw"]
 
 
+def _cut_classes(classes: DataFrame) -> DataFrame:
+    """(batch, available, draw, ends) of the classes that may be cut, each found in the row that holds its batch's taxis."""
+
+    def own(kind: Column) -> Column:
+        return F.filter("taxis", lambda t: t["available"].eqNullSafe(kind["available"]) & t["draw"].eqNullSafe(kind["draw"]))
+
+    kinds = F.array_distinct(F.transform("taxis", lambda t: F.struct(t["available"].alias("available"), t["draw"].alias("draw"))))
+    ends = lambda kind: F.transform(own(kind), lambda t: F.struct(t["locid"].alias("locid"), t["desid"].alias("desid")))
+    full = F.transform(
+        F.filter(kinds, lambda k: F.size(own(k)) == _HEAD),
+        lambda k: F.struct(k["available"].alias("available"), k["draw"].alias("draw"), ends(k).alias("ends")),
+    )
+    return classes.filter(F.col("longest") == _HEAD).select("batch", F.inline(full))
+
+
 def first_taxis(calls: DataFrame, fleet: DataFrame, near: DataFrame, depth: int) -> DataFrame:
     """The taxis of each batch among which every call finds the `depth` with the least eta/60*p: the fleet with `step`.
 
@@ -247,13 +262,11 @@ def first_taxis(calls: DataFrame, fleet: DataFrame, near: DataFrame, depth: int)
     order = [F.col("step"), F.col("taxi_id")]
     step = F.when(F.col("available") == 1, F.col("vacatime")).otherwise(F.col("endtime"))
     taxis = fleet.withColumn("step", step)
-    heads = top_k_per(taxis, _CLASS, order, _HEAD).drop("rnk")
-    by_batch = heads.groupBy("batch").agg(F.collect_list(F.struct(*[c for c in heads.columns if c != "batch"])).alias("taxis"))
-    heads = stored(by_batch, "classes").select("batch", F.inline("taxis"))
-    cut = heads.groupBy(*_CLASS).agg(
-        F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("locid", "desid")).alias("ends")
-    ).filter(F.col("n") == _HEAD)
-    cut = stored(cut.drop("n"), "cut")
+    heads = top_k_per(taxis, _CLASS, order, _HEAD)
+    facts = F.struct(*[c for c in heads.columns if c not in ("batch", "rnk")])
+    by_batch = heads.groupBy("batch").agg(F.collect_list(facts).alias("taxis"), F.max("rnk").alias("longest"))
+    classes = stored(by_batch, "classes")
+    heads, cut = classes.select("batch", F.inline("taxis")), stored(_cut_classes(classes), "cut")
     if cut.isEmpty():
         return heads
     around = near.groupBy(F.col("zone").alias("pickupid")).agg(F.collect_set("near_zone").alias("around"))

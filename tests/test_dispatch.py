@@ -147,6 +147,26 @@ def test_candidates_of_cut_classes_equal_loops(world, assigned, monkeypatch):
         assert got == want
 
 
+def test_cut_classes_are_found_without_a_shuffle(world, assigned, monkeypatch):
+    """Which classes are as long as a head is read from the stored rows; their taxis are not grouped again."""
+    head, plans, stored = 4, {}, D.stored
+
+    def watch(df, label, by=None):
+        done = stored(df, label, by)
+        plans[label] = df._jdf.queryExecution().executedPlan().toString(), done
+        return done
+
+    monkeypatch.setattr(D, "_HEAD", head)
+    monkeypatch.setattr(D, "stored", watch)
+    fleet = assigned.withColumn("draw", F.when(F.col("taxi_id") % 7 > 0, F.col("draw")))
+    D.first_taxis(world["calls"], fleet, world["near"], 3)
+    plan, cut = plans["cut"]
+    assert "Exchange" not in plan
+    sizes = {(r.batch, r.available, r.draw): r["count"] for r in fleet.groupBy(*D._CLASS).count().collect()}
+    got = {(r.batch, r.available, r.draw): len(r.ends) for r in cut.collect()}
+    assert got == {k: head for k, n in sizes.items() if n >= head} and 0 < len(got) < len(sizes)
+
+
 def test_a_batch_of_very_many_taxis_keeps_small_rows(spark, world, monkeypatch):
     """A hundred thousand taxis for one batch: no stored list grows with them."""
     n = F.col("id")
