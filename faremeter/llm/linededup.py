@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,13 +144,15 @@ def _probe(wanted: pa.Table, arrays: pa.Table) -> pa.Table:
     return pa.table({"chunk": chunk[keep], "place": a[keep], "print": b[keep], "keeper": keeper[keep]})
 
 
-def _apply(least: int):
+def _apply(least: int, place: int):
+    """Rewrites the texts of a chunk, which are the field at this place of `row`."""
+
     def run(docs: pa.Table, verdicts: pa.Table) -> pa.Table:
         keeper = dict(
             zip(zip(verdicts["place"].to_pylist(), verdicts["print"].to_pylist(), strict=True), verdicts["keeper"].to_pylist(), strict=True)
         )
         texts, n_lines, n_dropped, digests = [], [], [], []
-        for doc, text in zip(docs["doc"].to_pylist(), utf8(docs["text"]), strict=True):
+        for doc, text in zip(docs["doc"].to_pylist(), utf8(pc.struct_field(docs["row"], [place])), strict=True):
             lines = text.split(b"\n")
             kept = lines
             if keeper:
@@ -212,14 +215,15 @@ def dedup_lines(docs: DataFrame, least: int = LEAST_CODE_POINTS) -> DataFrame:
         ),
         "lines",
     )
-    arrays = stored(line_arrays(lines, n), "line-arrays")
+    arrays = line_arrays(lines, n)
     wanted = lines.select("chunk", "place", "print", F.pmod("place", F.lit(n)).alias("shard"))
     verdicts = wanted.groupBy("shard").cogroup(arrays.groupBy("shard")).applyInArrow(
         _probe, "chunk long, place long, print long, keeper long"
     )
     out = T.StructType([given.schema["row"], T.StructField("kept", T.BinaryType())])
     out = out.add("n_lines", "long").add("n_dropped", "long").add("kept_sha256", "string")
-    return given.groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInArrow(_apply(least), out)
+    place = [c.lower() for c in docs.columns].index("text")  # the text goes to its chunk once, inside the row
+    return given.drop("text").groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInArrow(_apply(least, place), out)
 
 
 def without_repeated_lines(docs: DataFrame, least: int = LEAST_CODE_POINTS) -> DataFrame:

@@ -83,3 +83,12 @@ def test_perfect_hash_is_minimal(n):
     a[: n // 2] = 7  # the same first half, told apart by the second
     phash = ld.PerfectHash.from_bytes(ld.PerfectHash.build(a, b).to_bytes())
     assert sorted(phash.places(a, b)) == list(range(n))
+
+
+def test_a_text_goes_to_its_chunk_once(spark):
+    """Beside the row that holds it no copy of a text is shuffled, and what is read once is not stored: `lines` alone is."""
+    docs = spark.createDataFrame([(*r, "k", 1, 2) for r in ROWS], SCHEMA)
+    done = ld.dedup_lines(docs)
+    sent = re.search(r"run\(([^)]*)\)", done._jdf.queryExecution().executedPlan().toString())[1]
+    assert "row#" in sent and "text#" not in sent
+    assert {f.split("/")[-2].rpartition("-")[0] for f in done.inputFiles()} == {"lines"}
