@@ -17,7 +17,7 @@ list are bounded by the calls of a batch, never by its taxis.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from faremeter.functions import scalars as S
+from faremeter.operators import fleets
 from faremeter.operators.joins import near_far
 from faremeter.operators.ranking import group_positions, top_k_per
 from faremeter.operators.rounds import Problem
@@ -483,12 +484,74 @@ def _fleet_size(ratio: Column, largest: float) -> Column:
     return F.floor(F.round(F.col("n_taxis") * ratio / F.lit(float(largest)), 6))
 
 
+#: A call's choice of its taxi: a column, or a function of taxi and call ids that takes columns and arrays alike.
+PickKey = Column | Callable | None
+#: Taxis of a shift that one task may hold, and the taxis and calls that it handles together.
+_FLEET_TOGETHER = 50_000
+_TAXIS_TOGETHER = 100_000
+_CALLS_CARRIED = 2_500
+_MOST_PARTITIONS = 2_000
+
+
+def _column_key(key: PickKey) -> Column | None:
+    return key(F.col("taxi_id"), F.col("call_id")) if callable(key) else key
+
+
+def _per_run(
+    calls: DataFrame, fleet: DataFrame, near: DataFrame, steps: int, ratios: Sequence[float], key: PickKey, max_res: int,
+    rounds: int | None, by_jobs: Callable[[DataFrame, DataFrame], DataFrame],
+) -> DataFrame:
+    """(shift, at, step, n, failure, wait) of every shift and fleet size; `at` is the place of its ratio.
+
+    A task takes the calls and taxis of some shifts and carries all their fleets through all steps (`operators/fleets.py`):
+    the fleets of a shift differ in few taxis, so neither they nor what they hold is stored or shuffled. `by_jobs` does the
+    shifts that a task does not take, step by step over tables: those with too many taxis, with repeated ids or with
+    values missing, and all if the key is a column.
+    """
+    if not callable(key):
+        return by_jobs(calls, fleet)
+    sizes = fleet.groupBy("shift").agg(F.count(F.lit(1)).alias("n_taxis"))
+    n_taxis, largest = sizes.agg(F.sum("n_taxis"), F.max("n_taxis")).first()
+    n = 1 + max(calls.count() // _CALLS_CARRIED, (n_taxis or 0) // _TAXIS_TOGETHER)
+    part = F.pmod(F.xxhash64("shift"), F.lit(n)).alias("part")
+    large = sizes.filter((F.col("n_taxis") > _FLEET_TOGETHER) | F.col("shift").isNull()).select("shift")
+    some_large = (largest or 0) > _FLEET_TOGETHER
+    small = lambda df: df.join(large, "shift", "left_anti") if some_large else df
+    around = near.groupBy(F.col("zone").alias("pickupid")).agg(F.collect_set("near_zone").alias("around"))
+    pulls = [_pull(flag, d).alias(f"pull_{flag}_{d}") for flag in (0, 1) for d in _draws()]
+    asked = small(calls.filter("shift is not null")).join(around, "pickupid", "left").select(
+        part, "shift", "step", "call_id", "pickupid", "dropoffid", "calltime", "duration", *pulls,
+        F.coalesce("around", F.array().cast("array<int>")).alias("around"),
+    )
+    taxis = small(fleet.filter("shift is not null")).select(part, "shift", *[c for c in _FLEET_COLUMNS if c != "batch"])
+    settings = fleets.Settings(
+        [float(r) / float(max(ratios)) for r in ratios], steps, key, max_res, rounds, _ROUNDS_PER_JOB, S.DRAWS, S.SECONDS_PER_HOUR,
+        S.PROMPTNESS_WEIGHT, S.IDLE_SHARE, float(S.IDLE_FULL_SECONDS),
+    )
+    simulate = fleets.simulate
+
+    def run(own: pa.Table, their: pa.Table) -> pa.Table:
+        return simulate(own, their, settings)
+
+    # dealt out by number, so that few rows do not end up in few tasks
+    dealt = [df.repartition(min(n, _MOST_PARTITIONS), "part").groupBy("part") for df in (asked, taxis)]
+    found = stored(dealt[0].cogroup(dealt[1]).applyInArrow(run, fleets.SCHEMA), "runs")
+    done, left = found.filter("at >= 0"), found.filter("at < 0").select("shift")
+    others = [left, large] if some_large else [left]
+    if calls.filter("shift is null").isEmpty() and all(x.isEmpty() for x in others):
+        return done
+    # a null shift has calls and no fleet
+    gone = reduce(DataFrame.unionByName, others).distinct()
+    rest = [df.join(gone, df["shift"].eqNullSafe(gone["shift"]), "left_semi") for df in (calls, fleet)]
+    return done.unionByName(by_jobs(rest[0].unionByName(calls.filter("shift is null")), rest[1]))
+
+
 def ratio_sweep(
     calls: DataFrame,
     fleet: DataFrame,
     near: DataFrame,
     ratios: Sequence[float] = FLEET_RATIOS,
-    key: Column | None = None,
+    key: PickKey = None,
     max_res: int = 3,
     rounds: int | None = None,
 ) -> DataFrame:
@@ -496,12 +559,38 @@ def ratio_sweep(
 
     The whole fleet of a batch stands for the largest ratio; a smaller one keeps the first taxis by taxi_id. Every batch
     and ratio is a dispatch problem of its own; all are assigned and improved in the same jobs. A batch without taxis
-    answers no call.
+    answers no call. With a function as key a task works out all fleets of some batches (`_per_run`).
     """
+    renamed = [df.withColumnRenamed("batch", "shift") for df in (calls, fleet)]
+    per_run = _per_run(
+        renamed[0].withColumn("step", F.lit(0)), renamed[1], near, 1, ratios, key, max_res, rounds,
+        lambda own, their: _swept(own, their, near, ratios, _column_key(key), max_res, rounds),
+    )
+    per_batch = per_run.filter("shift is not null")
+    return _at_ratios(per_batch, ratios).groupBy("ratio").agg(
+        F.count(F.lit(1)).alias("n_batches"),
+        F.avg("failure").alias("failure_rate"),
+        F.avg("wait").alias("mean_wait"),
+    )
+
+
+def _at_ratios(per_run: DataFrame, ratios: Sequence[float]) -> DataFrame:
+    return per_run.withColumn("ratio", F.get(F.array(*[F.lit(float(r)) for r in ratios]), F.col("at")))
+
+
+def _scenarios(ratios: Sequence[float]) -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("at"), F.lit(float(r)).alias("ratio")) for i, r in enumerate(ratios)])
+
+
+def _swept(
+    calls: DataFrame, fleet: DataFrame, near: DataFrame, ratios: Sequence[float], key: Column | None, max_res: int, rounds: int | None
+) -> DataFrame:
+    """`_per_run` of a sweep over tables that hold every batch and ratio."""
+    calls, fleet = (df.withColumnRenamed("shift", "batch") for df in (calls.drop("step"), fleet))
     n = len(ratios)
     sizes = fleet.groupBy("batch").agg(F.count(F.lit(1)).alias("n_taxis"))
     placed = group_positions(fleet.select(*_FLEET_COLUMNS), ["batch"], ["taxi_id"], "taxi_rank").join(sizes, "batch")
-    scenarios = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(float(r)).alias("ratio")) for i, r in enumerate(ratios)])
+    scenarios = _scenarios(ratios)
     fits = F.filter(scenarios, lambda r: F.col("taxi_rank") <= _fleet_size(r["ratio"], max(ratios)))
     problem = (F.col("batch") * n + F.col("_s.at")).alias("batch")
     # a taxi's best call is the same in every fleet it belongs to
@@ -509,14 +598,14 @@ def ratio_sweep(
     others = [c for c in best.columns if c not in ("batch", "taxi_rank", "n_taxis")]
     assigned = stored(best.withColumn("_s", F.explode(fits)).select(problem, *others), "sweep-assigned")
     facts = [c for c in calls.columns if c != "batch"]
-    spread = calls.withColumn("_s", F.explode(scenarios)).select(problem, F.col("_s.ratio").alias("ratio"), *facts)
+    spread = calls.withColumn("_s", F.explode(scenarios)).select(
+        problem, F.col("batch").alias("shift"), F.col("_s.at").alias("at"), *facts
+    )
     asked = stored(spread, "sweep-calls")
-    accepted = accept(improve(asked.drop("ratio"), assigned, near, max_res, rounds), key)
-    per_batch = service_metrics(asked, accepted).join(asked.select("batch", "ratio").distinct(), "batch")
-    return per_batch.groupBy("ratio").agg(
-        F.count(F.lit(1)).alias("n_batches"),
-        F.avg("failure_rate").alias("failure_rate"),
-        F.avg("mean_wait").alias("mean_wait"),
+    accepted = accept(improve(asked.drop("shift", "at"), assigned, near, max_res, rounds), key)
+    of_batch = asked.select("batch", "shift", "at").distinct()
+    return service_metrics(asked, accepted).join(of_batch, "batch").select(
+        "shift", "at", F.lit(0).alias("step"), F.col("n_calls").alias("n"), F.col("failure_rate").alias("failure"), F.col("mean_wait").alias("wait")
     )
 
 
@@ -562,22 +651,39 @@ def run_shifts(
     ratios: Sequence[float] = FLEET_RATIOS,
     max_res: int = 3,
     rounds: int | None = None,
-    key: Column | None = None,
+    key: PickKey = None,
 ) -> DataFrame:
     """Carry the fleet through `steps` successive batches: (ratio, step, n_calls, failure_rate, mean_wait).
 
     Each step improves its assignment until no move stands; `rounds` bounds that, and 0 leaves the first assignment.
 
     `calls` has shift (bigint) and step (from 0) instead of batch, `fleet` has shift. Every shift and ratio is a run of
-    its own. The calls are stored by step, so a step reads its own only; the runs of a shift share one table of best
-    offers. A step leaves the accepted calls and the new fleet state as stored tables. Rates are means over the runs of
-    a ratio.
+    its own. With a function as key a task carries all fleets of some shifts through all steps (`_per_run`). Rates are
+    means over the runs of a ratio.
+    """
+    per_run = _per_run(
+        calls, fleet, near, steps, ratios, key, max_res, rounds,
+        lambda own, their: _run_by_steps(own, their, near, steps, ratios, max_res, rounds, _column_key(key)),
+    )
+    return _at_ratios(per_run, ratios).groupBy("ratio", "step").agg(
+        F.sum("n").alias("n_calls"), F.avg("failure").alias("failure_rate"), F.avg("wait").alias("mean_wait")
+    )
+
+
+def _run_by_steps(
+    calls: DataFrame, fleet: DataFrame, near: DataFrame, steps: int, ratios: Sequence[float], max_res: int, rounds: int | None,
+    key: Column | None,
+) -> DataFrame:
+    """`_per_run` step by step over tables that hold every shift and ratio.
+
+    The calls are stored by step, so a step reads its own only; the runs of a shift share one table of best offers. A step
+    leaves the accepted calls and the new fleet state as stored tables.
     """
     n = len(ratios)
     sizes = fleet.groupBy("shift").agg(F.count(F.lit(1)).alias("n_taxis"))
     facts = ["shift", *[c for c in _FLEET_COLUMNS if c != "batch"]]
     ranked = group_positions(fleet.select(*facts), ["shift"], ["taxi_id"], "taxi_rank").join(sizes, "shift")
-    scenarios = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(float(r)).alias("ratio")) for i, r in enumerate(ratios)])
+    scenarios = _scenarios(ratios)
     fits = F.filter(scenarios, lambda r: F.col("taxi_rank") <= _fleet_size(r["ratio"], max(ratios)))
     run = (F.col("shift") * n + F.col("_s.at")).alias("batch")
     state = stored(ranked.withColumn("_s", F.explode(fits)).select(run, *facts), "shift-fleet")
@@ -604,17 +710,15 @@ def run_shifts(
         for old in passed:
             drop_stored(old)  # the accepted calls and the new state are all that later steps read
     answers = reduce(DataFrame.unionByName, [won.select("batch", "call_id", "eta") for won in accepted])
-    per_run = (
+    return (
         asked.withColumn("_s", F.explode(scenarios))
-        .select(run, F.col("_s.ratio").alias("ratio"), "step", "call_id")
+        .select(run, "shift", F.col("_s.at").alias("at"), "step", "call_id")
         .join(answers, ["batch", "call_id"], "left")
-        .groupBy("batch", "ratio", "step")
+        .groupBy("batch", "shift", "at", "step")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.avg(F.when(F.col("eta").isNull(), 1.0).otherwise(0.0)).alias("failure"),
             (F.coalesce(F.sum("eta"), F.lit(0.0)) / F.count(F.lit(1)) / 60).alias("wait"),
         )
-    )
-    return per_run.groupBy("ratio", "step").agg(
-        F.sum("n").alias("n_calls"), F.avg("failure").alias("failure_rate"), F.avg("wait").alias("mean_wait")
+        .drop("batch")
     )

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,17 @@ def _inputs(spark, d) -> Inputs:
 
 def _pick():
     """Pick order in arithmetic that any SQL engine shares."""
-    return (F.col("taxi_id") * 7919 + F.col("call_id") * 104729) % 1000003
+    return _picked()(F.col("taxi_id"), F.col("call_id"))
+
+
+def _picked():
+    """The same as a function of columns, or of arrays in a task; made here, so that it is shipped whole."""
+
+    def number(taxi, call):
+        found = taxi * 7919 + call * 104729
+        return np.fmod(found, 1000003) if isinstance(found, np.ndarray) else found % 1000003
+
+    return number
 
 
 def _assigned(spark, d) -> tuple[Inputs, DataFrame]:
@@ -354,7 +365,7 @@ def fleet_rollforward(spark, d):
     "sweep_calls sweep_accepted",
 )
 def fleet_ratio_sweep(spark, d):
-    swept = D.ratio_sweep(*_inputs(spark, d), key=_pick())
+    swept = D.ratio_sweep(*_inputs(spark, d), key=_picked())
     return swept.select(
         "ratio",
         "n_batches",
@@ -368,7 +379,7 @@ def shift_simulation(spark, d):
     """Ten successive batches with the fleet carried on; too many rounds to write out as SQL, so it is tested by loops."""
     calls = stored(V.shift_calls(spark, d), "shift-calls")
     fleet = stored(V.fleet(spark, d, calls, "shift"), "shift-taxis")
-    run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, key=_pick())
+    run = D.run_shifts(calls, fleet, V.near(spark, d), V.BATCHES_PER_SHIFT, key=_picked())
     return run.withColumns(
         {"failure_rate": F.round("failure_rate", 6), "mean_wait": F.round("mean_wait", 6)}
     )

@@ -557,3 +557,89 @@ def test_pair_draw_scores_are_worked_out_once_per_call(world, monkeypatch):
     monkeypatch.setattr(pairdraws, "stored", watch)
     pairdraws.best_calls(world["calls"], world["fleet"], world["near"])
     assert "POWER" in plans["blocks"] and "POWER" not in plans["probed"]
+
+
+_pick_any = dispatching._picked()
+
+
+def _odd_shifts(spark, seed=21, steps=2):
+    """Shifts of which some repeat ids, lack values or have no taxis, and calls without a shift."""
+    rng = random.Random(seed)
+    calls, taxis = [], []
+    for shift in range(1, 9):
+        for step in range(steps):
+            for i in range(0 if (shift, step) == (2, 1) else 7):
+                calls.append((shift, step, shift * 1000 + step * 100 + i, rng.choice([None, *range(ZONES + 2)]), rng.choice([None, *range(ZONES)]),
+                              step * 600.0 + i * 60, rng.choice([200.0, 900.0]), rng.choice([1.0, 2.8, 3.1]), rng.randrange(3)))
+        for i in range(0 if shift == 3 else 90 if shift == 4 else 25):
+            busy = rng.random() < 0.3
+            taxis.append((shift, shift * 100 + i, rng.choice([None, *range(ZONES + 2)]), float(rng.choice([0, 60, 250, 600])), 0 if busy else 1,
+                          rng.choice([None, *range(ZONES)]) if busy else None, float(rng.choice([100, 500, 900])) if busy else 0.0, rng.randrange(3)))
+    taxis += [t for t in taxis if t[0] == 5][:9]  # rows that come twice
+    calls += [c for c in calls if c[0] == 6][2:5]
+    calls += [(7, 0, None, 1, 1, 5.0, 200.0, 1.0, 0), (None, 0, 9000, 1, 1, 5.0, 200.0, 1.0, 0), (None, 1, 9001, 1, 1, 5.0, 200.0, 1.0, 0)]
+    taxis += [(8, 899, 1, None, 1, None, 0.0, 0)]
+    return (
+        spark.createDataFrame(calls, "shift bigint, step int, " + CALLS.removeprefix("batch bigint, ")),
+        spark.createDataFrame(taxis, "shift bigint, " + FLEET.removeprefix("batch bigint, ")),
+    )
+
+
+@pytest.mark.parametrize("rounds", [None, 0, 1])
+def test_shifts_of_a_task_equal_those_over_tables(spark, world, rounds, monkeypatch):
+    monkeypatch.setattr(D, "_FLEET_TOGETHER", 60)
+    monkeypatch.setattr(D, "_CALLS_CARRIED", 40)
+    calls, fleet = _odd_shifts(spark)
+    asked, by_steps = [], D._run_by_steps
+    monkeypatch.setattr(D, "_run_by_steps", lambda own, *a: asked.append(own) or by_steps(own, *a))
+    ratios = (0.5, 0.9, 1.5)
+    run = lambda key: sorted(D.run_shifts(calls, fleet, world["near"], 2, ratios, rounds=rounds, key=key).collect())
+    got = run(_pick_any)
+    assert {r.shift for r in asked.pop().select("shift").distinct().collect()} == {4, 5, 6, 7, 8, None}
+    want = run(_pick_any(F.col("taxi_id"), F.col("call_id")))
+    assert [r[:3] for r in got] == [r[:3] for r in want] and len(got) == 6
+    for a, b in zip(got, want, strict=True):
+        assert a[3:] == pytest.approx(b[3:], abs=1e-9)
+
+
+def test_shifts_store_no_table_per_step(spark, world, monkeypatch):
+    """A task carries its shifts through all steps: what is stored does not grow with steps and fleet sizes."""
+    calls, fleet = _odd_shifts(spark)
+    labels, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, label, by=None: labels.append(label) or stored(df, label, by))
+    whole = [df.filter("shift < 3") for df in (calls, fleet)]
+    assert D.run_shifts(*whole, world["near"], 2, (0.5, 1.5), key=_pick_any).count() == 4
+    assert labels == ["runs"]
+
+
+def test_sweep_of_a_task_equals_that_over_tables(spark, world, monkeypatch):
+    """With a function as key no table holds every batch and ratio, and the rows are the same."""
+    monkeypatch.setattr(D, "_FLEET_TOGETHER", 60)
+    labels, stored = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, label, by=None: labels.append(label) or stored(df, label, by))
+    odd = [df.withColumnRenamed("shift", "batch") for df in _odd_shifts(spark)]
+    few = [df.filter("batch < 4") for df in odd]
+    assert {r.n_batches for r in D.ratio_sweep(few[0].drop("step"), few[1], world["near"], key=_pick_any).collect()} == {3}
+    assert labels == ["runs"]
+    for calls, fleet in (odd, (world["calls"], world["fleet"])):
+        run = lambda key: sorted(D.ratio_sweep(calls.drop("step"), fleet, world["near"], (0.5, 0.9, 1.5), key=key).collect())  # noqa: B023, E731
+        got, want = run(_pick_any), run(_pick_any(F.col("taxi_id"), F.col("call_id")))
+        assert [r[:2] for r in got] == [r[:2] for r in want] and len(got) == 3
+        for a, b in zip(got, want, strict=True):
+            assert a[2:] == pytest.approx(b[2:], abs=1e-9)
+
+
+def test_functions_that_carry_shifts_name_no_module_of_this_package(spark, world, monkeypatch):
+    code = "import pickle, sys; sys.modules['faremeter'] = None; pickle.load(sys.stdin.buffer); print('loaded')"
+    kept = []
+
+    def keep(self, run, schema):
+        kept.append(run)
+        raise RuntimeError("kept")
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", keep)
+    calls, fleet = _odd_shifts(spark)
+    with pytest.raises(RuntimeError, match="kept"):
+        D.run_shifts(calls, fleet, world["near"], 2, key=dispatching._picked())
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(kept[0]), capture_output=True, check=False)
+    assert done.stdout.strip() == b"loaded", done.stderr.decode()[-500:]
