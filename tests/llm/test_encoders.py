@@ -124,6 +124,15 @@ def test_short_and_long_chunks_merge_alike(vocabulary, monkeypatch):
     assert "".join(vocabulary.merged("▁internationally")) == "▁internationally"
 
 
+def test_chunks_of_any_length_keep_an_agenda(vocabulary, monkeypatch):
+    taken, pop = [], pieces.heapq.heappop
+    monkeypatch.setattr(pieces.heapq, "heappop", lambda agenda: taken.append(1) or pop(agenda))
+    for chunk in ("to", "▁internationally", "▁" + "ab" * 40):
+        taken.clear()
+        found = vocabulary.merged(chunk)
+        assert "".join(found) == chunk and len(taken) >= len(chunk) - len(found) > 0
+
+
 def test_both_ways_at_once_equal_decoding(vocabulary):
     for text in random_texts(3000, 9) + ["", " ", "  ", "\n", " \n a", "▁", "▁ x", "\u0000\U0001f600", "é" * 500]:
         ids, decoded = vocabulary.round_trip(text)
